@@ -25,14 +25,39 @@ from tidemark.functions.scalars import (
 from tidemark.sources.tables import read_if_exists
 
 # The columns of the run log and the status words.
-RUN_LOG_SCHEMA = T.StructType.fromDDL(
-    "RunId BIGINT, PipelineRunId STRING, PipelineId STRING, PipelineName STRING, SourceType STRING, "
-    "SourceDatabase STRING, SourceSchema STRING, SourceTable STRING, LoadType STRING, Status STRING, "
-    "StartTime TIMESTAMP_NTZ, EndTime TIMESTAMP_NTZ, DurationSeconds BIGINT, RowsProcessed BIGINT, "
-    "LastRunTimestamp TIMESTAMP_NTZ, Cloud STRING, CloudLocation STRING, ErrorMessage STRING, "
-    "ExtractStatus STRING, RawLoadStatus STRING, MergeStatus STRING, TableRunStatus STRING, "
-    "PipelineRunStatus STRING, RowsExtracted BIGINT, RowsWrittenToCloud BIGINT, RowsMerged BIGINT, "
-    "RowsDeleted BIGINT"
+RUN_LOG_SCHEMA = T.StructType(
+    [
+        T.StructField(name, dtype)
+        for name, dtype in (
+            ("RunId", T.LongType()),
+            ("PipelineRunId", T.StringType()),
+            ("PipelineId", T.StringType()),
+            ("PipelineName", T.StringType()),
+            ("SourceType", T.StringType()),
+            ("SourceDatabase", T.StringType()),
+            ("SourceSchema", T.StringType()),
+            ("SourceTable", T.StringType()),
+            ("LoadType", T.StringType()),
+            ("Status", T.StringType()),
+            ("StartTime", T.TimestampNTZType()),
+            ("EndTime", T.TimestampNTZType()),
+            ("DurationSeconds", T.LongType()),
+            ("RowsProcessed", T.LongType()),
+            ("LastRunTimestamp", T.TimestampNTZType()),
+            ("Cloud", T.StringType()),
+            ("CloudLocation", T.StringType()),
+            ("ErrorMessage", T.StringType()),
+            ("ExtractStatus", T.StringType()),
+            ("RawLoadStatus", T.StringType()),
+            ("MergeStatus", T.StringType()),
+            ("TableRunStatus", T.StringType()),
+            ("PipelineRunStatus", T.StringType()),
+            ("RowsExtracted", T.LongType()),
+            ("RowsWrittenToCloud", T.LongType()),
+            ("RowsMerged", T.LongType()),
+            ("RowsDeleted", T.LongType()),
+        )
+    ]
 )
 STARTED, RUNNING, SUCCESS, FAILED = "STARTED", "RUNNING", "SUCCESS", "FAILED"
 TABLE_COLUMNS = ("PipelineId", "SourceType", "SourceDatabase", "SourceSchema", "SourceTable")

@@ -13,8 +13,14 @@ from tidemark.operators.merge import upsert
 from tidemark.sinks.generations import GenerationStore
 
 # The columns of the watermark table.
-WATERMARK_SCHEMA = T.StructType.fromDDL(
-    "TableName STRING, LastRunTimestamp TIMESTAMP_NTZ, Status STRING, LastRunLSN STRING, FullLoadDone INT"
+WATERMARK_SCHEMA = T.StructType(
+    [
+        T.StructField("TableName", T.StringType()),
+        T.StructField("LastRunTimestamp", T.TimestampNTZType()),
+        T.StructField("Status", T.StringType()),
+        T.StructField("LastRunLSN", T.StringType()),
+        T.StructField("FullLoadDone", T.IntegerType()),
+    ]
 )
 
 

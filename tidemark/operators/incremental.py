@@ -53,10 +53,10 @@ def next_watermark(df: DataFrame, ts_cols: Sequence[str]) -> datetime | None:
 
 
 def full_extract(df: DataFrame, columns: str | Sequence[str] = "*", ts_cols: Sequence[str] = ()) -> DataFrame:
-    """All rows of the chosen columns (timestamps needed later must be among them)."""
-    wanted = project(df, columns)
-    missing = [c for c in ts_cols if c.lower() not in {x.lower() for x in wanted.columns}]
-    return wanted if not missing else wanted.select("*", *[df[c] for c in missing])
+    """All rows of the chosen columns, and of ``ts_cols``, which the next watermark needs."""
+    names = project(df, columns).columns
+    have = {c.lower() for c in names}
+    return project(df, [*names, *[c for c in ts_cols if c.lower() not in have]])
 
 
 def incremental_extract(
