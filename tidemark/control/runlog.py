@@ -22,6 +22,7 @@ from tidemark.functions.scalars import (
     look_back,
     timestamp_literal,
 )
+from tidemark.operators.merge import latest_per_key
 from tidemark.sources.tables import read_if_exists
 
 # The columns of the run log and the status words.
@@ -134,13 +135,8 @@ def _conform(df: DataFrame) -> DataFrame:
 
 
 def run_state(log: DataFrame) -> DataFrame:
-    """The newest event of every run: the finished one if there is one.
-
-    An aggregate rather than a window, so each task first reduces its own
-    events to one per run.
-    """
-    newest = F.max_by(F.struct(*[F.col(c) for c in log.columns]), F.struct("EndTime", "StartTime"))
-    return log.groupBy("RunId").agg(newest.alias("r")).select("r.*")
+    """The newest event of every run: the finished one if there is one."""
+    return latest_per_key(log, ["RunId"], ["EndTime", "StartTime"])
 
 
 def rollup_status(state: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import FIRST_WATERMARK
+from tidemark.functions.scalars import FIRST_WATERMARK, timestamp_literal
 from tidemark.operators.merge import upsert
 from tidemark.sinks.generations import GenerationStore
 
@@ -34,7 +34,7 @@ def watermark_or_default(store: DataFrame, tables: DataFrame, default: datetime
     wanted = tables.select("TableName").distinct()
     return wanted.join(store.select("TableName", "LastRunTimestamp"), "TableName", "left").select(
         "TableName",
-        F.coalesce("LastRunTimestamp", F.lit(str(default)).cast("timestamp_ntz")).alias("watermark"),
+        F.coalesce("LastRunTimestamp", timestamp_literal(default)).alias("watermark"),
     )
 
 

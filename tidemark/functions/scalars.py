@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,9 +17,11 @@ MILLIS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
 
 def timestamp_literal(value: datetime | str | Column) -> Column:
-    """A zone-free timestamp constant."""
+    """A zone-free timestamp constant; times with a zone are taken as UTC."""
     if isinstance(value, Column):
         return value
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
     return F.lit(str(value)).cast("timestamp_ntz")
 
 

@@ -26,10 +26,11 @@ class DuplicateKeyError(ValueError):
 
 
 def _tagged(prev: DataFrame, curr: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per distinct ``columns`` of either state: ``in_prev`` 0 or 1, ``in_curr`` its number of rows."""
     before = prev.select(*key_columns(columns), F.lit(1).alias("in_prev"), F.lit(0).alias("in_curr"))
     after = curr.select(*key_columns(columns), F.lit(0).alias("in_prev"), F.lit(1).alias("in_curr"))
     return before.unionByName(after).groupBy(*key_columns(columns)).agg(
-        F.max("in_prev").alias("in_prev"), F.max("in_curr").alias("in_curr")
+        F.max("in_prev").alias("in_prev"), F.sum("in_curr").alias("in_curr")
     )
 
 
@@ -49,26 +50,31 @@ def with_row_hash(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> tupl
     )
 
 
-def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Classify every key of either state: ``change_kind`` is I, U, D or S (same).
-
-    A key is updated if the current state holds a version of it that the
-    previous one did not.
-    """
+def classified_keys(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every key with its ``change_kind`` and its number of current rows, ``curr_rows``."""
     prev, curr = with_row_hash(prev, curr, keys)
     versions = _tagged(prev, curr, [*keys, HASH])
     by_key = versions.groupBy(*key_columns(keys)).agg(
         F.max("in_prev").alias("in_prev"),
-        F.max("in_curr").alias("in_curr"),
-        F.max(F.col("in_curr") * (1 - F.col("in_prev"))).alias("is_new"),
+        F.sum("in_curr").alias("curr_rows"),
+        F.max(F.when((F.col("in_curr") > 0) & (F.col("in_prev") == 0), 1).otherwise(0)).alias("is_new"),
     )
     kind = (
         F.when(F.col("in_prev") == 0, INSERTED)
-        .when(F.col("in_curr") == 0, DELETED)
+        .when(F.col("curr_rows") == 0, DELETED)
         .when(F.col("is_new") == 1, UPDATED)
         .otherwise(SAME)
     )
-    return by_key.select(*key_columns(keys), kind.alias(CHANGE_KIND))
+    return by_key.select(*key_columns(keys), kind.alias(CHANGE_KIND), "curr_rows")
+
+
+def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Classify every key of either state: ``change_kind`` is I, U, D or S (same).
+
+    A key is updated if the current state holds a version of it that the
+    previous one did not.
+    """
+    return classified_keys(prev, curr, keys).drop("curr_rows")
 
 
 def inserted_keys(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -164,7 +170,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Return ``df``, or raise with an example if a key occurs twice."""
-    example = duplicate_keys(df, keys).first()
+    raise_if_any(duplicate_keys(df, keys), keys)
+    return df
+
+
+def raise_if_any(duplicates: DataFrame, keys: Sequence[str]) -> None:
+    """Raise with an example if there are any duplicate keys."""
+    example = duplicates.first()
     if example is not None:
         raise DuplicateKeyError(f"key {list(keys)} is not unique, e.g. {example.asDict()}")
-    return df

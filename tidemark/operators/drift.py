@@ -104,10 +104,10 @@ def map_types(
 ) -> DataFrame:
     """Look up the target type of each row's source type, ignoring case; NULL if unknown.
 
-    The mapping is reduced to one row per type name; it is a small lookup
-    table and gets broadcast once its size estimate is under Spark's limit.
+    The mapping is reduced to one row per type name. Spark broadcasts it if its
+    size estimate is under the limit and otherwise joins by shuffle.
     """
-    lookup = mapping.groupBy(F.lower(F.col(source)).alias("__type")).agg(F.first(target).alias(name))
+    lookup = mapping.groupBy(F.lower(F.col(source)).alias("__type")).agg(F.min(target).alias(name))
     return columns.join(lookup, F.lower(quoted(type_column)) == F.col("__type"), "left").drop("__type")
 
 

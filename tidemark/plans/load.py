@@ -5,19 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import BUCKET, HASH, SOFT_DELETE
+from tidemark.functions.columns import BUCKET, HASH
 from tidemark.functions.hashing import bucket_count, hash_bucket
+from tidemark.functions.scalars import timestamp_literal
 from tidemark.operators.drift import add_columns, schema_drift
 from tidemark.operators.merge import RESURRECT, MergePolicy, empty_target, latest_per_key, merge_delta
 from tidemark.sinks.datasets import append_raw, consume_raw, read_raw, write_and_read
-from tidemark.sinks.generations import GenerationStore
+from tidemark.sinks.generations import GenerationStore, last_batches
 from tidemark.sources.files import EmptyLoad, ingest_files, validate_load
 from tidemark.sources.paths import run_name
 
 
+def bucket_rows(df: DataFrame) -> DataFrame:
+    """Rows per bucket, in the form an index keeps them, without fingerprints."""
+    return df.groupBy(BUCKET).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(None).cast("decimal(38,0)").alias("fingerprint")
+    )
+
+
 def merge_into(
     store: GenerationStore,
     delta: DataFrame,
@@ -25,38 +34,45 @@ def merge_into(
     policy: MergePolicy = RESURRECT,
     run_ts: datetime | str = "1970-01-01",
     buckets: int | None = None,
-    batch_id: int | None = None,
-    work: str | None = None,
+    batch: tuple[str, int] | None = None,
+    landed: bool = False,
 ) -> int | None:
     """Merge a delta into a stored target; returns the new generation, or None if nothing was done.
 
     Only the buckets that hold keys of the delta are read and rewritten; the
-    others are carried over by reference. A ``batch_id`` not above the last
-    one merged is ignored, which makes redelivered batches harmless. New
-    source columns are added to the target.
+    others are carried over by reference. ``batch`` names a stream and its
+    batch number: a batch not above the last one merged from that stream is
+    ignored, which makes redelivery harmless. New source columns are added to
+    the target.
 
-    The latest rows are written to ``work`` first (default: beside the
-    target), so that the merge's joins are planned with their true size.
+    The latest row per key is written beside the target first, so that the
+    merge's joins are planned with its true size. ``landed`` says that the
+    delta already is a written table with one row per key, and spares that.
     """
-    spark = store.spark
     index = store.index()
-    if batch_id is not None and index and index[0].batch_id is not None and index[0].batch_id >= batch_id:
-        return None
+    batches = last_batches(index)
+    if batch is not None:
+        stream, number = batch
+        if batches.get(stream, -1) >= number:
+            return None
+        batches = {**batches, stream: number}
 
     generation = store.next_generation()
-    work = work or f"{store.base}/work"
-    if HASH in delta.columns:
-        delta = delta.drop(HASH)
+    delta = delta.drop(HASH, BUCKET)
     if index:
         buckets = index[0].buckets
     elif buckets is None:
         buckets = bucket_count(delta.count())
-    newest = write_and_read(
-        hash_bucket(latest_per_key(delta, keys), keys, buckets), f"{work}/latest-{generation}"
-    )
+    if landed:
+        newest = hash_bucket(delta, keys, buckets)
+    else:
+        newest = write_and_read(
+            hash_bucket(latest_per_key(delta, keys), keys, buckets), store.work(generation, "latest")
+        )
     # At most one row per bucket comes back.
     touched = [r[BUCKET] for r in newest.select(BUCKET).distinct().collect()]
     if not touched:
+        store.discard(generation)
         return None
     newest = newest.drop(BUCKET)
 
@@ -66,16 +82,10 @@ def merge_into(
     else:
         target = add_columns(target, schema_drift(newest, target).added)
     merged = merge_delta(target, newest, keys, policy, run_ts, deduplicated=True)
-    schema = merged.schema
     store.write_live(merged, generation, keys, buckets)
-    written = (
-        store.read_staged(generation, schema)
-        .groupBy(BUCKET)
-        .agg(F.count(F.lit(1)).alias("rows"), F.lit(None).cast("decimal(38,0)").alias("fingerprint"))
-        .collect()
-    )
+    written = bucket_rows(store.read_staged(generation, merged.schema)).collect()
     kept = [r for r in index if r.bucket not in set(touched)]
-    store.commit(generation, schema, buckets, written, kept, batch_id)
+    store.commit(generation, merged.schema, buckets, written, kept, batches)
     return generation
 
 
@@ -96,18 +106,25 @@ def load_delta(
     Returns the rows landed. ``on_empty="skip"`` leaves the target alone when
     no row arrived. Files are matched by name pattern in the whole tree.
     """
-    arrived = ingest_files(
-        spark, directory, merge_schema=True, drop=[HASH], file_name="file_name", load_ts=None
-    )
+    try:
+        arrived = ingest_files(spark, directory, merge_schema=True, drop=[HASH], file_name="file_name")
+        files = ingest_files(spark, directory, merge_schema=True)
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        if on_empty == "skip":
+            return 0
+        raise EmptyLoad(f"no files to load in {directory}") from error
     run = run_name(run_ts)
     if "load_ts" not in arrived.columns:
-        arrived = arrived.withColumn("load_ts", F.lit(str(run_ts)).cast("timestamp_ntz"))
+        arrived = arrived.withColumn("load_ts", timestamp_literal(run_ts))
     append_raw(arrived, raw_path, run)
     landed = read_raw(spark, raw_path, [run])
-    expected = ingest_files(spark, directory, merge_schema=True).select(
-        F.col("_metadata.file_path").alias("file")
+    expected = (
+        files.select(F.col("_metadata.file_path").alias("file"))
+        .groupBy("file")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    expected = expected.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
     rows = validate_load(landed, expected, on_empty, file_column="file_name")
     if rows == 0:
         return 0
@@ -115,6 +132,3 @@ def load_delta(
     if empty_raw:
         consume_raw(spark, f"{raw_path}/run={run}")
     return rows
-
-
-__all__ = ["EmptyLoad", "SOFT_DELETE", "load_delta", "merge_into"]

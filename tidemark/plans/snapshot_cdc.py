@@ -12,14 +12,23 @@ from tidemark.functions.columns import BUCKET, CHANGE_KIND, HASH
 from tidemark.functions.hashing import bucket_count, bucket_fingerprint, hash_bucket, row_hash
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.delta import replaced_rows
-from tidemark.operators.diff import DELETED, INSERTED, UPDATED, assert_unique_keys, changed_keys, rows_of_kind
+from tidemark.operators.diff import (
+    DELETED,
+    INSERTED,
+    SAME,
+    UPDATED,
+    assert_unique_keys,
+    classified_keys,
+    raise_if_any,
+    rows_of_kind,
+)
 from tidemark.operators.drift import union_drift
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import merge_into
 from tidemark.plans.result import RunResult
 from tidemark.sinks.datasets import write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore
-from tidemark.sources.paths import TablePaths, run_name
+from tidemark.sources.paths import TablePaths
 
 
 def run_snapshot_cdc(
@@ -38,19 +47,20 @@ def run_snapshot_cdc(
     2. Bucket fingerprints against those kept with the last generation tell
        which buckets differ; everything below touches only these.
     3. Keys and hashes of both sides are compared; the changed keys are
-       written, so that later joins know their size.
+       written, so that later joins know their size. The same pass finds
+       duplicate keys.
     4. Replaced rows go to the snapshot's history, upserts and tombstones to the delta.
     5. The delta is merged into the target, and last of all the generation
        is committed: a run that dies before is repeated with the same outcome.
 
-    ``policy`` None leaves the target alone.
+    ``policy`` None leaves the target alone. Without ``check_keys`` duplicate
+    keys are let through, and the target gets the greatest row of each.
     """
     store = GenerationStore(spark, paths.snapshot)
     index = store.index()
     if buckets is None:
         buckets = index[0].buckets if index else bucket_count(source.count())
     generation = store.next_generation()
-    run = run_name(run_ts)
 
     staged = hash_bucket(row_hash(source, keys), keys, buckets)
     schema = staged.drop(BUCKET).schema
@@ -71,14 +81,18 @@ def run_snapshot_cdc(
         changed = _changed(index, stats, buckets)
         result.changed_buckets = len(changed)
         if not changed:
+            store.discard(generation)
             return result
         now = [r["bucket"] for r in stats if r["bucket"] in changed]
         curr = store.read_staged(generation, schema, now)
-        if check_keys:
-            assert_unique_keys(curr, keys)
         regrouped = index[0].buckets != buckets
         prev = store.read(buckets=None if regrouped else changed)
-        changes = write_and_read(changed_keys(prev, curr, keys), f"{paths.work}/{run}/changes-{generation}")
+        compared = classified_keys(prev, curr, keys)
+        notable = (F.col(CHANGE_KIND) != SAME) | (F.col("curr_rows") > 1)
+        changes = write_and_read(compared.where(notable), store.work(generation, "changes"))
+        if check_keys:
+            raise_if_any(changes.where("curr_rows > 1"), keys)
+        changes = changes.drop("curr_rows")
         counts = {r[CHANGE_KIND]: r["count"] for r in changes.groupBy(CHANGE_KIND).count().collect()}
         result.inserted = counts.get(INSERTED, 0)
         result.updated = counts.get(UPDATED, 0)
@@ -94,7 +108,8 @@ def run_snapshot_cdc(
         write_delta(stamp_audit(delta, run_ts), result.delta_path)
         if policy is not None:
             arrived = spark.read.parquet(result.delta_path).drop(HASH, BUCKET)
-            merge_into(GenerationStore(spark, paths.target), arrived, keys, policy, run_ts, buckets)
+            target = GenerationStore(spark, paths.target)
+            merge_into(target, arrived, keys, policy, run_ts, buckets, landed=check_keys)
             result.merged = result.written
     kept = [] if not index else [r for r in index if r.bucket is not None and r.bucket not in changed]
     fresh = stats if not index else [r for r in stats if r["bucket"] in changed]

@@ -15,11 +15,11 @@ from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.drift import union_drift
 from tidemark.operators.incremental import changed_since, extract_summary
 from tidemark.operators.merge import RESURRECT, MergePolicy
-from tidemark.plans.load import merge_into
+from tidemark.plans.load import bucket_rows, merge_into
 from tidemark.plans.result import RunResult
 from tidemark.sinks.datasets import write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore
-from tidemark.sources.paths import TablePaths, run_name
+from tidemark.sources.paths import TablePaths
 
 
 def run_timestamp_cdc(
@@ -45,22 +45,17 @@ def run_timestamp_cdc(
     if buckets is None:
         buckets = index[0].buckets if index else bucket_count(source.count())
     generation = store.next_generation()
-    run = run_name(run_ts)
 
     staged = hash_bucket(source, keys, buckets)
     schema = staged.drop(BUCKET).schema
     store.write_live(staged, generation, keys, buckets)
     current = store.read_staged(generation, schema)
-    stats = (
-        current.groupBy(BUCKET)
-        .agg(F.count(F.lit(1)).alias("rows"), F.lit(None).cast("decimal(38,0)").alias("fingerprint"))
-        .collect()
-    )
+    stats = bucket_rows(current).collect()
 
     delta = flag(changed_since(current, ts_cols, watermark, nulls), deleted=False)
     prev = store.read()
     if prev is not None:
-        gone_keys = write_and_read(deleted_keys(prev, current, keys), f"{paths.work}/{run}/gone-{generation}")
+        gone_keys = write_and_read(deleted_keys(prev, current, keys), store.work(generation, "gone"))
         gone = store.write_history(join_on_keys(prev, gone_keys, keys, "left_semi"), generation)
         delta = union_drift(delta, flag(hash_bucket(gone, keys, buckets), deleted=True))
     delta_path = paths.run_dir(run_ts)
@@ -81,6 +76,7 @@ def run_timestamp_cdc(
         delta_path=delta_path,
     )
     if result.written == 0:
+        store.discard(generation)
         return result
     if policy is not None:
         merge_into(

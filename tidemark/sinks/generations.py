@@ -5,6 +5,7 @@ Layout under the base path::
     live/generation=N/bucket=B/*.parquet     rows of bucket B as of generation N
     history/generation=N/*.parquet           rows replaced or deleted in N
     index/generation=N/*.parquet             which live directories make up N
+    work/generation=N/...                    intermediate tables until N is committed
 
 A generation exists once its index directory is complete; the index is
 written last. Readers of an older generation are never disturbed, nothing is
@@ -35,7 +36,7 @@ INDEX_SCHEMA = T.StructType(
         T.StructField("buckets", T.IntegerType()),
         T.StructField("rows", T.LongType()),
         T.StructField("fingerprint", T.DecimalType(38, 0)),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("batches", T.StringType()),
         T.StructField("live_schema", T.StringType()),
     ]
 )
@@ -62,7 +63,7 @@ class GenerationStore:
 
     def next_generation(self) -> int:
         """A number no earlier attempt has used."""
-        used = [n for kind in ("live", "history", "index") for n in self._numbers(kind)]
+        used = [n for kind in ("live", "history", "index", "work") for n in self._numbers(kind)]
         return max(used, default=0) + 1
 
     def index(self, generation: int | None = None) -> list[Row]:
@@ -144,7 +145,11 @@ class GenerationStore:
         """Write live rows by hash bucket of the key; invisible until committed."""
         if BUCKET not in df.columns:
             df = hash_bucket(df, keys, buckets)
-        write_partitioned(df, f"{self._dir('live', generation)}", BUCKET)
+        path = self._dir("live", generation)
+        if buckets == 1:
+            df.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        else:
+            write_partitioned(df, path, BUCKET)
 
     def write_history(self, df: DataFrame, generation: int) -> DataFrame:
         """Write replaced rows and return them as written."""
@@ -159,31 +164,45 @@ class GenerationStore:
         buckets: int,
         written: Iterable[Row],
         kept: Iterable[Row] = (),
-        batch_id: int | None = None,
+        batches: dict[str, int] | None = None,
     ) -> None:
         """Make ``generation`` current.
 
         ``written`` are its own buckets (``bucket, rows, fingerprint``),
-        ``kept`` index rows of the previous generation to carry over.
+        ``kept`` index rows of the previous generation to carry over,
+        ``batches`` the last merged batch per stream (see ``last_batches``).
         """
         if generation in self.generations():
             raise ValueError(f"generation {generation} is already committed")
-        names = _schema_json(schema)
+        names, marks = _schema_json(schema), json.dumps(batches or {})
         rows = [
-            (r["bucket"], generation, buckets, r["rows"], r["fingerprint"], batch_id, names) for r in written
+            (r["bucket"], generation, buckets, r["rows"], r["fingerprint"], marks, names) for r in written
         ]
         rows += [
-            (r.bucket, r.data_generation, buckets, r["rows"], r.fingerprint, batch_id, names)
+            (r.bucket, r.data_generation, buckets, r["rows"], r.fingerprint, marks, names)
             for r in kept
             if r.bucket is not None
         ]
         if not rows:
-            rows = [(None, generation, buckets, 0, None, batch_id, names)]
+            rows = [(None, generation, buckets, 0, None, marks, names)]
         index = self.spark.createDataFrame(rows, INDEX_SCHEMA).coalesce(1)
         index.write.mode("overwrite").parquet(self._dir("index", generation))
+        self._delete(self._dir("work", generation))
+
+    def discard(self, generation: int) -> None:
+        """Remove what was written for a generation that will not be committed."""
+        if generation in self.generations():
+            raise ValueError(f"generation {generation} is committed")
+        for kind in ("live", "history", "work"):
+            self._delete(self._dir(kind, generation))
+
+    def work(self, generation: int, name: str) -> str:
+        """Path of an intermediate table of a generation in the making."""
+        return f"{self._dir('work', generation)}/{name}"
 
     def expire(self, keep: int) -> list[int]:
-        """Drop all but the newest ``keep`` generations and the directories only they used.
+        """Drop all but the newest ``keep`` generations, the directories only they
+        used, and the leftovers of runs that failed before.
 
         History rows are kept; they belong to every later snapshot.
         """
@@ -191,11 +210,15 @@ class GenerationStore:
             raise ValueError("keep at least one generation")
         committed = self.generations()
         dropped, kept = committed[:-keep], committed[-keep:]
-        if not dropped:
+        if not kept:
             return []
         used = {(r.data_generation, r.bucket) for g in kept for r in self.index(g)}
         for generation in dropped:
             self._delete(self._dir("index", generation))
+        for kind in ("history", "work"):
+            for generation in self._numbers(kind):
+                if generation < kept[-1] and generation not in committed:
+                    self._delete(self._dir(kind, generation))
         for generation in self._numbers("live"):
             if generation > kept[-1]:
                 continue
@@ -248,6 +271,11 @@ class GenerationStore:
         self._fs().delete(self._path(path), True)
 
 
+def last_batches(index: Sequence[Row]) -> dict[str, int]:
+    """The last batch merged from each stream, as recorded with a generation."""
+    return json.loads(index[0].batches or "{}") if index else {}
+
+
 def _schema_json(schema: T.StructType) -> str:
     return T.StructType([f for f in schema.fields if f.name not in (BUCKET, GENERATION)]).json()
 

@@ -27,11 +27,6 @@ class TablePaths:
     def incremental(self) -> str:
         return f"{self.root}/incremental"
 
-    @property
-    def work(self) -> str:
-        """Intermediate tables that cut lineage within a run."""
-        return f"{self.root}/work"
-
     @property
     def raw(self) -> str:
         return f"{self.root}/raw"

@@ -60,8 +60,9 @@ def stream_merge(
 ) -> StreamingQuery:
     """Merge every micro-batch of arriving delta rows into the target.
 
-    The batch id is committed with the target's generation, so a batch
-    redelivered after a failure is not merged twice. Without ``interval`` the
+    The number of the batch is committed with the target's generation, under
+    the query's id, so a batch redelivered after a failure is not merged
+    twice, while a query with a new checkpoint starts afresh. Without ``interval`` the
     query takes what is there and stops. Without ``run_ts`` rows are stamped
     with the latest load time of their batch.
     """
@@ -72,7 +73,8 @@ def stream_merge(
         now = run_ts
         if now is None:
             now = batch.agg(F.max("load_ts").alias("t")).first()["t"]
-        merge_into(store, batch, keys, policy, now, buckets, batch_id)
+        stream_id = store.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_into(store, batch, keys, policy, now, buckets, (stream_id or checkpoint, batch_id))
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if interval is None:
