@@ -21,7 +21,7 @@ from tidemark.operators.diff import (
     upserts,
     with_row_hash,
 )
-from tidemark.operators.drift import union_drift
+from tidemark.operators.drift import append_like, union_drift
 
 
 def snapshot_delta(
@@ -33,8 +33,9 @@ def snapshot_delta(
 ) -> DataFrame:
     """Upserts (``soft_delete`` 0) and tombstones (1), audit stamped.
 
-    Without a previous state every current row is an insert. ``changes`` may
-    be the written output of ``changed_keys``.
+    Without a previous state every current row is an insert. Columns the
+    source no longer has are left out. ``changes`` may be the written output
+    of ``changed_keys``.
     """
     if prev is None:
         return stamp_audit(flag(curr, deleted=False), run_ts)
@@ -43,7 +44,7 @@ def snapshot_delta(
         changes = changed_keys(prev, curr, keys)
     new = flag(upserts(prev, curr, keys, changes), deleted=False)
     gone = flag(deletes(prev, curr, keys, changes), deleted=True)
-    return stamp_audit(union_drift(new, gone), run_ts)
+    return stamp_audit(append_like(new, gone), run_ts)
 
 
 def replaced_rows(prev: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:

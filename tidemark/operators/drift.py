@@ -78,6 +78,12 @@ def union_drift(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
+def append_like(first: DataFrame, second: DataFrame) -> DataFrame:
+    """UNION ALL by name with the columns of ``first``: others of ``second`` are dropped."""
+    have = {c.lower() for c in first.columns}
+    return union_drift(first, second.drop(*[c for c in second.columns if c.lower() not in have]))
+
+
 def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with exactly the columns and types of ``schema``; others are ignored."""
     have = {c.lower() for c in df.columns}

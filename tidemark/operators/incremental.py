@@ -14,7 +14,7 @@ from tidemark.functions.columns import SOFT_DELETE, join_on_keys, live, project,
 from tidemark.functions.scalars import timestamp_literal
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.diff import deleted_keys
-from tidemark.operators.drift import union_drift
+from tidemark.operators.drift import append_like, union_drift
 
 
 def changed_since(
@@ -96,7 +96,7 @@ def timestamp_delta(
     new = flag(changed_since(curr, ts_cols, watermark, nulls), deleted=False)
     if prev_snapshot is not None:
         prev = live(prev_snapshot).drop(SOFT_DELETE)
-        new = union_drift(new, flag(_rows_gone(prev, curr, keys, gone), deleted=True))
+        new = append_like(new, flag(_rows_gone(prev, curr, keys, gone), deleted=True))
     return stamp_audit(new, run_ts)
 
 

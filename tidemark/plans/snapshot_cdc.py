@@ -22,7 +22,7 @@ from tidemark.operators.diff import (
     raise_if_any,
     rows_of_kind,
 )
-from tidemark.operators.drift import union_drift
+from tidemark.operators.drift import append_like
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import merge_into
 from tidemark.plans.result import RunResult
@@ -101,7 +101,7 @@ def run_snapshot_cdc(
         replaced = store.write_history(replaced_rows(prev, changes, keys), generation)
         gone = replaced.where(F.col(CHANGE_KIND) == DELETED).drop(CHANGE_KIND)
         new = rows_of_kind(curr, changes, keys, INSERTED, UPDATED)
-        delta = union_drift(flag(new, deleted=False), flag(hash_bucket(gone, keys, buckets), deleted=True))
+        delta = append_like(flag(new, deleted=False), flag(hash_bucket(gone, keys, buckets), deleted=True))
 
     if result.written:
         result.delta_path = paths.run_dir(run_ts)

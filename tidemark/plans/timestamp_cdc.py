@@ -12,7 +12,7 @@ from tidemark.functions.columns import BUCKET, SOFT_DELETE, join_on_keys
 from tidemark.functions.hashing import bucket_count, hash_bucket
 from tidemark.operators.diff import deleted_keys
 from tidemark.operators.audit import flag, stamp_audit
-from tidemark.operators.drift import union_drift
+from tidemark.operators.drift import append_like
 from tidemark.operators.incremental import changed_since, extract_summary
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import bucket_rows, merge_into
@@ -57,7 +57,7 @@ def run_timestamp_cdc(
     if prev is not None:
         gone_keys = write_and_read(deleted_keys(prev, current, keys), store.work(generation, "gone"))
         gone = store.write_history(join_on_keys(prev, gone_keys, keys, "left_semi"), generation)
-        delta = union_drift(delta, flag(hash_bucket(gone, keys, buckets), deleted=True))
+        delta = append_like(delta, flag(hash_bucket(gone, keys, buckets), deleted=True))
     delta_path = paths.run_dir(run_ts)
     write_delta(stamp_audit(delta, run_ts), delta_path)
 
