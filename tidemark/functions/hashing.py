@@ -30,19 +30,23 @@ def _as_text(name: str, dtype: T.DataType) -> Column:
 def encoded(df: DataFrame, columns: Sequence[str]) -> Column:
     """One string that is equal for two rows only if all ``columns`` are equal.
 
-    Each value is written as ``length:text`` and NULL as ``-``, so NULLs,
-    empty strings and any separator inside the data stay distinct. Columns
-    missing from ``df`` count as NULL.
+    Each value is written as ``length:text`` (length in bytes) and NULL as
+    ``-:``, so NULLs, empty strings and any separator inside the data stay
+    distinct. Columns missing from ``df`` count as NULL.
     """
     fields = {f.name.lower(): f for f in df.schema.fields}
     parts = []
     for name in columns:
         field = fields.get(name.lower())
         if field is None:
-            parts.append(F.lit("-"))
+            parts.append(F.lit("-:"))
             continue
         text = _as_text(field.name, field.dataType)
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+        parts += [
+            F.coalesce(F.octet_length(text).cast("string"), F.lit("-")),
+            F.lit(":"),
+            F.coalesce(text, F.lit("")),
+        ]
     return F.concat(*parts) if parts else F.lit("")
 
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -174,19 +175,19 @@ class GenerationStore:
         """
         if generation in self.generations():
             raise ValueError(f"generation {generation} is already committed")
-        names, marks = _schema_json(schema), json.dumps(batches or {})
-        rows = [
-            (r["bucket"], generation, buckets, r["rows"], r["fingerprint"], marks, names) for r in written
+        entries = [(r["bucket"], generation, r["rows"], r["fingerprint"]) for r in written]
+        entries += [
+            (r.bucket, r.data_generation, r["rows"], r.fingerprint) for r in kept if r.bucket is not None
         ]
-        rows += [
-            (r.bucket, r.data_generation, buckets, r["rows"], r.fingerprint, marks, names)
-            for r in kept
-            if r.bucket is not None
-        ]
-        if not rows:
-            rows = [(None, generation, buckets, 0, None, marks, names)]
-        index = self.spark.createDataFrame(rows, INDEX_SCHEMA).coalesce(1)
-        index.write.mode("overwrite").parquet(self._dir("index", generation))
+        index = self.spark.createDataFrame(_index_table(entries or [(None, generation, 0, None)]))
+        index = index.withColumns(
+            {
+                "buckets": F.lit(buckets),
+                "batches": F.lit(json.dumps(batches or {})),
+                "live_schema": F.lit(_schema_json(schema)),
+            }
+        )
+        index.select(*INDEX_SCHEMA.fieldNames()).coalesce(1).write.mode("overwrite").parquet(self._dir("index", generation))
         self._delete(self._dir("work", generation))
 
     def discard(self, generation: int) -> None:
@@ -271,6 +272,13 @@ class GenerationStore:
         self._fs().delete(self._path(path), True)
 
 
+def _index_table(entries: Sequence[tuple]) -> pa.Table:
+    """Index entries as an Arrow table, one row per bucket, which Spark takes without Python workers."""
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.decimal128(38, 0))
+    names = ("bucket", "data_generation", "rows", "fingerprint")
+    return pa.table({n: pa.array(v, t) for n, t, v in zip(names, types, zip(*entries))})
+
+
 def last_batches(index: Sequence[Row]) -> dict[str, int]:
     """The last batch merged from each stream, as recorded with a generation."""
     return json.loads(index[0].batches or "{}") if index else {}
