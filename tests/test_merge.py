@@ -158,3 +158,15 @@ def test_window_reduces_before_the_shuffle(spark, sf):
     plan = latest_per_key(spark.read.parquet(f"{sf}/lineitem.parquet"), ["l_orderkey"], ["l_shipdate"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.rindex("WindowGroupLimit") > text.index("Exchange hashpartitioning")
+
+
+def test_parquet_catalog_table_refuses_merge(spark, delta):
+    """The statement is complete; only the table format lacks row-level changes."""
+    from pyspark.errors import PySparkException
+
+    from tidemark.operators.merge import merge_table
+
+    spark.createDataFrame([], TARGET).write.mode("overwrite").saveAsTable("merge_target")
+    with pytest.raises(PySparkException) as error:
+        merge_table("merge_target", delta, ["k"], run_ts=NOW)
+    assert "MERGE INTO" in str(error.value)

@@ -289,3 +289,37 @@ def test_batches_are_merged_once_per_stream(spark, tmp_path):
     assert merge_into(store, delta, ["k"], run_ts=DAY[3], buckets=1) == 3
     assert merge_into(store, delta, ["k"], run_ts=DAY[4], buckets=1, batch=("s1", 0)) is None
     assert merge_into(store, delta, ["k"], run_ts=DAY[4], buckets=1, batch=("s1", 1)) == 4
+
+
+def test_stable_source_writes_changed_buckets_only(spark, paths):
+    data = {k: str(k) for k in range(200)}
+    run_snapshot_cdc(spark, frame(spark, data), ["k"], paths, DAY[0], buckets=16, stable_source=True)
+    data[7] = "new"
+    del data[8]
+    result = run_snapshot_cdc(spark, frame(spark, data), ["k"], paths, DAY[1], buckets=16, stable_source=True)
+    assert (result.inserted, result.updated, result.deleted, result.extracted) == (0, 1, 1, 199)
+    store = GenerationStore(spark, paths.snapshot)
+    written = [d for d in os.listdir(f"{paths.snapshot}/live/generation=2") if d.startswith("bucket=")]
+    assert len(written) == result.changed_buckets <= 2
+    assert {r.k: r.v for r in store.read().collect()} == data
+    result = run_snapshot_cdc(spark, frame(spark, data), ["k"], paths, DAY[2], buckets=16, stable_source=True)
+    assert result.written == 0 and store.generations() == [1, 2]
+
+
+def test_columns_of_a_stored_target_can_change(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tidemark.plans.load import alter_target
+
+    store = GenerationStore(spark, str(tmp_path))
+    merge_into(store, spark.createDataFrame([(1, "a", 0, DAY[0])], DELTA), ["k"], run_ts=DAY[0], buckets=2, batch=("s", 4))
+    alter_target(store, ["k"], add={"w": T.LongType()})
+    assert "w" in store.read().columns and store.read().first().w is None
+    assert store.index()[0].data_generation == 1
+    alter_target(store, ["k"], drop=["V"])
+    assert "v" not in store.read().columns and store.read().count() == 1
+    alter_target(store, ["k"], add={"v": T.StringType()})
+    assert store.read().first().v is None
+    assert merge_into(store, spark.createDataFrame([(1, "a", 0, DAY[1])], DELTA), ["k"], run_ts=DAY[1], batch=("s", 4)) is None
+    with pytest.raises(ValueError):
+        alter_target(store, ["k"], drop=["nothing"])

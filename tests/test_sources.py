@@ -180,3 +180,14 @@ def test_comparison_has_no_join_and_reads_hashes_only(spark, tmp_path):
     plan = snapshot_diff(stored, stored, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
     assert plan.count("ReadSchema: struct<id:bigint,hash_val:string>") == 2
+
+
+def test_catalog_table_gains_mapped_columns(spark):
+    from tidemark.operators.drift import alter_table_add
+
+    spark.range(3).write.mode("overwrite").saveAsTable("grows")
+    assert alter_table_add(spark, "grows", {"ID": "int", "name": "VARCHAR", "at": "datetime"}) == ["name", "at"]
+    assert dict(spark.table("grows").dtypes) == {"id": "bigint", "name": "string", "at": "timestamp_ntz"}
+    with pytest.raises(UnmappedTypeError):
+        alter_table_add(spark, "grows", {"shape": "geography", "x": "int"})
+    assert "x" not in spark.table("grows").columns

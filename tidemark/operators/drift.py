@@ -117,6 +117,22 @@ def map_types(
     return columns.join(lookup, F.lower(quoted(type_column)) == F.col("__type"), "left").drop("__type")
 
 
+def alter_table_add(
+    spark: SparkSession, table: str, types: Mapping[str, str], source: str = "SQLSERVER"
+) -> list[str]:
+    """Add the columns a catalog table lacks, by source type; returns their names.
+
+    A type without counterpart is an error before anything is changed.
+    """
+    mapped = spark_types(types, source)
+    have = {c.lower() for c in spark.table(table).columns}
+    new = {n: t for n, t in mapped.items() if n.lower() not in have}
+    if new:
+        columns = ", ".join(f"`{n}` {t}" for n, t in new.items())
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    return list(new)
+
+
 def spark_types(types: Mapping[str, str], source: str = "SQLSERVER") -> dict[str, str]:
     """Spark type per column name for a few source columns; unknown types raise."""
     at = TYPE_MAPPING_COLUMNS.index(source.upper())

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import (
-    AUDIT_COLUMNS,
     FRAMEWORK_COLUMNS,
     SOFT_DELETE,
     join_on_keys,
@@ -187,6 +188,60 @@ def merge_delta(
     return kept.unionByName(added)
 
 
+def merge_table(
+    table: str,
+    delta: DataFrame,
+    keys: Sequence[str],
+    policy: MergePolicy = RESURRECT,
+    run_ts: datetime | str = "1970-01-01",
+    deduplicated: bool = False,
+) -> None:
+    """Merge into a catalog table whose format supports row-level changes.
+
+    Same rules as :func:`merge_delta`, left to the table's own ``MERGE``,
+    which need not rewrite rows that stay. Plain Parquet tables refuse it.
+    """
+    now = timestamp_literal(run_ts)
+    target_columns = delta.sparkSession.table(table).columns
+    newest = (delta if deduplicated else latest_per_key(delta, keys)).alias("r")
+    in_delta = {c.lower() for c in newest.columns}
+    framework = {c.lower() for c in FRAMEWORK_COLUMNS}
+    data = [c for c in target_columns if c.lower() in in_delta - framework]
+    is_key = {k.lower() for k in keys}
+
+    def new(name: str) -> Column:
+        return F.col(f"r.`{name}`")
+
+    same_key = reduce(and_, [new(k).eqNullSafe(F.col(f"{table}.`{k}`")) for k in keys])
+    deleted = {policy.deleted_column: F.lit(1)}
+    updated = {c: new(c) for c in data if c.lower() not in is_key}
+    inserted = {c: new(c) for c in data}
+    if policy.revive:
+        updated[policy.deleted_column] = F.lit(0)
+    if policy.flag_inserts:
+        inserted[policy.deleted_column] = F.lit(0)
+    if policy.update_ts:
+        deleted[policy.update_ts] = updated[policy.update_ts] = now
+        if policy.update_ts_on_insert:
+            inserted[policy.update_ts] = now
+    if policy.delete_ts:
+        deleted[policy.delete_ts] = now
+        if policy.clear_delete_ts:
+            updated[policy.delete_ts] = F.lit(None).cast("timestamp_ntz")
+    if policy.insert_ts:
+        inserted[policy.insert_ts] = now
+    (
+        newest.mergeInto(table, same_key)
+        .whenMatched(new(SOFT_DELETE) == 1)
+        .update(deleted)
+        .whenMatched(new(SOFT_DELETE) == 0)
+        .update(updated)
+        .whenNotMatched(new(SOFT_DELETE) == 0)
+        .insert(inserted)
+        .merge()
+    )
+
+
 def new_target(
     delta: DataFrame, keys: Sequence[str], policy: MergePolicy = RESURRECT, run_ts: datetime | str = "1970-01-01"
 ) -> DataFrame:
@@ -221,20 +276,3 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     """Replace rows by key and add new ones, without flags or audit columns."""
     return join_on_keys(target, updates.select(*key_columns(keys)), keys, "left_anti").unionByName(updates)
 
-
-__all__ = [
-    "AUDIT_COLUMNS",
-    "FLAG_IN_SOFT_DELETE",
-    "INSERT_TS_ONLY",
-    "KEEP_DELETE_TS",
-    "MergePolicy",
-    "POLICIES",
-    "RESURRECT",
-    "STAY_DELETED",
-    "empty_target",
-    "latest_per_key",
-    "load_to_target",
-    "merge_delta",
-    "new_target",
-    "upsert",
-]

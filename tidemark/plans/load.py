@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import BUCKET, HASH
 from tidemark.functions.hashing import bucket_count, hash_bucket
 from tidemark.functions.scalars import timestamp_literal
-from tidemark.operators.drift import add_columns, schema_drift
+from tidemark.operators.drift import add_columns, drop_column, schema_drift
 from tidemark.operators.merge import RESURRECT, MergePolicy, empty_target, latest_per_key, merge_delta
 from tidemark.sinks.datasets import append_raw, consume_raw, read_raw, write_and_read
 from tidemark.sinks.generations import GenerationStore, last_batches
@@ -89,6 +90,34 @@ def merge_into(
     return generation
 
 
+def alter_target(
+    store: GenerationStore,
+    keys: Sequence[str],
+    add: Mapping[str, T.DataType] | None = None,
+    drop: Sequence[str] = (),
+) -> int:
+    """Commit a generation with columns added or dropped.
+
+    Adding touches no data. Dropping rewrites the table, so that a column of
+    the same name can come back later without its old values.
+    """
+    index = store.index()
+    rows = store.read(keep_bucket=True)
+    if rows is None:
+        raise ValueError("there is no table yet")
+    generation = store.next_generation()
+    buckets = index[0].buckets
+    changed = add_columns(rows, add or {})
+    for name in drop:
+        changed = drop_column(changed, name)
+    written: list = []
+    if drop:
+        store.write_live(changed, generation, keys, buckets)
+        written = bucket_rows(store.read_staged(generation, changed.schema)).collect()
+    store.commit(generation, changed.schema, buckets, written, [] if drop else index, last_batches(index))
+    return generation
+
+
 def load_delta(
     spark: SparkSession,
     directory: str | Sequence[str],
