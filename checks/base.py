@@ -48,6 +48,8 @@ def oracle(text: str) -> str:
 def scratch(spark: SparkSession) -> str:
     """A new directory in the shared folder of the cluster; a local one only where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return f"{base or tempfile.mkdtemp(prefix='tidemark-')}/{uuid4().hex}"
 
 

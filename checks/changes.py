@@ -23,7 +23,7 @@ from checks.states import (
 from tidemark.functions.columns import live, tombstones
 from tidemark.functions.hashing import bucket_fingerprint, changed_buckets
 from tidemark.operators.audit import flag, stamp_audit
-from tidemark.operators.delta import apply_scd2, as_of, next_snapshot, snapshot_delta, start_history
+from tidemark.operators.delta import apply_scd2, as_of, next_snapshot, scd2_step, snapshot_delta, start_history
 from tidemark.operators.diff import (
     change_counts,
     changed_keys,
@@ -119,6 +119,18 @@ for _name in PAIRS:
         return deleted_keys(*_pair(spark, sf, pair))
 
 
+@query("snapshot_diff_orders_unique_keys", diff_sql("orders"))
+def _(spark, sf):
+    prev, curr, keys = _pair(spark, sf, "orders")
+    return snapshot_diff(prev, curr, keys, unique_keys=True)
+
+
+@query("snapshot_diff_conversations_unique_keys", diff_sql("conversations"))
+def _(spark, sf):
+    prev, curr, keys = _pair(spark, sf, "conversations")
+    return snapshot_diff(prev, curr, keys, unique_keys=True)
+
+
 @query("changed_keys_orders", f"select * from ({diff_sql('orders')}) d where change_kind <> 'S'")
 def _(spark, sf):
     return changed_keys(*_pair(spark, sf, "orders"))
@@ -270,6 +282,13 @@ for _name in ("orders", "conversations"):
         return apply_scd2(start_history(prev, keys, FIRST_TS), curr, keys, RUN_TS).drop("hash_val")
 
 
+@query("scd2_step_orders", _history_sql("orders"))
+def _(spark, sf):
+    prev, curr, keys = _pair(spark, sf, "orders")
+    closed, opened = scd2_step(start_history(prev, keys, FIRST_TS), curr, keys, RUN_TS)
+    return closed.unionByName(opened).drop("hash_val")
+
+
 @query("scd2_as_of_first", ORD_PREV)
 def _(spark, sf):
     prev, curr, keys = _pair(spark, sf, "orders")

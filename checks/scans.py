@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 
 from checks.base import bucket_sql, encoded_sql, hex_number_sql, query, row_hash_sql, state, table
 from checks.states import CONV_CURR, ORD_COLUMNS, ORD_CURR, ORD_PREV, ORD_TIMES, RUNS, WATERMARK
-from tidemark.functions.columns import business_columns, drop_columns, non_key_columns, project, row_count, table_columns
+from tidemark.functions.columns import (
+    business_columns,
+    drop_columns,
+    non_key_columns,
+    preview,
+    project,
+    row_count,
+    table_columns,
+)
 from tidemark.functions.hashing import bucket_count, bucket_fingerprint, hash_bucket, row_hash
 from tidemark.functions.scalars import duration_seconds, format_millis, none_if_empty, parse_list
 from tidemark.operators.delta import current_keys
@@ -113,6 +121,18 @@ def _(spark, sf):
     return current_keys(state(spark, sf, CONV_CURR), ["conv_id", "turn"])
 
 
+@query(
+    "preview_sizes",
+    " union all ".join(f"select '{t}' as table_name, least(10, count(*)) as rows from {{{t}}}" for t in TABLES),
+)
+def _(spark, sf):
+    sizes = None
+    for name in TABLES:
+        one = row_count(preview(table(spark, sf, name))).select(F.lit(name).alias("table_name"), "rows")
+        sizes = one if sizes is None else sizes.unionByName(one)
+    return sizes
+
+
 _BOUNDS = ("1996-01-01", "1998-01-01", "2000-01-01")
 
 

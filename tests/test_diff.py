@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bucket_fingerprint, changed_buckets
-from tidemark.operators.delta import apply_scd2, as_of, next_snapshot, snapshot_delta, start_history
+from tidemark.operators.delta import apply_scd2, as_of, next_snapshot, scd2_step, snapshot_delta, start_history
 from tidemark.operators.diff import (
     DuplicateKeyError,
     assert_unique_keys,
     change_counts,
+    classified_keys,
     deleted_keys,
     deletes,
     inserted_keys,
@@ -62,6 +63,19 @@ def test_diff_equals_brute_force(spark, seed, unique):
     assert got == brute_kinds(prev, curr)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_unique_key_diff_equals_brute_force(spark, seed):
+    prev, curr = random_state(seed), random_state(seed + 100)
+    diff = classified_keys(frame(spark, prev), frame(spark, [*curr, curr[0]]), KEYS, unique_keys=True)
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
+    got = {(r.a, r.b): (r.change_kind, r.curr_rows) for r in diff.collect()}
+    rows = {k: 0 for k in brute_kinds(prev, curr)}
+    for r in [*curr, curr[0]]:
+        rows[r[:2]] += 1
+    assert got == {k: (v, rows[k]) for k, v in brute_kinds(prev, curr).items()}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_key_sets_and_rows_equal_brute_force(spark, shuffled, seed):
     prev, curr = random_state(seed), random_state(seed + 50)
@@ -185,12 +199,20 @@ def test_history_can_be_read_as_of_any_run(spark, rows):
         [],
     ]
     history = None
+    opened, closed = None, []
     for day, data in enumerate(states, start=1):
         now = spark.createDataFrame(data, "k int, v string")
         run = f"2024-01-{day:02d} 00:00:00"
+        if opened is None:
+            opened = start_history(now, ["k"], run)
+        else:
+            ended, opened = scd2_step(opened, now, ["k"], run)
+            closed += ended.collect()
         history = start_history(now, ["k"], run) if history is None else apply_scd2(history, now, ["k"], run)
     for day, data in enumerate(states, start=1):
         assert rows(as_of(history, f"2024-01-{day:02d} 12:00:00"), "k", "v") == sorted(data, key=repr)
     assert rows(as_of(history, "2023-12-31")) == []
+    ends = {(r.k, r.v, r.valid_to): r.closed_by for r in history.where("valid_to is not null").collect()}
+    assert ends == {(r.k, r.v, r.valid_to): r.closed_by for r in closed} and opened.count() == 0
     closed = {(r.k, r.v): r.closed_by for r in history.collect()}
     assert closed[(1, "a")] == "U" and closed[(2, "b")] == "D" and closed[(3, "c")] == "D"

@@ -98,9 +98,33 @@ def apply_scd2(
     (``closed_by`` says which), inserted and updated rows open a version.
     Closed versions pass through without joining.
     """
-    now = timestamp_literal(run_ts)
     is_open = F.col("valid_to").isNull()
-    opened = history.where(is_open)
+    kept, begun = _scd2_versions(history.where(is_open), curr, keys, run_ts, changes)
+    return union_drift(union_drift(history.where(~is_open), kept), begun)
+
+
+def scd2_step(
+    opened: DataFrame,
+    curr: DataFrame,
+    keys: Sequence[str],
+    run_ts: datetime | str,
+    changes: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The same in two parts: versions closed by this run, and all versions open after it.
+
+    For a history stored apart: the first part is appended to the closed
+    versions, which are never read again, and the second replaces the open ones.
+    """
+    kept, begun = _scd2_versions(opened, curr, keys, run_ts, changes)
+    is_open = F.col("valid_to").isNull()
+    return kept.where(~is_open), union_drift(kept.where(is_open), begun)
+
+
+def _scd2_versions(
+    opened: DataFrame, curr: DataFrame, keys: Sequence[str], run_ts: datetime | str, changes: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Open versions, closed where their key changed, and newly begun ones."""
+    now = timestamp_literal(run_ts)
     if HASH not in curr.columns:
         curr, _ = with_row_hash(curr, curr, keys)
     if changes is None:
@@ -123,7 +147,7 @@ def apply_scd2(
             "closed_by": F.lit(None).cast("string"),
         }
     )
-    return union_drift(union_drift(history.where(~is_open), kept), begun)
+    return kept, begun
 
 
 def as_of(history: DataFrame, moment: datetime | str) -> DataFrame:

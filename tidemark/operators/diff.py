@@ -50,9 +50,20 @@ def with_row_hash(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> tupl
     )
 
 
-def classified_keys(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every key with its ``change_kind`` and its number of current rows, ``curr_rows``."""
+def classified_keys(
+    prev: DataFrame, curr: DataFrame, keys: Sequence[str], unique_keys: bool = False
+) -> DataFrame:
+    """Every key with its ``change_kind`` and its number of current rows, ``curr_rows``.
+
+    In general a state may hold several versions of a key, which takes two
+    aggregations: by key and hash, then by key. ``unique_keys`` says that the
+    previous state holds every key once and that current duplicates need only
+    be counted; then one aggregation does, with one shuffle, comparing least
+    and greatest hash of a key.
+    """
     prev, curr = with_row_hash(prev, curr, keys)
+    if unique_keys:
+        return _classified_unique(prev, curr, keys)
     versions = _tagged(prev, curr, [*keys, HASH])
     by_key = versions.groupBy(*key_columns(keys)).agg(
         F.max("in_prev").alias("in_prev"),
@@ -68,13 +79,35 @@ def classified_keys(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> Da
     return by_key.select(*key_columns(keys), kind.alias(CHANGE_KIND), "curr_rows")
 
 
-def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _classified_unique(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # Two 64-bit numbers stand for the hash text, because fixed-width values
+    # are what hash aggregation can keep in place.
+    numbers = [F.xxhash64(HASH).alias("h1"), F.xxhash64(F.lit(1), F.col(HASH)).alias("h2")]
+    before = prev.select(*key_columns(keys), *numbers, F.lit(1).alias("in_prev"), F.lit(0).alias("in_curr"))
+    after = curr.select(*key_columns(keys), *numbers, F.lit(0).alias("in_prev"), F.lit(1).alias("in_curr"))
+    by_key = before.unionByName(after).groupBy(*key_columns(keys)).agg(
+        F.max("in_prev").alias("in_prev"),
+        F.sum("in_curr").alias("curr_rows"),
+        ((F.min("h1") != F.max("h1")) | (F.min("h2") != F.max("h2"))).alias("differs"),
+    )
+    kind = (
+        F.when(F.col("in_prev") == 0, INSERTED)
+        .when(F.col("curr_rows") == 0, DELETED)
+        .when(F.col("differs"), UPDATED)
+        .otherwise(SAME)
+    )
+    return by_key.select(*key_columns(keys), kind.alias(CHANGE_KIND), "curr_rows")
+
+
+def snapshot_diff(
+    prev: DataFrame, curr: DataFrame, keys: Sequence[str], unique_keys: bool = False
+) -> DataFrame:
     """Classify every key of either state: ``change_kind`` is I, U, D or S (same).
 
     A key is updated if the current state holds a version of it that the
-    previous one did not.
+    previous one did not. See ``classified_keys`` for ``unique_keys``.
     """
-    return classified_keys(prev, curr, keys).drop("curr_rows")
+    return classified_keys(prev, curr, keys, unique_keys).drop("curr_rows")
 
 
 def inserted_keys(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -92,14 +125,16 @@ def updated_keys(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataF
     return _of_kind(snapshot_diff(prev, curr, keys), UPDATED).select(*key_columns(keys))
 
 
-def changed_keys(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:
+def changed_keys(
+    prev: DataFrame, curr: DataFrame, keys: Sequence[str], unique_keys: bool = False
+) -> DataFrame:
     """Inserted, updated and deleted keys with their ``change_kind``.
 
     Jobs that go on to fetch full rows should write this small table and
     read it back: its file size then tells the planner whether the following
     joins can broadcast it, sparing the shuffle of the full rows.
     """
-    return _of_kind(snapshot_diff(prev, curr, keys), INSERTED, UPDATED, DELETED)
+    return _of_kind(snapshot_diff(prev, curr, keys, unique_keys), INSERTED, UPDATED, DELETED)
 
 
 def upsert_keys(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from tidemark.operators.drift import add_columns, drop_column, schema_drift
 from tidemark.operators.merge import RESURRECT, MergePolicy, empty_target, latest_per_key, merge_delta
 from tidemark.sinks.datasets import append_raw, consume_raw, read_raw, write_and_read
 from tidemark.sinks.generations import GenerationStore, last_batches
-from tidemark.sources.files import EmptyLoad, ingest_files, validate_load
+from tidemark.sources.files import EmptyLoad, file_counts, ingest_files, validate_load
 from tidemark.sources.paths import run_name
 
 
@@ -129,15 +129,19 @@ def load_delta(
     on_empty: str = "fail",
     empty_raw: bool = True,
     buckets: int | None = None,
+    schema: T.StructType | None = None,
 ) -> int:
     """Pick up delta files, land them, check the load, merge, empty the landing table.
 
     Returns the rows landed. ``on_empty="skip"`` leaves the target alone when
     no row arrived. Files are matched by name pattern in the whole tree.
+    Giving the ``schema`` spares reading every file's footer to merge them.
     """
     try:
-        arrived = ingest_files(spark, directory, merge_schema=True, drop=[HASH], file_name="file_name")
-        files = ingest_files(spark, directory, merge_schema=True)
+        arrived = ingest_files(
+            spark, directory, schema, merge_schema=schema is None, drop=[HASH], file_name="file_name"
+        )
+        files = ingest_files(spark, directory, arrived.schema if schema is None else schema)
     except AnalysisException as error:
         if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             raise
@@ -149,12 +153,7 @@ def load_delta(
         arrived = arrived.withColumn("load_ts", timestamp_literal(run_ts))
     append_raw(arrived, raw_path, run)
     landed = read_raw(spark, raw_path, [run])
-    expected = (
-        files.select(F.col("_metadata.file_path").alias("file"))
-        .groupBy("file")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    rows = validate_load(landed, expected, on_empty, file_column="file_name")
+    rows = validate_load(landed, file_counts(files), on_empty, file_column="file_name")
     if rows == 0:
         return 0
     merge_into(store, landed.drop("file_name", "run"), keys, policy, run_ts, buckets)

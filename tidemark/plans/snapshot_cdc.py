@@ -98,7 +98,7 @@ def run_snapshot_cdc(
         curr = store.read_staged(generation, schema, now)
         regrouped = index[0].buckets != buckets
         prev = store.read(buckets=None if regrouped else changed)
-        compared = classified_keys(prev, curr, keys)
+        compared = classified_keys(prev, curr, keys, unique_keys=check_keys)
         notable = (F.col(CHANGE_KIND) != SAME) | (F.col("curr_rows") > 1)
         changes = write_and_read(compared.where(notable), store.work(generation, "changes"))
         if check_keys:
