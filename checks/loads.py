@@ -314,9 +314,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     base = scratch(spark)
-    state(spark, sf, ORD_RAW).write.partitionBy("load_ts").parquet(f"{base}/in-partitioned")
     # One directory per load, as deltas arrive.
-    state(spark, sf, ORD_RAW).write.parquet(f"{base}/in")
+    raw = state(spark, sf, ORD_RAW)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"):
+        load = raw.where(F.col("load_ts") == F.lit(day).cast("timestamp_ntz"))
+        load.write.parquet(f"{base}/in/{day.replace('-', '')}_000000")
     store = GenerationStore(spark, f"{base}/target")
     load_delta(spark, f"{base}/in", store, f"{base}/raw", ["o_orderkey"], run_ts=MERGE_TS, buckets=8)
     return store.read()
@@ -497,7 +499,7 @@ def _(spark, sf):
         run.alias("run"),
         F.col("LoadType").alias("load_type"),
         F.col("RowsProcessed").alias("rows"),
-        F.col("RowsDeleted").cast("int").alias("deleted"),
+        F.col("RowsDeleted").alias("deleted"),
     )
 
 
@@ -551,7 +553,7 @@ _STATE_COLUMNS = (*_STARTED, "StartTime", "EndTime", "Status", "TableRunStatus",
 @query(
     "log_start_runs",
     f"""select RunId, 'STARTED' as Status, 'STARTED' as TableRunStatus, 'RUNNING' as PipelineRunStatus,
-        0 as RowsMerged, StartTime from ({RUNS}) t""",
+        cast(0 as bigint) as RowsMerged, StartTime from ({RUNS}) t""",
 )
 def _(spark, sf):
     started, _ = _log(spark, sf)

@@ -216,3 +216,20 @@ def test_history_can_be_read_as_of_any_run(spark, rows):
     assert ends == {(r.k, r.v, r.valid_to): r.closed_by for r in closed} and opened.count() == 0
     closed = {(r.k, r.v): r.closed_by for r in history.collect()}
     assert closed[(1, "a")] == "U" and closed[(2, "b")] == "D" and closed[(3, "c")] == "D"
+
+
+def test_names_in_other_case(spark):
+    before = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "K int, Val string")
+    after = spark.createDataFrame([("x", 1), ("Y", 2), ("n", 4)], "VAL string, k int")
+    got = {r[0]: r.change_kind for r in snapshot_diff(before, after, ["k"]).collect()}
+    assert got == {1: "S", 2: "U", 3: "D", 4: "I"}
+    delta = snapshot_delta(before, after, ["k"], "2024-01-01")
+    assert {(r["k"], r["val"], r["soft_delete"]) for r in delta.selectExpr("k", "val", "soft_delete").collect()} == {
+        (2, "Y", 0), (4, "n", 0), (3, "z", 1)}
+
+
+def test_names_with_dots_and_spaces(spark):
+    before = spark.createDataFrame([(1, "x"), (2, "y")], "`order.id` int, `the value` string")
+    after = spark.createDataFrame([(1, "x"), (2, "z")], "`order.id` int, `the value` string")
+    delta = snapshot_delta(before, after, ["order.id"], "2024-01-01")
+    assert [tuple(r)[:2] for r in delta.collect()] == [(2, "z")]

@@ -323,3 +323,26 @@ def test_columns_of_a_stored_target_can_change(spark, tmp_path):
     assert merge_into(store, spark.createDataFrame([(1, "a", 0, DAY[1])], DELTA), ["k"], run_ts=DAY[1], batch=("s", 4)) is None
     with pytest.raises(ValueError):
         alter_target(store, ["k"], drop=["nothing"])
+
+
+@pytest.mark.parametrize("mode", ["snapshot", "timestamp"])
+def test_source_is_read_once_per_run(spark, paths, mode):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    # Changes the rows, with the run, of a source that counts what is read from it.
+    for day, size in enumerate((300, 250, 280)):
+        rows = spark.range(size).select(
+            F.col("id").alias("k"), (F.col("id") * (day + 1)).alias("v"), F.lit(DAY[day]).alias("at")
+        )
+        source = rows.mapInPandas(counted, rows.schema)
+        read.value = 0
+        if mode == "snapshot":
+            run_snapshot_cdc(spark, source, ["k"], paths, DAY[day], buckets=4)
+        else:
+            run_timestamp_cdc(spark, source, ["k"], ["at"], datetime(1900, 1, 1), paths, DAY[day], buckets=4)
+        assert read.value == size

@@ -14,7 +14,7 @@ from tidemark.operators.drift import UnmappedTypeError, add_columns, drop_column
 from tidemark.operators.incremental import changed_since, full_extract, next_watermark
 from tidemark.sources.files import ingest_files
 from tidemark.sources.paths import TablePaths, run_name
-from tidemark.sources.tables import partition_options, query_options, range_predicates, read_if_exists, read_snapshot
+from tidemark.sources.tables import bucket_predicates, partition_options, query_options, range_predicates, read_if_exists, read_snapshot
 from tidemark.specs import choose_load_type, read_spec_table, read_specs, split_names
 
 HEADER = "ID,SRC_DB_TYPE,DATABASE_NAME,SCHEMA_NAME,OBJ_TYPE,SRC_TBL_NAME,PRIMARY_KEY_COL,COL_NAMES,TRG_TBL_NAME,INCR_LOGIC_COL_NAME\n"
@@ -75,6 +75,14 @@ def test_range_predicates_select_every_row_once(spark, bounds):
     assert sorted(found, key=repr) == sorted(names, key=repr)
 
 
+def test_bucket_predicates_select_every_row_once(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    parts = [orders.where(p) for p in bucket_predicates("pmod(xxhash64(o_orderkey), 1000)", 4)]
+    assert all(p.count() > 0 for p in parts)
+    whole = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    assert whole.count() == orders.count() == whole.select("o_orderkey").distinct().count()
+
+
 def test_only_a_missing_path_means_first_run(spark, tmp_path):
     assert read_snapshot(spark, str(tmp_path / "none")) is None
     (tmp_path / "bad").mkdir()

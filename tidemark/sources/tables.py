@@ -46,6 +46,14 @@ def range_predicates(column: str, bounds: Sequence[object]) -> list[str]:
     return [first, *middle, f"{column} >= {values[-1]}"]
 
 
+def bucket_predicates(expression: str, buckets: int) -> list[str]:
+    """Predicates for one parallel read per hash bucket, hashed by the database.
+
+    ``expression`` is a non-negative integer there, e.g. ``ABS(CHECKSUM(order_id))``.
+    """
+    return [f"{expression} % {buckets} = {b}" for b in range(buckets)]
+
+
 def _sql_literal(value: object) -> str:
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         return str(value)
@@ -66,7 +74,8 @@ def read_table(
     url = rest.pop("url")
     if predicates is not None:
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=rest)
-    return spark.read.format("jdbc").options(url=url, dbtable=table, pushDownAggregate="true", **rest).load()
+    options = {"pushDownAggregate": "true", **rest, "url": url, "dbtable": table}
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def read_if_exists(spark: SparkSession, *paths: str, **options: object) -> DataFrame | None:
