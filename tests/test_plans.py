@@ -346,3 +346,52 @@ def test_source_is_read_once_per_run(spark, paths, mode):
         else:
             run_timestamp_cdc(spark, source, ["k"], ["at"], datetime(1900, 1, 1), paths, DAY[day], buckets=4)
         assert read.value == size
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**9])
+def test_small_and_large_deltas_merge_alike(spark, tmp_path, broadcast_bytes):
+    source = random.Random(11)
+    store = GenerationStore(spark, str(tmp_path))
+    expected = {}
+    for day in DAY[:6]:
+        load = [(k, f"{k}-{day:%d}", source.choice([0, 0, 1]), day) for k in source.sample(range(60), 20)]
+        merge_into(
+            store, spark.createDataFrame(load, DELTA), ["k"], run_ts=day, buckets=5, broadcast_bytes=broadcast_bytes
+        )
+        for k, v, gone, _ in load:
+            if gone and k in expected:
+                expected[k] = (expected[k][0], 1)
+            elif not gone:
+                expected[k] = (v, 0)
+        got = store.read(keep_bucket=True)
+        assert {r.k: (r.v, r.is_deleted) for r in got.collect()} == expected
+        # Every row lies in the bucket its key belongs to.
+        from tidemark.functions.hashing import hash_bucket
+
+        assert hash_bucket(got.withColumnRenamed("bucket", "at"), ["k"], 5).where("at <> bucket").count() == 0
+
+
+def test_rows_of_a_target_stay_in_their_tasks(spark, tmp_path, monkeypatch):
+    plans = []
+    whole = GenerationStore.write_in_place
+
+    def spy(self, kept, added, *args):
+        plans.append(kept._jdf.queryExecution().executedPlan().toString())
+        return whole(self, kept, added, *args)
+
+    monkeypatch.setattr(GenerationStore, "write_in_place", spy)
+    store = GenerationStore(spark, str(tmp_path))
+    for day in DAY[:2]:
+        merge_into(store, spark.createDataFrame([(1, "a", 0, day), (2, "b", 0, day)], DELTA), ["k"], run_ts=day, buckets=2)
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning" not in plans[0]
+
+
+def test_small_files_are_gathered_again(spark, tmp_path):
+    store = GenerationStore(spark, str(tmp_path))
+    most = 0
+    for n in range(12):
+        day = DAY[n]
+        merge_into(store, spark.createDataFrame([(n, "a", 0, day)], DELTA), ["k"], run_ts=day, buckets=1)
+        most = max(most, len(store.read().inputFiles()))
+    assert store.read().count() == 12
+    assert most <= 6

@@ -56,6 +56,11 @@ def non_key_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return _without(business_columns(df), keys)
 
 
+def content_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """What a row hash covers: all but the key and the columns a snapshot adds (any case)."""
+    return _without(df.columns, [*keys, SOFT_DELETE, HASH, BUCKET])
+
+
 def table_columns(df: DataFrame, exclude: Iterable[str] = CONTROL_COLUMNS) -> list[str]:
     """Columns in ordinal order without the target's control columns."""
     return _without(df.columns, exclude)
@@ -113,13 +118,18 @@ def key_columns(keys: Sequence[str]) -> list[Column]:
     return [quoted(k) for k in keys]
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def join_on_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, small: bool = False
+) -> DataFrame:
     """Null-safe equi-join on ``keys``; the result keeps the left key columns.
 
-    No broadcast hint is given: Spark broadcasts ``right`` only if its
-    statistics are under ``spark.sql.autoBroadcastJoinThreshold`` and
-    otherwise shuffles, with adaptive skew splitting of the left side.
+    ``small`` is for a right side whose stored size has been checked: it is
+    broadcast. Otherwise Spark broadcasts it only if its statistics are under
+    ``spark.sql.autoBroadcastJoinThreshold`` and else shuffles, with adaptive
+    skew splitting of the left side.
     """
+    if small:
+        right = F.broadcast(right)
     aliases = {k: f"__right_key_{i}" for i, k in enumerate(keys)}
     right = right.withColumnsRenamed(aliases)
     condition = reduce(and_, [quoted(k).eqNullSafe(F.col(a)) for k, a in aliases.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import BUCKET, HASH, key_columns, non_key_columns, quoted
+from tidemark.functions.columns import BUCKET, HASH, content_columns, key_columns, quoted
 
 # The separator of the compatible row hash and the bucket sizing defaults.
 SEPARATOR = "||"
@@ -65,7 +65,7 @@ def row_hash(
     NULLs, and values holding the separator can collide.
     """
     if columns is None:
-        columns = non_key_columns(df, keys)
+        columns = content_columns(df, keys)
     if mode == "compat":
         return df.withColumn(name, F.md5(F.concat_ws(SEPARATOR, *[quoted(c).cast("string") for c in columns])))
     if mode != "safe":

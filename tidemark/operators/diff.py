@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import CHANGE_KIND, HASH, join_on_keys, key_columns, non_key_columns
+from tidemark.functions.columns import CHANGE_KIND, HASH, content_columns, join_on_keys, key_columns
 from tidemark.functions.hashing import row_hash
 
 INSERTED, UPDATED, DELETED, SAME = "I", "U", "D", "S"
@@ -42,7 +42,7 @@ def with_row_hash(prev: DataFrame, curr: DataFrame, keys: Sequence[str]) -> tupl
     """
     if HASH in prev.columns and HASH in curr.columns:
         return prev, curr
-    names = {c.lower(): c for c in [*non_key_columns(prev, keys), *non_key_columns(curr, keys)]}
+    names = {c.lower(): c for c in [*content_columns(prev, keys), *content_columns(curr, keys)]}
     columns = list(names.values())
     return (
         prev if HASH in prev.columns else row_hash(prev, keys, columns=columns),

@@ -120,6 +120,24 @@ def merge_delta(
     The target is never on the build side of a join and is shuffled only if
     the delta is too large to broadcast.
     """
+    kept, added = merge_parts(target, delta, keys, policy, run_ts, deduplicated)
+    return kept.unionByName(added)
+
+
+def merge_parts(
+    target: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    policy: MergePolicy = RESURRECT,
+    run_ts: datetime | str = "1970-01-01",
+    deduplicated: bool = False,
+    small: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The same in two parts: the target's rows after the merge, and the inserted rows.
+
+    With ``small`` (a delta whose stored size has been checked) the target's
+    rows stay in the tasks that scan them.
+    """
     now = timestamp_literal(run_ts)
     target = _target_with_marks(target, policy)
     newest = delta if deduplicated else latest_per_key(delta, keys)
@@ -162,13 +180,13 @@ def merge_delta(
         return old
 
     types = {f.name: f.dataType for f in target.schema.fields}
-    kept = join_on_keys(target, incoming, keys, "left").select(
+    kept = join_on_keys(target, incoming, keys, "left", small).select(
         *[matched(c).cast(types[c]).alias(c) for c in target.columns]
     )
 
     live_rows = newest.where(F.col(SOFT_DELETE) == 0)
     known = join_on_keys(
-        target.select(*key_columns(keys)), live_rows.select(*key_columns(keys)), keys, "left_semi"
+        target.select(*key_columns(keys)), live_rows.select(*key_columns(keys)), keys, "left_semi", small
     )
     fresh = join_on_keys(live_rows, known, keys, "left_anti")
 
@@ -185,7 +203,7 @@ def merge_delta(
         return F.lit(None)
 
     added = fresh.select(*[inserted(c).cast(types[c]).alias(c) for c in target.columns])
-    return kept.unionByName(added)
+    return kept, added
 
 
 def merge_table(

@@ -14,8 +14,15 @@ from tidemark.functions.columns import BUCKET, HASH
 from tidemark.functions.hashing import bucket_count, hash_bucket
 from tidemark.functions.scalars import timestamp_literal
 from tidemark.operators.drift import add_columns, drop_column, schema_drift
-from tidemark.operators.merge import RESURRECT, MergePolicy, empty_target, latest_per_key, merge_delta
-from tidemark.sinks.datasets import append_raw, consume_raw, read_raw, write_and_read
+from tidemark.operators.merge import RESURRECT, MergePolicy, empty_target, latest_per_key, merge_parts
+from tidemark.sinks.datasets import (
+    BROADCAST_BYTES,
+    append_raw,
+    consume_raw,
+    read_raw,
+    stored_bytes,
+    write_and_read,
+)
 from tidemark.sinks.generations import GenerationStore, last_batches
 from tidemark.sources.files import EmptyLoad, file_counts, ingest_files, validate_load
 from tidemark.sources.paths import run_name
@@ -36,7 +43,8 @@ def merge_into(
     run_ts: datetime | str = "1970-01-01",
     buckets: int | None = None,
     batch: tuple[str, int] | None = None,
-    landed: bool = False,
+    landed: str | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> int | None:
     """Merge a delta into a stored target; returns the new generation, or None if nothing was done.
 
@@ -46,9 +54,12 @@ def merge_into(
     ignored, which makes redelivery harmless. New source columns are added to
     the target.
 
-    The latest row per key is written beside the target first, so that the
-    merge's joins are planned with its true size. ``landed`` says that the
-    delta already is a written table with one row per key, and spares that.
+    The latest row per key is written beside the target first, unless the
+    delta already lies at the path ``landed`` with one row per key. Its size
+    decides how to merge: up to ``broadcast_bytes`` it is broadcast, and the
+    target's rows are rewritten by the tasks that scan them, without a
+    shuffle. Beyond that, or once a target has gathered too many small files,
+    rows are joined by shuffle or at least written anew by bucket.
     """
     index = store.index()
     batches = last_batches(index)
@@ -64,12 +75,11 @@ def merge_into(
         buckets = index[0].buckets
     elif buckets is None:
         buckets = bucket_count(delta.count())
-    if landed:
+    if landed is not None:
         newest = hash_bucket(delta, keys, buckets)
     else:
-        newest = write_and_read(
-            hash_bucket(latest_per_key(delta, keys), keys, buckets), store.work(generation, "latest")
-        )
+        landed = store.work(generation, "latest")
+        newest = write_and_read(hash_bucket(latest_per_key(delta, keys), keys, buckets), landed)
     # At most one row per bucket comes back.
     touched = [r[BUCKET] for r in newest.select(BUCKET).distinct().collect()]
     if not touched:
@@ -77,16 +87,23 @@ def merge_into(
         return None
     newest = newest.drop(BUCKET)
 
-    target = store.read(buckets=touched)
+    target = store.read(buckets=touched, keep_bucket=True)
+    small = stored_bytes(store.spark, landed) <= broadcast_bytes
+    in_place = target is not None and small and not store.is_fragmented(target)
     if target is None:
         target = empty_target(newest, policy)
     else:
         target = add_columns(target, schema_drift(newest, target).added)
-    merged = merge_delta(target, newest, keys, policy, run_ts, deduplicated=True)
-    store.write_live(merged, generation, keys, buckets)
-    written = bucket_rows(store.read_staged(generation, merged.schema)).collect()
-    kept = [r for r in index if r.bucket not in set(touched)]
-    store.commit(generation, merged.schema, buckets, written, kept, batches)
+    kept, added = merge_parts(target, newest, keys, policy, run_ts, deduplicated=True, small=small)
+    if in_place:
+        store.write_in_place(kept, added, generation, keys, buckets)
+    else:
+        merged = kept.drop(BUCKET).unionByName(added.drop(BUCKET))
+        store.write_live(merged, generation, keys, buckets, gather=True)
+    schema = kept.drop(BUCKET).schema
+    written = bucket_rows(store.read_staged(generation, schema)).collect()
+    others = [r for r in index if r.bucket not in set(touched)]
+    store.commit(generation, schema, buckets, written, others, batches)
     return generation
 
 

@@ -120,7 +120,9 @@ def run_snapshot_cdc(
         if policy is not None:
             arrived = spark.read.parquet(result.delta_path).drop(HASH, BUCKET)
             target = GenerationStore(spark, paths.target)
-            merge_into(target, arrived, keys, policy, run_ts, buckets, landed=check_keys)
+            merge_into(
+                target, arrived, keys, policy, run_ts, buckets, landed=result.delta_path if check_keys else None
+            )
             result.merged = result.written
     kept = [] if not index else [r for r in index if r.bucket is not None and r.bucket not in changed]
     fresh = stats if not index else [r for r in stats if r["bucket"] in changed]

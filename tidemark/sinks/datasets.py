@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.columns import BUCKET
 
 
+# A written delta up to this size is broadcast; beyond it, joins shuffle.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     """Even out write tasks: rows of one column value go together, but a hot
     value is split over several tasks and small ones are packed (adaptive
@@ -21,6 +25,13 @@ def write_partitioned(df: DataFrame, path: str, column: str, mode: str = "overwr
     rebalanced(df, column).write.mode(mode).partitionBy(column).parquet(path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength()
+
+
 def write_delta(df: DataFrame, run_dir: str) -> None:
     """The delta of one run; a repeated run replaces its own directory."""
     if BUCKET in df.columns:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import BUCKET, SOFT_DELETE
 from tidemark.functions.hashing import hash_bucket
 from tidemark.operators.drift import union_drift
-from tidemark.sinks.datasets import write_partitioned
+from tidemark.sinks.datasets import stored_bytes, write_partitioned
 
 GENERATION = "generation"
 INDEX_SCHEMA = T.StructType(
@@ -142,16 +142,42 @@ class GenerationStore:
 
     # -- writing ---------------------------------------------------------
 
-    def write_live(self, df: DataFrame, generation: int, keys: Sequence[str], buckets: int) -> None:
-        """Write live rows by hash bucket of the key; invisible until committed."""
+    def write_live(
+        self, df: DataFrame, generation: int, keys: Sequence[str], buckets: int, gather: bool = False
+    ) -> None:
+        """Write live rows by hash bucket of the key; invisible until committed.
+
+        A table of one bucket is written as it comes, without a shuffle,
+        unless its rows are to be gathered into files of even size.
+        """
         if BUCKET not in df.columns:
             df = hash_bucket(df, keys, buckets)
         path = self._dir("live", generation)
-        if buckets == 1:
+        if buckets == 1 and not gather:
             df.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         else:
             write_partitioned(df, path, BUCKET)
 
+    def write_in_place(
+        self, kept: DataFrame, added: DataFrame, generation: int, keys: Sequence[str], buckets: int
+    ) -> None:
+        """Write rows read from this store by bucket, and new rows beside them.
+
+        ``kept`` must come from ``read(keep_bucket=True)`` without a shuffle
+        in between: every task then holds rows of the few buckets whose files
+        it has scanned, and can write them where it is. Only ``added`` moves.
+        """
+        path = self._dir("live", generation)
+        kept.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        write_partitioned(hash_bucket(added.drop(BUCKET), keys, buckets), path, BUCKET, mode="append")
+
+    def is_fragmented(self, df: DataFrame, bytes_per_file: int = 128 * 1024 * 1024) -> bool:
+        """Whether rows of this store lie in many more files than their size asks for."""
+        files = df.inputFiles()
+        folders = {f.rsplit("/", 1)[0] for f in files}
+        size = sum(stored_bytes(self.spark, f) for f in folders)
+        return len(files) > 4 * (len(folders) + size // bytes_per_file)
+
     def write_history(self, df: DataFrame, generation: int) -> DataFrame:
         """Write replaced rows and return them as written."""
         path = self._dir("history", generation)
