@@ -446,6 +446,18 @@ def _(spark, sf):
     return GenerationStore(spark, paths.snapshot).read_snapshot(only_last_deletes=True)
 
 
+@query("timestamp_cdc_trusted_delta_orders", TIMESTAMP_DELTA_SQL)
+def _(spark, sf):
+    paths = TablePaths(scratch(spark), "shop", "main", "orders")
+    since = datetime.fromisoformat(WATERMARK)
+    for states, run_ts in ((ORD_TIMES_PREV, FIRST_TS), (ORD_TIMES_CURR, RUN_TS)):
+        result = run_timestamp_cdc(
+            spark, state(spark, sf, states), ["o_orderkey"], ["ins_ts", "upd_ts"], since, paths, run_ts,
+            buckets=8, policy=None, trust_timestamps=True,
+        )
+    return spark.read.parquet(result.delta_path).drop("bucket")
+
+
 # Three tables in one go, two runs: orders by comparison, conversations by
 # comparison on a composite key, events by timestamp.
 _SYNC_STATES = {

@@ -184,6 +184,45 @@ def test_timestamp_runs(spark, paths):
     assert (run.written, run.watermark) == (0, DAY[4]) and store.generations() == [1, 2]
 
 
+@pytest.mark.parametrize("trust", [True, False])
+def test_trusted_timestamps_give_the_same_snapshot_and_target(spark, paths, trust):
+    source = random.Random(3)
+    state, mark = {}, datetime(1900, 1, 1)
+    expected = {}
+    for day in DAY[:5]:
+        gone = source.sample(sorted(state), min(len(state), 4)) if state else []
+        for k in gone:
+            expected[k] = (state.pop(k)[0], 1)
+        for k in source.sample(range(40), 10):
+            state[k] = (f"{k}-{day:%d}", day)
+            expected[k] = (state[k][0], 0)
+        rows = spark.createDataFrame([(k, v, at, None) for k, (v, at) in sorted(state.items())], TS)
+        run = run_timestamp_cdc(
+            spark, rows, ["k"], ["ins", "upd"], mark, paths, day, buckets=3, trust_timestamps=trust
+        )
+        mark = run.watermark
+        assert target_state(spark, paths) == expected
+        snapshot = GenerationStore(spark, paths.snapshot).read()
+        assert {r.k: (r.v, r.ins) for r in snapshot.collect()} == state
+
+
+def test_trusted_increment_with_a_new_column_or_nothing(spark, paths):
+    start = datetime(1900, 1, 1)
+    rows = spark.createDataFrame([(k, "a", DAY[0]) for k in range(20)], "k int, v string, ins timestamp_ntz")
+    args = (["k"], ["ins"])
+    run = run_timestamp_cdc(spark, rows, *args, start, paths, DAY[10], buckets=3, trust_timestamps=True)
+    run = run_timestamp_cdc(spark, rows, *args, run.watermark, paths, DAY[11], trust_timestamps=True)
+    store = GenerationStore(spark, paths.snapshot)
+    assert run.written == 0 and store.generations() == [1]
+    wider = rows.withColumn("w", F.lit(None).cast("int")).where("k <> 5").union(
+        spark.createDataFrame([(99, "n", DAY[1], 7)], "k int, v string, ins timestamp_ntz, w int")
+    )
+    run = run_timestamp_cdc(spark, wider, *args, run.watermark, paths, DAY[12], trust_timestamps=True)
+    assert (run.extracted, run.deleted) == (1, 1)
+    assert store.read().count() == 20 and store.read().where("w = 7").count() == 1
+    assert {r.data_generation for r in store.index()} >= {store.current()}
+
+
 def test_rows_without_timestamps_can_be_included(spark, paths):
     data = spark.createDataFrame([(1, "a", DAY[0], None), (2, "null", None, None)], TS)
     run = run_timestamp_cdc(spark, data, ["k"], ["ins", "upd"], datetime(1900, 1, 1), paths, DAY[9], buckets=1, nulls="include")

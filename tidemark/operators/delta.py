@@ -47,9 +47,11 @@ def snapshot_delta(
     return stamp_audit(append_like(new, gone), run_ts)
 
 
-def replaced_rows(prev: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def replaced_rows(
+    prev: DataFrame, changes: DataFrame, keys: Sequence[str], small: bool = False
+) -> DataFrame:
     """Superseded and deleted previous rows in one join, with ``change_kind`` U or D."""
-    return rows_of_kind(prev, changes, keys, UPDATED, DELETED, keep_kind=True)
+    return rows_of_kind(prev, changes, keys, UPDATED, DELETED, keep_kind=True, small=small)
 
 
 def next_snapshot(

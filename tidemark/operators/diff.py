@@ -162,13 +162,21 @@ def _of_kind(changes: DataFrame, *kinds: str) -> DataFrame:
 
 
 def rows_of_kind(
-    rows: DataFrame, changes: DataFrame, keys: Sequence[str], *kinds: str, keep_kind: bool = False
+    rows: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    *kinds: str,
+    keep_kind: bool = False,
+    small: bool = False,
 ) -> DataFrame:
-    """Rows whose key changed in one of the given ways; ``changes`` has one row per key."""
+    """Rows whose key changed in one of the given ways; ``changes`` has one row per key.
+
+    ``small`` is for changes whose stored size has been checked.
+    """
     wanted = _of_kind(changes, *kinds)
     if keep_kind:
-        return join_on_keys(rows, wanted, keys, "inner")
-    return join_on_keys(rows, wanted.select(*key_columns(keys)), keys, "left_semi")
+        return join_on_keys(rows, wanted, keys, "inner", small)
+    return join_on_keys(rows, wanted.select(*key_columns(keys)), keys, "left_semi", small)
 
 
 def upserts(

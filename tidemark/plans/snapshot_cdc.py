@@ -26,7 +26,7 @@ from tidemark.operators.drift import append_like
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import merge_into
 from tidemark.plans.result import RunResult
-from tidemark.sinks.datasets import write_and_read, write_delta
+from tidemark.sinks.datasets import BROADCAST_BYTES, stored_bytes, write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore
 from tidemark.sources.paths import TablePaths
 
@@ -109,9 +109,10 @@ def run_snapshot_cdc(
         result.updated = counts.get(UPDATED, 0)
         result.deleted = counts.get(DELETED, 0)
 
-        replaced = store.write_history(replaced_rows(prev, changes, keys), generation)
+        small = stored_bytes(spark, store.work(generation, "changes")) <= BROADCAST_BYTES
+        replaced = store.write_history(replaced_rows(prev, changes, keys, small), generation)
         gone = replaced.where(F.col(CHANGE_KIND) == DELETED).drop(CHANGE_KIND)
-        new = rows_of_kind(curr, changes, keys, INSERTED, UPDATED)
+        new = rows_of_kind(curr, changes, keys, INSERTED, UPDATED, small=small)
         delta = append_like(flag(new, deleted=False), flag(hash_bucket(gone, keys, buckets), deleted=True))
 
     if result.written:

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import BUCKET, SOFT_DELETE, join_on_keys
+from tidemark.functions.columns import BUCKET, SOFT_DELETE, join_on_keys, key_columns
 from tidemark.functions.hashing import bucket_count, hash_bucket
-from tidemark.operators.diff import deleted_keys
 from tidemark.operators.audit import flag, stamp_audit
-from tidemark.operators.drift import append_like
+from tidemark.operators.diff import deleted_keys
+from tidemark.operators.drift import add_columns, append_like, schema_drift
 from tidemark.operators.incremental import changed_since, extract_summary
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import bucket_rows, merge_into
 from tidemark.plans.result import RunResult
-from tidemark.sinks.datasets import write_and_read, write_delta
+from tidemark.sinks.datasets import BROADCAST_BYTES, stored_bytes, write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore
 from tidemark.sources.paths import TablePaths
 
@@ -33,45 +33,57 @@ def run_timestamp_cdc(
     buckets: int | None = None,
     policy: MergePolicy | None = RESURRECT,
     nulls: str = "exclude",
+    trust_timestamps: bool = False,
 ) -> RunResult:
     """Deliver rows over ``watermark`` and keys gone since the last snapshot, then commit the snapshot.
 
     The source is read once; the increment, the deletions, the snapshot and
     the next watermark all come from that one reading. If nothing changed,
     no generation is committed and the watermark stays.
+
+    ``trust_timestamps`` says that every change of a row moves one of its
+    timestamps over the watermark. Then only the increment and the keys are
+    read from the source (both reach the scan as filter and column list), and
+    the snapshot is brought up to date from them in the buckets concerned,
+    instead of being written anew.
     """
     store = GenerationStore(spark, paths.snapshot)
     index = store.index()
     if buckets is None:
         buckets = index[0].buckets if index else bucket_count(source.count())
     generation = store.next_generation()
+    over = changed_since(source, ts_cols, watermark, nulls)
 
-    staged = hash_bucket(source, keys, buckets)
-    schema = staged.drop(BUCKET).schema
-    store.write_live(staged, generation, keys, buckets)
-    current = store.read_staged(generation, schema)
-    stats = bucket_rows(current).collect()
-
-    delta = flag(changed_since(current, ts_cols, watermark, nulls), deleted=False)
-    prev = store.read()
-    if prev is not None:
-        gone_keys = write_and_read(deleted_keys(prev, current, keys), store.work(generation, "gone"))
-        gone = store.write_history(join_on_keys(prev, gone_keys, keys, "left_semi"), generation)
-        delta = append_like(delta, flag(hash_bucket(gone, keys, buckets), deleted=True))
-    delta_path = paths.run_dir(run_ts)
-    write_delta(stamp_audit(delta, run_ts), delta_path)
+    if index and trust_timestamps:
+        buckets = index[0].buckets
+        delta, commit = _from_increment(store, generation, source, over, keys, buckets)
+    else:
+        staged = hash_bucket(source, keys, buckets)
+        schema = staged.drop(BUCKET).schema
+        store.write_live(staged, generation, keys, buckets)
+        current = store.read_staged(generation, schema)
+        delta = flag(changed_since(current, ts_cols, watermark, nulls), deleted=False)
+        prev = store.read()
+        if prev is not None:
+            gone_keys = write_and_read(deleted_keys(prev, current, keys), store.work(generation, "gone"))
+            gone = store.write_history(join_on_keys(prev, gone_keys, keys, "left_semi"), generation)
+            delta = append_like(delta, flag(hash_bucket(gone, keys, buckets), deleted=True))
+
+        def commit() -> None:
+            store.commit(generation, schema, buckets, bucket_rows(current).collect())
 
-    arrived = spark.read.schema(stamp_audit(delta, run_ts).schema).parquet(delta_path)
-    live = arrived.where(F.col(SOFT_DELETE) == 0)
-    summary = extract_summary(live, ts_cols).first()
-    deleted = arrived.where(F.col(SOFT_DELETE) == 1).count()
+    delta = stamp_audit(delta, run_ts)
+    delta_path = paths.run_dir(run_ts)
+    write_delta(delta, delta_path)
+    arrived = spark.read.schema(delta.schema).parquet(delta_path)
+    summary = extract_summary(arrived.where(F.col(SOFT_DELETE) == 0), ts_cols).first()
     result = RunResult(
         run_ts=run_ts,
         load_type="TIMESTAMP",
         generation=generation,
         extracted=summary["rows"],
         inserted=summary["rows"],
-        deleted=deleted,
+        deleted=arrived.where(F.col(SOFT_DELETE) == 1).count(),
         watermark=max(watermark, summary["max_ts"] or watermark),
         delta_path=delta_path,
     )
@@ -79,9 +91,58 @@ def run_timestamp_cdc(
         store.discard(generation)
         return result
     if policy is not None:
-        merge_into(
-            GenerationStore(spark, paths.target), arrived.drop(BUCKET), keys, policy, run_ts, buckets
-        )
+        target = GenerationStore(spark, paths.target)
+        merge_into(target, arrived.drop(BUCKET), keys, policy, run_ts, buckets)
         result.merged = result.written
-    store.commit(generation, schema, buckets, stats)
+    commit()
     return result
+
+
+def _from_increment(
+    store: GenerationStore,
+    generation: int,
+    source: DataFrame,
+    over: DataFrame,
+    keys: Sequence[str],
+    buckets: int,
+) -> tuple[DataFrame, Callable[[], None]]:
+    """Delta (with ``bucket``) from increment and keys, and the step that commits the snapshot.
+
+    The increment is landed before the keys are read: a row deleted in
+    between is delivered as live and as deleted, of which deleted wins.
+    """
+    spark = store.spark
+    increment_path, gone_path = store.work(generation, "increment"), store.work(generation, "gone")
+    increment = write_and_read(hash_bucket(over, keys, buckets), increment_path)
+    here = source.select(*key_columns(keys))
+    gone_keys = write_and_read(
+        hash_bucket(deleted_keys(store.read(), here, keys), keys, buckets), gone_path
+    )
+    # At most one row per bucket comes back.
+    moved = increment.select(BUCKET).union(gone_keys.select(BUCKET)).distinct()
+    touched = {r[BUCKET] for r in moved.collect()}
+    before = store.read(buckets=touched, keep_bucket=True)
+    small = stored_bytes(spark, increment_path) + stored_bytes(spark, gone_path) <= BROADCAST_BYTES
+    gone = store.write_history(
+        join_on_keys(before.drop(BUCKET), gone_keys.drop(BUCKET), keys, "left_semi", small), generation
+    )
+    delta = append_like(
+        flag(increment, deleted=False), flag(hash_bucket(gone, keys, buckets), deleted=True)
+    )
+
+    def commit() -> None:
+        widened = add_columns(before, schema_drift(increment, before, ignore=[BUCKET]).added)
+        replaced = increment.select(*key_columns(keys)).union(gone_keys.select(*key_columns(keys)))
+        kept = join_on_keys(widened, replaced, keys, "left_anti", small)
+        added = join_on_keys(increment, gone_keys.drop(BUCKET), keys, "left_anti", small)
+        if small and not store.is_fragmented(before):
+            store.write_in_place(kept, added, generation, keys, buckets)
+        else:
+            merged = kept.unionByName(added, allowMissingColumns=True).drop(BUCKET)
+            store.write_live(merged, generation, keys, buckets, gather=True)
+        schema = widened.drop(BUCKET).schema
+        written = bucket_rows(store.read_staged(generation, schema)).collect()
+        others = [r for r in store.index() if r.bucket not in touched]
+        store.commit(generation, schema, buckets, written, others)
+
+    return delta, commit
