@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.chat import CONTROL, END, TEXT, TURN, chat_digests, format_chats
 from tidemark.llm.decontamination import benchmark_leaks
 from tidemark.llm.divergence import divergence_quality
+from tidemark.llm.line_dedup import similar_lines
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.pii import personal_data
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash import simhash_groups
@@ -39,6 +42,43 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+# Entropy 0.9 of equal weights, at most 4 passes, as many tokens as the corpus, seed 42; bisection as in the operator.
+_MIX = r"""
+with recursive docs as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) n_tokens from documents),
+sizes as (select source, count(*) n_rows, sum(n_tokens)::bigint n from docs group by source having sum(n_tokens) > 0),
+total as (select sum(n)::double t from sizes),
+listed as (select list(n / t) s, count(*) many from sizes, total),
+tries as (
+  select 0 k, 0.0::double lo, 1.0::double hi
+  union all
+  select k + 1, case when ok then lo else mid end, case when ok then mid else hi end from (
+    select k, lo, hi, (lo + hi) / 2 mid,
+      list_sum([pow(x, (lo + hi) / 2) for x in s]) z,
+      list_sum([pow(x, (lo + hi) / 2) * ln(x) for x in s]) w,
+      list_max([pow(x, (lo + hi) / 2 - 1) for x in s]) most,
+      (most / z <= 4.0) and not (many > 1 and ln(z) - mid * w / z > ln(many) * 0.9) ok
+    from tries, listed where k < 40)),
+weights as (
+  select source, n_rows, n, round(pow(n / t, hi) / sum(pow(n / t, hi)) over () * t)::bigint budget
+  from sizes, total, (select hi from tries where k = 40)),
+blocks as (
+  select doc_id, d.source, block, n_tokens, n, budget, n_rows,
+    md5(concat_ws(':', coalesce(doc_id::text, '-'), block::text, '42')) key
+  from docs d join weights w on d.source is not distinct from w.source, unnest(range(0, budget // n + 1)) u(block)
+  where block < budget // n or budget % n > 0),
+placed as (
+  select *, row_number() over (partition by source, block order by key, n_tokens) - 1 as position,
+    sum(n_tokens) over (partition by source, block order by key, n_tokens rows unbounded preceding) used from blocks)
+select doc_id, source, block, position, n_tokens from placed where block < budget // n or used <= budget % n
+"""
+
+
+@query("op2_mixing", _MIX)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 @query("op3_divergence")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_quality(table(spark, sf_dir, "documents"))
@@ -54,6 +94,40 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# Two sets of at least 80 % Jaccard similarity share one of their rarest words; equality by sorted list of words.
+_LINES = r"""
+with lines as (
+  select doc_id, (i - 1)::int line_no, list_sort(list_distinct(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))) s
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) ls from documents), unnest(ls) with ordinality u(l, i)),
+sets as (
+  select s, len(s)::int n, min((doc_id, line_no)) first, row_number() over (order by s) id
+  from lines where len(s) > 0 group by s),
+df as (select w, count(*) c from (select unnest(s) w from sets) group by w),
+ranked as (
+  select id, n, w, row_number() over (partition by id order by c, w) pos
+  from (select id, n, unnest(s) w from sets) join df using (w)),
+prefixes as (select * from ranked where n >= 4 and pos <= n - (80 * n + 99) // 100 + 1),
+pairs as (
+  select distinct a.id x, b.id y from prefixes a join prefixes b using (w)
+  where (a.n < b.n or (a.n = b.n and a.id < b.id)) and 80 * b.n <= 100 * a.n),
+links as (
+  select x, y from pairs join sets a on a.id = x join sets b on b.id = y
+  where 180 * len(list_intersect(a.s, b.s)) >= 80 * (a.n + b.n)),
+both_ways as (select x, y from links union all select y, x from links),
+linked as (
+  select x id, count(*) n_links, bool_or(b.first < a.first) later
+  from both_ways join sets a on a.id = x join sets b on b.id = y group by x)
+select l.doc_id, l.line_no, coalesce(first[1], l.doc_id) class_doc, coalesce(first[2], l.line_no)::int class_line,
+  coalesce(n_links, 0) n_links, first is not null and (first <> (l.doc_id, l.line_no) or coalesce(later, false)) removed
+from lines l left join sets using (s) left join linked using (id)
+"""
+
+
+@query("op6_line_dedup", _LINES)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_lines(table(spark, sf_dir, "documents"))
+
+
 @query("op7_sharding")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
@@ -64,6 +138,39 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _escaped_sql(text: str) -> str:
+    text = f"replace({text}, '\\', '\\\\')"
+    for control in CONTROL:
+        text = f"replace({text}, '{control}', '{control[0]}\\{control[1:]}')"
+    return text
+
+
+_CHATS = f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+flagged as (
+  select *, lag(r) over w is distinct from r as new from turns window w as (partition by conv_id order by turn nulls first, r, t)),
+sums as (
+  select conv_id, count(*) n_turns, string_agg(r || chr(10) || t || chr(10), '' order by turn nulls first, r, t) told,
+    coalesce(string_agg(t, '' order by turn nulls first, r, t) filter (r = 'assistant'), '') loss,
+    sum(length({_escaped_sql("t")}) + {len(TEXT)} + case when new then length({_escaped_sql("r")}) + {len(TURN) + len(END)} else 0 end) chars
+  from flagged group by conv_id)
+select conv_id, n_turns, sha256(told) turns_sha256, length(loss) loss_chars, sha256(loss) loss_sha256, chars::bigint formatted_chars
+from sums
+"""
+
+
+@query("op9_chat_format", _CHATS)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.sql(
+        "select cast(-1 as bigint) conv_id, cast(turn as bigint) turn, role, text from values"
+        " (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]') as t(turn, role, text)"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat_digests(format_chats(rows))
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import in_batches, text_slices, texts_by_id, written
+from tidemark.llm.work import columns_of, in_batches, text_slices, texts_by_id, written
 
 BITS = 64
 #: Members of a node beyond which it is factored by more bits, and children of a node of the tree.
@@ -360,7 +360,7 @@ def simhash_dedup(documents: DataFrame, distance: int = 11, width: int = 5, simi
     columns are kept. Of rows with the same id and a group in common one stays; a group whose ids are all null
     keeps one row. An empty table gives an empty result.
     """
-    columns = documents.columns
+    columns = columns_of(documents)
     prints = written(fingerprints(documents))
     patterns = _patterns(prints)
     links = written(near_links(patterns, distance, masks=sampled_masks(patterns.count())))

@@ -47,6 +47,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """Its columns, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def texts_by_id(documents: DataFrame, *more: Column) -> DataFrame:
     """``doc_id`` and ``text`` alone (with what else is asked for), whatever other columns there are."""
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *more)
