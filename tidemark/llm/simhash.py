@@ -126,7 +126,7 @@ def index_nodes(patterns: DataFrame, distance: int, node_rows: int = NODE_ROWS,
         of = F.create_map(*[x for m in large for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(c)) for c in children[m]]))])
         inside = rows.join(hot.select("mask", "pattern"), ["mask", "pattern"], "left_semi")
         rows = inside.select(F.explode(F.element_at(of, F.col("mask"))).alias("mask"), "fingerprint").distinct()
-        masks = [c for m in large for c in children[m]]
+        masks = sorted({c for m in large for c in children[m]})
     nodes = done[0]
     for more in done[1:]:
         nodes = nodes.unionByName(more)
