@@ -59,7 +59,7 @@ def scratch(spark: SparkSession) -> str:
 def encoded_sql(*columns: str) -> str:
     """Unambiguous text of several columns, as the row hash uses it."""
     return " || ".join(
-        f"coalesce(cast(strlen(cast({c} as string)) as string), '-') || ':' || coalesce(cast({c} as string), '')"
+        f"coalesce('{len(c)}:{c.lower()}=' || cast(strlen(cast({c} as string)) as string) || ':' || cast({c} as string), '')"
         for c in columns
     )
 

@@ -24,6 +24,7 @@ from checks.states import (
     WATERMARK,
 )
 from tidemark.control.runlog import (
+    RunLog,
     control_view,
     last_watermarks,
     latest_run,
@@ -55,7 +56,7 @@ from tidemark.plans.sync import sync_tables
 from tidemark.plans.timestamp_cdc import run_timestamp_cdc
 from tidemark.sinks.datasets import append_raw, consume_raw, read_raw, write_delta
 from tidemark.sinks.generations import GenerationStore
-from tidemark.sources.files import file_counts, ingest_files, validate_load
+from tidemark.sources.files import file_counts, ingest_files, load_differences, validate_load
 from tidemark.sources.paths import TablePaths
 from tidemark.sources.tables import read_snapshot
 from tidemark.specs import TableSpec
@@ -252,12 +253,21 @@ def _(spark, sf):
 # -- files ----------------------------------------------------------------
 
 
+#: Every order is in one of these, whatever its status.
+_PARTS = {
+    "O": "o_orderstatus <=> 'O'",
+    "P": "o_orderstatus <=> 'P'",
+    "other": "o_orderstatus is null or o_orderstatus not in ('O', 'P')",
+}
+_PART_SQL = "case when o_orderstatus in ('O', 'P') then o_orderstatus else 'other' end"
+
+
 def _landed(spark, sf):
     """Current orders as files in a tree: one directory per status, one of them with a column more."""
     base = scratch(spark)
     orders = state(spark, sf, ORD_CURR)
-    for value in ("O", "P", "F"):
-        part = orders.where(F.col("o_orderstatus") == value)
+    for value, is_here in _PARTS.items():
+        part = orders.where(is_here)
         if value == "P":
             part = part.withColumn("hash_val", F.md5(F.col("o_orderpriority")))
         part.write.parquet(f"{base}/run-1/{value}")
@@ -298,14 +308,34 @@ def _(spark, sf):
 
 @query(
     "validate_load_by_directory",
-    f"select o_orderstatus as directory, count(*) as rows from ({ORD_CURR}) t group by 1",
+    f"select {_PART_SQL} as directory, count(*) as rows from ({ORD_CURR}) t group by 1",
+)
+def _(spark, sf):
+    raw, files = _landed_raw(spark, sf, "true")
+    validate_load(raw, files, file_column="file_name")
+    directory = F.regexp_extract("file", "/run-1/([^/]+)/", 1)
+    return file_counts(raw, "file_name").groupBy(directory.alias("directory")).agg(F.sum("rows").alias("rows"))
+
+
+def _landed_raw(spark, sf, where):
+    """A landing table of the files' rows that satisfy ``where``, and the row counts of the files themselves."""
+    base, schema = _landed(spark, sf), state(spark, sf, ORD_PREV).schema
+    append_raw(ingest_files(spark, base, schema, file_name="file_name").where(where), f"{base}/raw", "load")
+    return read_raw(spark, f"{base}/raw", ["load"]), file_counts(ingest_files(spark, f"{base}/run-1", schema))
+
+
+@query(
+    "load_differences_file_short",
+    f"""select {_PART_SQL} as directory, count(case when o_orderpriority <> '1-URGENT' then 1 end) as rows, count(*) as want
+        from ({ORD_CURR}) t group by 1""",
 )
 def _(spark, sf):
-    landed = ingest_files(spark, _landed(spark, sf), state(spark, sf, ORD_PREV).schema, file_name="file_name")
-    counts = file_counts(landed, "file_name")
-    validate_load(landed, counts, file_column="file_name")
+    raw, files = _landed_raw(spark, sf, "o_orderpriority <> '1-URGENT'")
+    short = load_differences(raw, files, "file_name")
     directory = F.regexp_extract("file", "/run-1/([^/]+)/", 1)
-    return counts.groupBy(directory.alias("directory")).agg(F.sum("rows").alias("rows"))
+    return short.groupBy(directory.alias("directory")).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.sum("want").alias("want")
+    )
 
 
 @query(
@@ -316,9 +346,8 @@ def _(spark, sf):
     base = scratch(spark)
     # One directory per load, as deltas arrive.
     raw = state(spark, sf, ORD_RAW)
-    for day in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"):
-        load = raw.where(F.col("load_ts") == F.lit(day).cast("timestamp_ntz"))
-        load.write.parquet(f"{base}/in/{day.replace('-', '')}_000000")
+    for number, day in enumerate(sorted(r["load_ts"] for r in raw.select("load_ts").distinct().collect())):
+        raw.where(F.col("load_ts") == F.lit(day)).write.parquet(f"{base}/in/load-{number}")
     store = GenerationStore(spark, f"{base}/target")
     load_delta(spark, f"{base}/in", store, f"{base}/raw", ["o_orderkey"], run_ts=MERGE_TS, buckets=8)
     return store.read()
@@ -331,8 +360,8 @@ def _(spark, sf):
 def _(spark, sf):
     base = scratch(spark)
     orders = state(spark, sf, ORD_CURR).select("o_orderkey", "o_totalprice", "o_orderstatus")
-    for value in ("O", "P", "F"):
-        part = orders.where(F.col("o_orderstatus") == value).drop("o_orderstatus")
+    for value, is_here in _PARTS.items():
+        part = orders.where(is_here).drop("o_orderstatus")
         part.write.parquet(f"{base}/in/{value}")
         stream = ingest_stream(spark, f"{base}/in", part.schema)
         land_stream(stream, f"{base}/landed", f"{base}/checkpoint").awaitTermination()
@@ -414,6 +443,110 @@ def _(spark, sf):
     return parts[0].unionByName(parts[1]).drop("hash_val")
 
 
+@query(
+    "snapshot_after_expire_orders",
+    f"""select {', '.join(ORD_COLUMNS)}, 0 as soft_delete from ({ORD_CURR}) b
+        union all select {', '.join(ORD_COLUMNS)}, 1 from (
+          select p.* from ({ORD_PREV}) p left join ({ORD_CURR}) c on p.o_orderkey = c.o_orderkey
+          where c.o_orderkey is null or p.o_totalprice <> c.o_totalprice
+             or p.o_orderstatus is distinct from c.o_orderstatus) g
+        union all select {', '.join(ORD_COLUMNS)}, 1 from ({ORD_CURR}) c
+          where not exists (select 1 from ({ORD_PREV}) p where p.o_orderkey = c.o_orderkey)
+        union all select {', '.join(ORD_COLUMNS)}, 1 from (
+          select c.* from ({ORD_CURR}) c join ({ORD_PREV}) p on p.o_orderkey = c.o_orderkey
+          where p.o_totalprice <> c.o_totalprice or p.o_orderstatus is distinct from c.o_orderstatus) g""",
+)
+def _(spark, sf):
+    # there and back and there again, with all but the last generation expired twice
+    paths = TablePaths(scratch(spark), "shop", "main", "orders")
+    store = GenerationStore(spark, paths.snapshot)
+    for day, states in enumerate((ORD_PREV, ORD_CURR, ORD_PREV, ORD_CURR), 1):
+        run_snapshot_cdc(spark, state(spark, sf, states), ["o_orderkey"], paths, f"2024-01-0{day}", buckets=8, policy=None)
+        store.expire(1)
+        store.expire(1)
+    # what the third run replaced the second one's rows with is in history once, that of the first and the last alike
+    return store.read_snapshot().drop("hash_val").distinct()
+
+
+@query(
+    "snapshot_cdc_bucket_column_orders",
+    f"""select c.o_orderkey, c.o_orderstatus as source_bucket, 0 as soft_delete from ({ORD_CURR}) c
+        left join ({ORD_PREV}) p on p.o_orderkey = c.o_orderkey
+        where p.o_orderkey is null or p.o_orderstatus is distinct from c.o_orderstatus
+        union all select p.o_orderkey, p.o_orderstatus, 1 from ({ORD_PREV}) p
+        where not exists (select 1 from ({ORD_CURR}) c where c.o_orderkey = p.o_orderkey)""",
+)
+def _(spark, sf):
+    paths = TablePaths(scratch(spark), "shop", "main", "orders")
+    for states, run_ts in ((ORD_PREV, FIRST_TS), (ORD_CURR, RUN_TS)):
+        rows = state(spark, sf, states).select("o_orderkey", F.col("o_orderstatus").alias("bucket"))
+        result = run_snapshot_cdc(spark, rows, ["o_orderkey"], paths, run_ts, buckets=8, policy=None)
+    return spark.read.parquet(result.delta_path).select("o_orderkey", "source_bucket", "soft_delete")
+
+
+@query("snapshot_cdc_null_column_orders", f"select o_orderkey, soft_delete from ({delta_sql('orders')}) d")
+def _(spark, sf):
+    # the second state brings a column that is NULL everywhere, which is no change
+    paths = TablePaths(scratch(spark), "shop", "main", "orders")
+    run_snapshot_cdc(spark, state(spark, sf, ORD_PREV), ["o_orderkey"], paths, FIRST_TS, buckets=8, policy=None)
+    rows = state(spark, sf, ORD_CURR).withColumn("o_comment", F.lit(None).cast("string"))
+    result = run_snapshot_cdc(spark, rows, ["o_orderkey"], paths, RUN_TS, buckets=8, policy=None)
+    return spark.read.parquet(result.delta_path).select("o_orderkey", "soft_delete")
+
+
+@query(
+    "timestamp_cdc_named_like_audit_orders",
+    f"""select o_orderkey, ins_ts as source_insert_ts, upd_ts as source_update_ts, soft_delete,
+        (select greatest(max(ins_ts), max(upd_ts)) from ({TIMESTAMP_DELTA_SQL}) w where soft_delete = 0) as watermark
+        from ({TIMESTAMP_DELTA_SQL}) d""",
+)
+def _(spark, sf):
+    paths = TablePaths(scratch(spark), "shop", "main", "orders")
+    since = datetime.fromisoformat(WATERMARK)
+    names = {"ins_ts": "insert_ts", "upd_ts": "update_ts"}
+    for states, run_ts in ((ORD_TIMES_PREV, FIRST_TS), (ORD_TIMES_CURR, RUN_TS)):
+        result = run_timestamp_cdc(
+            spark, state(spark, sf, states).withColumnsRenamed(names), ["o_orderkey"], list(names.values()), since, paths,
+            run_ts, buckets=8,
+        )
+    delta = spark.read.parquet(result.delta_path).select("o_orderkey", "source_insert_ts", "source_update_ts", "soft_delete")
+    return delta.withColumn("watermark", F.lit(result.watermark).cast("timestamp_ntz"))
+
+
+@query("merge_widened_key_orders", f"""
+select cast(c_custkey as int) as c_custkey, c_name, case when c_nationkey = 7 then 0.0 else c_acctbal end as c_acctbal, 0 as is_deleted
+from {{customer}}""")
+def _(spark, sf):
+    # the target's key is an int, that of the second delta a bigint
+    store = GenerationStore(spark, scratch(spark))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("c_custkey"), "c_name", "c_acctbal", "c_nationkey")
+    wide = customers.where("c_nationkey = 7").withColumns({"c_custkey": F.col("c_custkey").cast("bigint"), "c_acctbal": F.lit(0.0)})
+    for rows, run_ts in ((customers, FIRST_TS), (wide, RUN_TS)):
+        delta = rows.drop("c_nationkey").withColumns({"soft_delete": F.lit(0), "load_ts": F.lit(run_ts).cast("timestamp_ntz")})
+        merge_into(store, delta, ["c_custkey"], run_ts=run_ts, buckets=32)
+    return store.read().select("c_custkey", "c_name", "c_acctbal", "is_deleted")
+
+
+@query(
+    "sync_two_pipelines_runs",
+    "select pipeline, source_table, 'SUCCESS' as status from (select unnest(['one', 'two']) as pipeline) p, "
+    "(select distinct case when event_id >= 0 then unnest(['orders', 'events']) end as source_table from {events}) t",
+)
+def _(spark, sf):
+    # two pipelines that number their runs alike, in one log
+    base = scratch(spark)
+    specs = [TableSpec("shop", "main", "orders", ("o_orderkey",)), TableSpec("shop", "main", "events", ("event_id",), ("ts",))]
+    log = RunLog(spark, f"{base}/control/runs")
+    for name in ("one", "two"):
+        for number, spec in enumerate(specs, 1):
+            log.start(FIRST_TS, RunId=number, PipelineRunId=name, PipelineId=name, SourceTable=spec.table, LoadType="SNAPSHOT")
+    for name in ("one", "two"):
+        for number, spec in enumerate(specs, 1):
+            rows = table(spark, sf, spec.table).count()
+            log.end(number, RUN_TS, "SUCCESS", PipelineRunId=name, RowsProcessed=rows)
+    return log.state().select(F.col("PipelineId").alias("pipeline"), F.col("SourceTable").alias("source_table"), F.col("Status").alias("status"))
+
+
 _TIMES = "o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, ins_ts, upd_ts"
 
 
@@ -502,8 +635,6 @@ def _(spark, sf):
             buckets=4,
             at_once=3,
         )
-    from tidemark.control.runlog import RunLog
-
     log = RunLog(spark, f"{base}/control/runs").state()
     run = F.when(F.col("StartTime") == F.lit(FIRST_TS).cast("timestamp_ntz"), 1).otherwise(2)
     return log.select(

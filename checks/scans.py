@@ -213,11 +213,11 @@ def _(spark, sf):
 
 def fingerprint_sql(text: str, keys: tuple[str, ...], columns: tuple[str, ...], buckets: int) -> str:
     """Per bucket row count and fingerprint of a state, for the other engine."""
-    number = hex_number_sql(f"md5({encoded_sql(*keys, 'h')})", 15)
+    number = hex_number_sql(f"md5({encoded_sql(*keys, 'hash_val')})", 15)
     return (
         f"select {bucket_sql(buckets, *keys)} as bucket, count(*) as rows, "
         f"cast(sum(cast({number} as hugeint)) as string) as fingerprint "
-        f"from (select *, {row_hash_sql(*columns)} as h from ({text}) t) u group by 1"
+        f"from (select *, {row_hash_sql(*columns)} as hash_val from ({text}) t) u group by 1"
     )
 
 
@@ -235,10 +235,10 @@ def _(spark, sf):
 
 @query(
     "duration_seconds_runs",
-    f"select RunId, datediff('second', StartTime, EndTime) as seconds from ({RUNS}) t where EndTime is not null",
+    f"select RunId, datediff('second', StartTime, EndTime) as seconds from ({RUNS}) t",
 )
 def _(spark, sf):
-    runs = state(spark, sf, RUNS).where("EndTime is not null")
+    runs = state(spark, sf, RUNS)
     return runs.select("RunId", duration_seconds(F.col("StartTime"), F.col("EndTime")).alias("seconds"))
 
 

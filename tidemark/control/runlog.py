@@ -90,7 +90,7 @@ def log_start(runs: DataFrame, started: Column) -> DataFrame:
 
 
 def log_end(started: DataFrame, ends: DataFrame) -> DataFrame:
-    """End events: start events joined with ``ends`` by ``RunId``.
+    """End events: start events joined with ``ends`` by ``RunId``, and by ``PipelineRunId`` if ``ends`` has it.
 
     ``ends`` gives ``Status`` and ``EndTime`` and optionally the other result
     columns. Counters left NULL default to ``RowsProcessed`` (0 if NULL too),
@@ -118,7 +118,10 @@ def log_end(started: DataFrame, ends: DataFrame) -> DataFrame:
         "RowsMerged": F.coalesce(end("RowsMerged"), processed),
         "RowsDeleted": F.coalesce(end("RowsDeleted"), F.lit(0)),
     }
-    joined = started.alias("s").join(ends.alias("e"), F.col("s.RunId") == F.col("e.RunId"))
+    same = F.col("s.RunId") == F.col("e.RunId")
+    if "pipelinerunid" in given:
+        same = same & F.col("s.PipelineRunId").eqNullSafe(end("PipelineRunId"))
+    joined = started.alias("s").join(ends.alias("e"), same)
     return joined.select(
         *[results.get(f.name, F.col(f"s.{f.name}")).cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA]
     )
@@ -135,8 +138,11 @@ def _conform(df: DataFrame) -> DataFrame:
 
 
 def run_state(log: DataFrame) -> DataFrame:
-    """The newest event of every run: the finished one if there is one."""
-    return latest_per_key(log, ["RunId"], ["EndTime", "StartTime"])
+    """The newest event of every run: the finished one if there is one.
+
+    A run is named by its pipeline run and its id, so pipelines that number their runs alike keep all of them.
+    """
+    return latest_per_key(log, ["PipelineRunId", "RunId"], ["EndTime", "StartTime"])
 
 
 def rollup_status(state: DataFrame) -> DataFrame:
@@ -290,8 +296,12 @@ class RunLog:
         self._append(events, str(columns["PipelineRunId"]))
 
     def end(self, run_id: int, ended: datetime | str, status: str, **columns: object) -> None:
-        """Log the end of a table run started before."""
-        log = self.read()
+        """Log the end of a table run started before.
+
+        With its ``PipelineRunId`` only the events of that pipeline run are read, else the whole log.
+        """
+        pipeline_run = columns.get("PipelineRunId")
+        log = self.read() if pipeline_run is None else self._events(str(pipeline_run))
         started = log.where((F.col("RunId") == run_id) & F.col("EndTime").isNull())
         ends = self._row({"RunId": run_id, "Status": status, **columns}).withColumn(
             "EndTime", timestamp_literal(ended)
@@ -302,6 +312,11 @@ class RunLog:
             raise ValueError(f"run {run_id} was never started")
         self._append(events, row["PipelineRunId"])
 
+    def _events(self, pipeline_run: str) -> DataFrame:
+        path = f"{self.path}/run={pipeline_run}"
+        found = read_if_exists(self.spark, path)
+        return self.spark.createDataFrame([], RUN_LOG_SCHEMA) if found is None else self.spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+
     def _row(self, columns: dict[str, object]) -> DataFrame:
         fields = [f for f in RUN_LOG_SCHEMA if f.name in columns]
         unknown = set(columns) - {f.name for f in fields}

@@ -29,6 +29,8 @@ FRAMEWORK_COLUMNS = (
     "__file_name",
     "__soft_delete",
 )
+#: Names that the runs add to what they store; a source's columns of these names are renamed.
+RESERVED = frozenset({*FRAMEWORK_COLUMNS, BUCKET, CHANGE_KIND, "generation"})
 CONTROL_COLUMNS = ("EDW_INSERTED_TIMESTAMP", "EDW_UPDATED_TIMESTAMP")
 
 
@@ -61,6 +63,23 @@ def content_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return _without(df.columns, [*keys, SOFT_DELETE, HASH, BUCKET])
 
 
+def clear_of_framework(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns that are named like the framework's own renamed, and the new names by lower-case old ones.
+
+    ``bucket`` becomes ``source_bucket``, or ``source_source_bucket`` if there is such a column already.
+    """
+    taken = {c.lower() for c in df.columns}
+    renamed: dict[str, str] = {}
+    for name in df.columns:
+        if name.lower() in RESERVED:
+            new = f"source_{name}"
+            while new.lower() in taken:
+                new = f"source_{new}"
+            taken.add(new.lower())
+            renamed[name.lower()] = new
+    return df.withColumnsRenamed({c: renamed[c.lower()] for c in df.columns if c.lower() in renamed}), renamed
+
+
 def table_columns(df: DataFrame, exclude: Iterable[str] = CONTROL_COLUMNS) -> list[str]:
     """Columns in ordinal order without the target's control columns."""
     return _without(df.columns, exclude)

@@ -17,36 +17,53 @@ MAX_BUCKETS = 64
 
 
 def _as_text(name: str, dtype: T.DataType) -> Column:
+    """Text of a value, whatever the session's time zone; -0.0 as 0.0."""
     column = quoted(name)
+    in_utc = {"timeZone": "UTC"}
     if isinstance(dtype, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(column)))
+        return F.to_json(F.array_sort(F.map_entries(column)), in_utc)
     if isinstance(dtype, (T.ArrayType, T.StructType, T.VariantType)):
-        return F.to_json(column)
+        return F.to_json(column, in_utc)
     if isinstance(dtype, T.BinaryType):
         return F.hex(column)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(column).cast("string")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(column == 0, F.lit(0.0).cast(dtype)).otherwise(column).cast("string")
     return column.cast("string")
 
 
+def _canonical(df: DataFrame, key: str) -> Column:
+    """A key column in the widest type of its kind, so that its hash stays when the type is widened."""
+    dtype = next((f.dataType for f in df.schema.fields if f.name.lower() == key.lower()), None)
+    column = quoted(key)
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
+        return column.cast("bigint")
+    if isinstance(dtype, T.FloatType):
+        return column.cast("double")
+    if isinstance(dtype, T.DecimalType):
+        return column.cast(T.DecimalType(38, dtype.scale))
+    return column
+
+
 def encoded(df: DataFrame, columns: Sequence[str]) -> Column:
     """One string that is equal for two rows only if all ``columns`` are equal.
 
-    Each value is written as ``length:text`` (length in bytes) and NULL as
-    ``-:``, so NULLs, empty strings and any separator inside the data stay
-    distinct. Columns missing from ``df`` count as NULL.
+    Each value that is not NULL is written as ``name=length:text`` (length in
+    bytes, the name in lower case and with its own length), so empty strings
+    and any separator inside the data stay distinct. NULL leaves no trace, and
+    so does a column missing from ``df``: a column that comes or goes with
+    NULLs alone changes nothing.
     """
     fields = {f.name.lower(): f for f in df.schema.fields}
     parts = []
     for name in columns:
         field = fields.get(name.lower())
         if field is None:
-            parts.append(F.lit("-:"))
             continue
         text = _as_text(field.name, field.dataType)
-        parts += [
-            F.coalesce(F.octet_length(text).cast("string"), F.lit("-")),
-            F.lit(":"),
-            F.coalesce(text, F.lit("")),
-        ]
+        label = f"{len(name.encode())}:{name.lower()}="
+        parts.append(F.coalesce(F.concat(F.lit(label), F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("")))
     return F.concat(*parts) if parts else F.lit("")
 
 
@@ -88,22 +105,24 @@ def hash_bucket(
     if portable:
         number = _portable_number(F.md5(encoded(df, keys)), 8).cast("bigint")
     else:
-        number = F.xxhash64(*key_columns(keys))
+        number = F.xxhash64(*[_canonical(df, k) for k in keys])
     return df.withColumn(name, F.pmod(number, F.lit(buckets)).cast("int"))
 
 
 def bucket_count(
-    rows: Column | int, rows_per_bucket: int = ROWS_PER_BUCKET, most: int = MAX_BUCKETS
+    rows: Column | int, rows_per_bucket: int = ROWS_PER_BUCKET, most: int | None = MAX_BUCKETS
 ) -> Column | int:
     """Number of buckets for a table of ``rows``; a column in gives a column out.
 
     ``most`` bounds directories, not rows: a bucket may hold any number of
-    rows and is written as many files.
+    rows and is written as many files. The runs set no bound (None), so that
+    a bucket keeps its size however the table grows.
     """
     if isinstance(rows, Column):
         wanted = F.ceil(rows / F.lit(rows_per_bucket)).cast("int")
-        return F.greatest(F.lit(1), F.least(F.lit(most), wanted))
-    return max(1, min(most, -(-rows // rows_per_bucket)))
+        return F.greatest(F.lit(1), wanted if most is None else F.least(F.lit(most), wanted))
+    wanted = -(-rows // rows_per_bucket)
+    return max(1, wanted if most is None else min(most, wanted))
 
 
 def bucket_fingerprint(

@@ -110,10 +110,12 @@ def map_types(
 ) -> DataFrame:
     """Look up the target type of each row's source type, ignoring case; NULL if unknown.
 
-    The mapping is reduced to one row per type name. Spark broadcasts it if its
-    size estimate is under the limit and otherwise joins by shuffle.
+    The mapping is reduced to one row per type name: the first listed one, if it
+    has a column ``position``, else the smallest name. Spark broadcasts it if
+    its size estimate is under the limit and otherwise joins by shuffle.
     """
-    lookup = mapping.groupBy(F.lower(F.col(source)).alias("__type")).agg(F.min(target).alias(name))
+    chosen = F.min_by(target, "position") if "position" in mapping.columns else F.min(target)
+    lookup = mapping.groupBy(F.lower(F.col(source)).alias("__type")).agg(chosen.alias(name))
     return columns.join(lookup, F.lower(quoted(type_column)) == F.col("__type"), "left").drop("__type")
 
 

@@ -19,8 +19,8 @@ from tidemark.sinks.datasets import (
     BROADCAST_BYTES,
     append_raw,
     consume_raw,
+    fits_broadcast,
     read_raw,
-    stored_bytes,
     write_and_read,
 )
 from tidemark.sinks.generations import GenerationStore, last_batches
@@ -74,7 +74,7 @@ def merge_into(
     if index:
         buckets = index[0].buckets
     elif buckets is None:
-        buckets = bucket_count(delta.count())
+        buckets = bucket_count(delta.count(), most=None)
     if landed is not None:
         newest = hash_bucket(delta, keys, buckets)
     else:
@@ -88,7 +88,7 @@ def merge_into(
     newest = newest.drop(BUCKET)
 
     target = store.read(buckets=touched, keep_bucket=True)
-    small = stored_bytes(store.spark, landed) <= broadcast_bytes
+    small = fits_broadcast(newest, [landed], broadcast_bytes)
     in_place = target is not None and small and not store.is_fragmented(target)
     if target is None:
         target = empty_target(newest, policy)

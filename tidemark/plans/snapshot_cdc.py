@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import BUCKET, CHANGE_KIND, HASH
+from tidemark.functions.columns import BUCKET, CHANGE_KIND, HASH, clear_of_framework
 from tidemark.functions.hashing import bucket_count, bucket_fingerprint, hash_bucket, row_hash
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.delta import replaced_rows
@@ -26,7 +26,7 @@ from tidemark.operators.drift import append_like
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import merge_into
 from tidemark.plans.result import RunResult
-from tidemark.sinks.datasets import BROADCAST_BYTES, stored_bytes, write_and_read, write_delta
+from tidemark.sinks.datasets import fits_broadcast, write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore
 from tidemark.sources.paths import TablePaths
 
@@ -54,17 +54,20 @@ def run_snapshot_cdc(
     5. The delta is merged into the target, and last of all the generation
        is committed: a run that dies before is repeated with the same outcome.
 
-    ``policy`` None leaves the target alone. Without ``check_keys`` duplicate
+    A source column named like one of the framework's own is kept under a
+    name with ``source_`` before it. ``policy`` None leaves the target alone. Without ``check_keys`` duplicate
     keys are let through, and the target gets the greatest row of each.
     ``stable_source`` says that reading the source again gives the same rows
     (files that do not change, not a live database): fingerprints are then
     taken from the source, and only the buckets that differ are shuffled and
     written.
     """
+    source, renamed = clear_of_framework(source)
+    keys = [renamed.get(k.lower(), k) for k in keys]
     store = GenerationStore(spark, paths.snapshot)
     index = store.index()
     if buckets is None:
-        buckets = index[0].buckets if index else bucket_count(source.count())
+        buckets = index[0].buckets if index else bucket_count(source.count(), most=None)
     generation = store.next_generation()
 
     staged = hash_bucket(row_hash(source, keys), keys, buckets)
@@ -109,7 +112,7 @@ def run_snapshot_cdc(
         result.updated = counts.get(UPDATED, 0)
         result.deleted = counts.get(DELETED, 0)
 
-        small = stored_bytes(spark, store.work(generation, "changes")) <= BROADCAST_BYTES
+        small = fits_broadcast(changes, [store.work(generation, "changes")])
         replaced = store.write_history(replaced_rows(prev, changes, keys, small), generation)
         gone = replaced.where(F.col(CHANGE_KIND) == DELETED).drop(CHANGE_KIND)
         new = rows_of_kind(curr, changes, keys, INSERTED, UPDATED, small=small)

@@ -34,12 +34,13 @@ def sync_tables(
 
     A table with increment columns that all exist goes by timestamp, any
     other by snapshot comparison. A table without keys is skipped; a failing
-    one is logged FAILED and does not stop the others. ``at_once`` tables are
+    one is logged FAILED and does not stop the others. A table's own options
+    (see ``TableSpec``) go before those given here. ``at_once`` tables are
     driven side by side, sharing the cluster's slots.
     """
     log = RunLog(spark, f"{base.rstrip('/')}/control/runs")
     clock = clock or (lambda: run_ts)
-    pipeline_run = f"{pipeline_id}_{run_ts:%Y%m%d%H%M%S}"
+    pipeline_run = f"{pipeline_id}_{run_ts:%Y%m%d%H%M%S}" + (f"{run_ts:%f}" if run_ts.microsecond else "")
     first_id = log.next_id()
     history = log.read()
 
@@ -72,15 +73,36 @@ def sync_tables(
                     history, pipeline_id, spec.source_type, spec.database, spec.schema, spec.table
                 )
                 result = run_timestamp_cdc(
-                    spark, source, spec.keys, spec.ts_cols, since, paths, run_ts, buckets, policy
+                    spark,
+                    source,
+                    spec.keys,
+                    spec.ts_cols,
+                    since,
+                    paths,
+                    run_ts,
+                    spec.buckets or buckets,
+                    spec.policy or policy,
+                    spec.nulls,
+                    spec.trust_timestamps,
                 )
             else:
-                result = run_snapshot_cdc(spark, source, spec.keys, paths, run_ts, buckets, policy)
+                result = run_snapshot_cdc(
+                    spark,
+                    source,
+                    spec.keys,
+                    paths,
+                    run_ts,
+                    spec.buckets or buckets,
+                    spec.policy or policy,
+                    spec.check_keys,
+                    spec.stable_source,
+                )
             result.table = spec.name
             log.end(
                 run_id,
                 clock(),
                 SUCCESS,
+                PipelineRunId=pipeline_run,
                 RowsProcessed=result.written,
                 LastRunTimestamp=result.watermark,
                 ExtractStatus=SUCCESS,
@@ -95,7 +117,7 @@ def sync_tables(
         except Exception as error:  # one table must not stop the others
             message = f"{type(error).__name__}: {error}".splitlines()[0]
             if started:
-                log.end(run_id, clock(), FAILED, ErrorMessage=message)
+                log.end(run_id, clock(), FAILED, PipelineRunId=pipeline_run, ErrorMessage=message)
             return RunResult(run_ts, load_type=load_type, table=spec.name, error=message)
 
     with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:

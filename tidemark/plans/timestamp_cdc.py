@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import BUCKET, SOFT_DELETE, join_on_keys, key_columns
+from tidemark.functions.columns import BUCKET, SOFT_DELETE, clear_of_framework, join_on_keys, key_columns
 from tidemark.functions.hashing import bucket_count, hash_bucket
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.diff import deleted_keys
@@ -17,7 +17,7 @@ from tidemark.operators.incremental import changed_since, extract_summary
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import bucket_rows, merge_into
 from tidemark.plans.result import RunResult
-from tidemark.sinks.datasets import BROADCAST_BYTES, stored_bytes, write_and_read, write_delta
+from tidemark.sinks.datasets import BROADCAST_BYTES, fits_broadcast, write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore
 from tidemark.sources.paths import TablePaths
 
@@ -46,11 +46,18 @@ def run_timestamp_cdc(
     read from the source (both reach the scan as filter and column list), and
     the snapshot is brought up to date from them in the buckets concerned,
     instead of being written anew.
+
+    A source column named like one of the framework's own (its timestamps
+    among them) is kept under a name with ``source_`` before it, so the next
+    watermark never comes from the times that this run stamps.
     """
+    source, renamed = clear_of_framework(source)
+    keys = [renamed.get(k.lower(), k) for k in keys]
+    ts_cols = [renamed.get(c.lower(), c) for c in ts_cols]
     store = GenerationStore(spark, paths.snapshot)
     index = store.index()
     if buckets is None:
-        buckets = index[0].buckets if index else bucket_count(source.count())
+        buckets = index[0].buckets if index else bucket_count(source.count(), most=None)
     generation = store.next_generation()
     over = changed_since(source, ts_cols, watermark, nulls)
 
@@ -122,7 +129,8 @@ def _from_increment(
     moved = increment.select(BUCKET).union(gone_keys.select(BUCKET)).distinct()
     touched = {r[BUCKET] for r in moved.collect()}
     before = store.read(buckets=touched, keep_bucket=True)
-    small = stored_bytes(spark, increment_path) + stored_bytes(spark, gone_path) <= BROADCAST_BYTES
+    narrow = increment.select(*key_columns(keys)).unionByName(gone_keys.select(*key_columns(keys)))
+    small = fits_broadcast(narrow, [increment_path, gone_path], BROADCAST_BYTES)
     gone = store.write_history(
         join_on_keys(before.drop(BUCKET), gone_keys.drop(BUCKET), keys, "left_semi", small), generation
     )

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.columns import BUCKET
+from tidemark.functions.columns import BUCKET, quoted
 
-
-# A written delta up to this size is broadcast; beyond it, joins shuffle.
+# A written table up to this size in memory is broadcast; beyond it, joins shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
@@ -32,6 +35,28 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(place).getLength()
 
 
+def row_bytes(df: DataFrame) -> int:
+    """What the rows take in memory, however well their files are compressed: 16 bytes and 16 for each column of
+    each row, and the bytes of all values of varying length."""
+    varying = [
+        F.coalesce(F.octet_length(quoted(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.to_json(F.struct(quoted(f.name)))), F.lit(0))
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))
+    ]
+    lengths = F.sum(reduce(add, varying)) if varying else F.lit(0)
+    row = df.agg(F.count(F.lit(1)).alias("rows"), lengths.cast("long").alias("bytes")).first()
+    return row["rows"] * 16 * (1 + len(df.columns)) + (row["bytes"] or 0)
+
+
+def fits_broadcast(df: DataFrame, paths: Sequence[str], most: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of a written table are few and short enough to be broadcast.
+
+    Files over the limit settle it; else the rows are measured, which reads no more than the limit.
+    """
+    spark = df.sparkSession
+    return sum(stored_bytes(spark, p) for p in paths) <= most and row_bytes(df) <= most
+
+
 def write_delta(df: DataFrame, run_dir: str) -> None:
     """The delta of one run; a repeated run replaces its own directory."""
     if BUCKET in df.columns:

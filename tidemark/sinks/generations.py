@@ -6,9 +6,11 @@ Layout under the base path::
     history/generation=N/*.parquet           rows replaced or deleted in N
     index/generation=N/*.parquet             which live directories make up N
     work/generation=N/...                    intermediate tables until N is committed
+    commits/generation=N                     empty file: N has been committed
 
-A generation exists once its index directory is complete; the index is
-written last. Readers of an older generation are never disturbed, nothing is
+A generation is committed once its marker in ``commits`` is there; it is the
+last thing written, after the index, and stays when the generation expires.
+Readers of an older generation are never disturbed, nothing is
 overwritten in place, and a run that fails midway leaves no trace in what is
 read. A bucket left alone by a run costs nothing: the new index points at the
 old directory. One writer per table is assumed.
@@ -53,10 +55,8 @@ class GenerationStore:
     # -- generations -----------------------------------------------------
 
     def generations(self) -> list[int]:
-        """Numbers of all committed generations, ascending."""
-        return sorted(
-            n for n in self._numbers("index") if self._exists(f"{self._dir('index', n)}/_SUCCESS")
-        )
+        """Numbers of all committed generations that have not expired, ascending. Two directory listings."""
+        return sorted(set(self._numbers("commits")) & set(self._numbers("index")))
 
     def current(self) -> int | None:
         committed = self.generations()
@@ -64,7 +64,7 @@ class GenerationStore:
 
     def next_generation(self) -> int:
         """A number no earlier attempt has used."""
-        used = [n for kind in ("live", "history", "index", "work") for n in self._numbers(kind)]
+        used = [n for kind in ("live", "history", "index", "work", "commits") for n in self._numbers(kind)]
         return max(used, default=0) + 1
 
     def index(self, generation: int | None = None) -> list[Row]:
@@ -111,7 +111,7 @@ class GenerationStore:
         generation = self.current() if generation is None else generation
         if generation is None:
             return None
-        committed = set(self.generations())
+        committed = set(self._numbers("commits"))  # history outlives the generation that wrote it
         numbers = [
             n
             for n in self._numbers("history")
@@ -214,6 +214,9 @@ class GenerationStore:
             }
         )
         index.select(*INDEX_SCHEMA.fieldNames()).coalesce(1).write.mode("overwrite").parquet(self._dir("index", generation))
+        self._fs().create(self._path(self._dir("commits", generation)), True).close()
+        if generation not in self.generations():
+            raise OSError(f"generation {generation} of {self.base} was written but not committed")
         self._delete(self._dir("work", generation))
 
     def discard(self, generation: int) -> None:
@@ -231,7 +234,7 @@ class GenerationStore:
         """Drop all but the newest ``keep`` generations, the directories only they
         used, and the leftovers of runs that failed before.
 
-        History rows are kept; they belong to every later snapshot.
+        History rows of committed generations are kept; they belong to every later snapshot.
         """
         if keep < 1:
             raise ValueError("keep at least one generation")
@@ -242,9 +245,10 @@ class GenerationStore:
         used = {(r.data_generation, r.bucket) for g in kept for r in self.index(g)}
         for generation in dropped:
             self._delete(self._dir("index", generation))
+        ever = set(self._numbers("commits"))
         for kind in ("history", "work"):
             for generation in self._numbers(kind):
-                if generation < kept[-1] and generation not in committed:
+                if generation < kept[-1] and generation not in ever:
                     self._delete(self._dir(kind, generation))
         for generation in self._numbers("live"):
             if generation > kept[-1]:

@@ -59,6 +59,10 @@ def ingest_files(
     return df
 
 
+#: Files that an error message names; ``load_differences`` gives all.
+SHOWN_FILES = 20
+
+
 def _by_name(df: DataFrame, schema: T.StructType, match: str, keep: Sequence[str]) -> DataFrame:
     if match not in ("sensitive", "insensitive"):
         raise ValueError(f"match must be 'sensitive' or 'insensitive', not {match!r}")
@@ -79,6 +83,13 @@ def file_counts(df: DataFrame, file_column: str | None = None) -> DataFrame:
     return df.select(source.alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def load_differences(df: DataFrame, expected: DataFrame, file_column: str | None = None) -> DataFrame:
+    """Files not loaded as expected: ``file``, ``rows`` loaded and ``want``, either NULL where there are none."""
+    want = expected.select("file", F.col("rows").alias("want"))
+    both = file_counts(df, file_column).join(want, "file", "full_outer")
+    return both.where(~F.col("rows").eqNullSafe(F.col("want")))
+
+
 def validate_load(
     df: DataFrame,
     expected: DataFrame | None = None,
@@ -93,12 +104,11 @@ def validate_load(
     """
     counts = file_counts(df, file_column)
     if expected is not None:
-        want = expected.select("file", F.col("rows").alias("want"))
-        partial = counts.join(want, "file", "full_outer").where(~F.col("rows").eqNullSafe(F.col("want")))
-        bad = partial.orderBy("file").limit(20).collect()
+        partial = load_differences(df, expected, file_column)
+        bad = partial.orderBy("file").limit(SHOWN_FILES).collect()
         if bad:
             raise LoadError(
-                "files not fully loaded: "
+                f"files not fully loaded, {partial.count()} in all (see load_differences): "
                 + "; ".join(f"{r['file']}: {r['rows'] or 0} of {r['want'] or 0} rows" for r in bad)
             )
     total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()["rows"]

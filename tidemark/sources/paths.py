@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,12 @@ class TablePaths:
 
 
 def run_name(run_ts: datetime | str) -> str:
-    """Directory name of a run: ``yyyymmdd_HHMMSS``."""
+    """Directory name of a run: ``yyyymmdd_HHMMSS``, with microseconds where there are any.
+
+    A time with a zone is taken in UTC, as everywhere.
+    """
     if isinstance(run_ts, str):
         run_ts = datetime.fromisoformat(run_ts)
-    return run_ts.strftime("%Y%m%d_%H%M%S")
+    if run_ts.tzinfo is not None:
+        run_ts = run_ts.astimezone(timezone.utc)
+    return run_ts.strftime("%Y%m%d_%H%M%S_%f" if run_ts.microsecond else "%Y%m%d_%H%M%S")

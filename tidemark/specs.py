@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.merge import MergePolicy
 from tidemark.functions.columns import require_columns
 from tidemark.functions.scalars import EMPTY_WORDS, none_if_empty, parse_list
 
@@ -38,7 +39,7 @@ TIMESTAMP = "TIMESTAMP"
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One table of the list."""
+    """One table of the list, with the options of its runs; None leaves an option to the whole list's."""
 
     database: str
     schema: str
@@ -48,6 +49,12 @@ class TableSpec:
     source_type: str = "sqlserver"
     columns: str = "*"
     target: str | None = None
+    trust_timestamps: bool = False
+    nulls: str = "exclude"
+    stable_source: bool = False
+    check_keys: bool = True
+    buckets: int | None = None
+    policy: MergePolicy | None = None
 
     @property
     def name(self) -> str:
