@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,3 +161,15 @@ def changed_buckets(prev: DataFrame, curr: DataFrame) -> DataFrame:
     c = curr.select(BUCKET, F.col("rows").alias("c_rows"), F.col("fingerprint").alias("c_fingerprint"))
     same = F.col("p_rows").eqNullSafe(F.col("c_rows")) & F.col("p_fingerprint").eqNullSafe(F.col("c_fingerprint"))
     return p.join(c, BUCKET, "full_outer").where(~same).select(BUCKET)
+
+
+def differing_buckets(index: Sequence[Row], stats: Sequence[Row], buckets: int) -> set[int]:
+    """Buckets that differ between a stored index and new statistics, one row per bucket each.
+
+    With another bucket count nothing lines up, so all count as differing.
+    """
+    now = {r["bucket"]: (r["rows"], r["fingerprint"]) for r in stats}
+    before = {r["bucket"]: (r["rows"], r["fingerprint"]) for r in index if r["bucket"] is not None}
+    if index[0]["buckets"] != buckets:
+        return set(now) | set(before)
+    return {b for b in set(now) | set(before) if now.get(b) != before.get(b)}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import BUCKET, CHANGE_KIND, HASH, clear_of_framework
-from tidemark.functions.hashing import bucket_count, bucket_fingerprint, hash_bucket, row_hash
+from tidemark.functions.hashing import bucket_count, bucket_fingerprint, differing_buckets, hash_bucket, row_hash
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.delta import replaced_rows
 from tidemark.operators.diff import (
@@ -44,9 +44,10 @@ def run_snapshot_cdc(
 ) -> RunResult:
     """Compare ``source`` with the last snapshot, write the delta, merge it, commit the new snapshot.
 
-    1. The source is read once, into the next snapshot generation, hashed and by bucket.
+    1. The source is read once and landed as it comes, hashed, without a shuffle.
     2. Bucket fingerprints against those kept with the last generation tell
-       which buckets differ; everything below touches only these.
+       which buckets differ; only these are shuffled into the next generation,
+       and everything below touches only these.
     3. Keys and hashes of both sides are compared; the changed keys are
        written, so that later joins know their size. The same pass finds
        duplicate keys.
@@ -73,9 +74,11 @@ def run_snapshot_cdc(
     staged = hash_bucket(row_hash(source, keys), keys, buckets)
     schema = staged.drop(BUCKET).schema
     # Statistics are one row per bucket.
-    if index and stable_source:
+    if index:
+        if not stable_source:
+            staged = write_and_read(staged, store.work(generation, "landed"))
         stats = bucket_fingerprint(staged, keys).collect()
-        differing = sorted(_changed(index, stats, buckets))
+        differing = sorted(differing_buckets(index, stats, buckets))
         if differing:
             store.write_live(staged.where(F.col(BUCKET).isin(differing)), generation, keys, buckets)
     else:
@@ -92,7 +95,7 @@ def run_snapshot_cdc(
         result.inserted = result.extracted
         delta = flag(current, deleted=False)
     else:
-        changed = _changed(index, stats, buckets)
+        changed = differing_buckets(index, stats, buckets)
         result.changed_buckets = len(changed)
         if not changed:
             store.discard(generation)
@@ -132,15 +135,3 @@ def run_snapshot_cdc(
     fresh = stats if not index else [r for r in stats if r["bucket"] in changed]
     store.commit(generation, schema, buckets, fresh, kept)
     return result
-
-
-def _changed(index, stats, buckets: int) -> set[int]:
-    """Buckets that differ between the stored index and the new statistics.
-
-    With another bucket count nothing lines up, so all count as changed.
-    """
-    now = {r["bucket"]: (r["rows"], r["fingerprint"]) for r in stats}
-    before = {r.bucket: (r["rows"], r.fingerprint) for r in index if r.bucket is not None}
-    if index[0].buckets != buckets:
-        return set(now) | set(before)
-    return {b for b in set(now) | set(before) if now.get(b) != before.get(b)}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import BUCKET, SOFT_DELETE, clear_of_framework, join_on_keys, key_columns
-from tidemark.functions.hashing import bucket_count, hash_bucket
+from tidemark.functions.hashing import bucket_count, bucket_fingerprint, differing_buckets, hash_bucket
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.diff import deleted_keys
 from tidemark.operators.drift import add_columns, append_like, schema_drift
@@ -67,17 +67,24 @@ def run_timestamp_cdc(
     else:
         staged = hash_bucket(source, keys, buckets)
         schema = staged.drop(BUCKET).schema
-        store.write_live(staged, generation, keys, buckets)
-        current = store.read_staged(generation, schema)
+        # Landed as it comes; only the buckets that differ are shuffled. Statistics are one row per bucket.
+        current = write_and_read(staged, store.work(generation, "landed"))
+        stats = bucket_fingerprint(current, keys).collect()
+        changed = differing_buckets(index, stats, buckets) if index else {r["bucket"] for r in stats}
+        regrouped = bool(index) and index[0].buckets != buckets
         delta = flag(changed_since(current, ts_cols, watermark, nulls), deleted=False)
-        prev = store.read()
-        if prev is not None:
-            gone_keys = write_and_read(deleted_keys(prev, current, keys), store.work(generation, "gone"))
+        here = current.where(F.col(BUCKET).isin(sorted(changed)))
+        prev = store.read(buckets=None if regrouped else changed)
+        if prev is not None and changed:
+            gone_keys = write_and_read(deleted_keys(prev, here.drop(BUCKET), keys), store.work(generation, "gone"))
             gone = store.write_history(join_on_keys(prev, gone_keys, keys, "left_semi"), generation)
             delta = append_like(delta, flag(hash_bucket(gone, keys, buckets), deleted=True))
 
         def commit() -> None:
-            store.commit(generation, schema, buckets, bucket_rows(current).collect())
+            fresh = [r for r in stats if r["bucket"] in changed]
+            if fresh:
+                store.write_live(here, generation, keys, buckets)
+            store.commit(generation, schema, buckets, fresh, [r for r in index if r.bucket is not None and r.bucket not in changed])
 
     delta = stamp_audit(delta, run_ts)
     delta_path = paths.run_dir(run_ts)
