@@ -646,6 +646,30 @@ def _(spark, sf):
     )
 
 
+@query("sync_with_table_options", f"""
+select 'orders' as source_table, count(*) as rows, sum(is_deleted) as deleted from ({SNAPSHOT_CDC_SQL}) t
+union all select 'events', count(*), count(case when event_type = 'error' and ts <= cast('2024-01-10 00:00:00' as #ts) then 1 end)
+  from {{events}}""")
+def _(spark, sf):
+    # orders from files that stay, into a target of another name; events with times to be trusted
+    base = scratch(spark)
+    specs = [
+        TableSpec("shop", "main", "orders", ("o_orderkey",), target="orders_clean", stable_source=True, buckets=8),
+        TableSpec("shop", "main", "events", ("event_id",), ("ts",), trust_timestamps=True, buckets=4),
+    ]
+    for number, run_ts in enumerate((FIRST_TS, RUN_TS)):
+        read = lambda spec, at=number: state(spark, sf, _SYNC_STATES[spec.table][at])
+        for result in sync_tables(spark, specs, read, base, datetime.fromisoformat(run_ts)):
+            if result.error:
+                raise RuntimeError(result.error)
+    parts = []
+    for spec in specs:
+        target = GenerationStore(spark, TablePaths(base, "shop", "main", spec.table, spec.target).target).read()
+        counts = target.agg(F.count(F.lit(1)).alias("rows"), F.sum("is_deleted").alias("deleted"))
+        parts.append(counts.select(F.lit(spec.table).alias("source_table"), "rows", "deleted"))
+    return parts[0].unionByName(parts[1])
+
+
 @query("merge_touched_buckets_customers", f"""
 select c_custkey, c_name, case when c_nationkey = 7 then 0.0 else c_acctbal end as c_acctbal, c_mktsegment, 0 as is_deleted,
   cast('{FIRST_TS}' as #ts) as insert_ts,

@@ -219,6 +219,7 @@ def last_watermark(
 
 def control_view(state: DataFrame) -> DataFrame:
     """The run log under the 18 column names of the older control table."""
+    # The names of that table's columns.
     text = F.lit(None).cast("string")
     return state.select(
         F.col("RunId").alias("RUN_ID"),

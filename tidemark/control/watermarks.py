@@ -38,6 +38,10 @@ def watermark_or_default(store: DataFrame, tables: DataFrame, default: datetime
     )
 
 
+#: Generations that are kept, for readers that have just begun.
+KEPT = 3
+
+
 class WatermarkStore:
     """The watermark table at a path, replaced as a whole on every update (one row per table)."""
 
@@ -68,3 +72,4 @@ class WatermarkStore:
         generation = self.store.next_generation()
         self.store.write_live(rows, generation, ["TableName"], 1)
         self.store.commit(generation, WATERMARK_SCHEMA, 1, [{"bucket": 0, "rows": None, "fingerprint": None}])
+        self.store.expire(KEPT)

@@ -15,16 +15,16 @@ from tidemark.functions.columns import FRAMEWORK_COLUMNS, quoted
 # gives them, with the Spark type used here in the last column. Decimal stays
 # exact in Spark, although the mapping's own targets call it float.
 TYPE_MAPPING = (
-    # sqlserver, teradata, databricks, snowflake, spark
-    ("int", "I", "int", "number", "int"),
-    ("smallint", "SI", "smallint", "number", "smallint"),
-    ("tinyint", "TI", "int", "number", "int"),
-    ("varchar", "CV", "string", "varchar", "string"),
-    ("decimal", "D", "float", "float", "decimal(38,10)"),
-    ("date", "DA", "date", "date", "date"),
-    ("datetime", "TS", "timestamp", "timestampntz", "timestamp_ntz"),
+    # snowflake, databricks, sqlserver, teradata, spark
+    ("number", "int", "int", "I", "int"),
+    ("number", "smallint", "smallint", "SI", "smallint"),
+    ("number", "int", "tinyint", "TI", "int"),
+    ("varchar", "string", "varchar", "CV", "string"),
+    ("float", "float", "decimal", "D", "decimal(38,10)"),
+    ("date", "date", "date", "DA", "date"),
+    ("timestampntz", "timestamp", "datetime", "TS", "timestamp_ntz"),
 )
-TYPE_MAPPING_COLUMNS = ("SQLSERVER", "TERADATA", "DATABRICKS", "SNOWFLAKE", "SPARK")
+TYPE_MAPPING_COLUMNS = ("SNOWFLAKE", "DATABRICKS", "SQLSERVER", "TERADATA", "SPARK")
 
 
 class UnmappedTypeError(ValueError):
@@ -96,8 +96,9 @@ def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def mapping_table(spark: SparkSession) -> DataFrame:
-    """The built-in type mapping as a DataFrame."""
-    return spark.createDataFrame(list(TYPE_MAPPING), ", ".join(f"{c} string" for c in TYPE_MAPPING_COLUMNS))
+    """The built-in type mapping as a DataFrame, with each row's ``position`` in it."""
+    rows = [(*row, k) for k, row in enumerate(TYPE_MAPPING)]
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in TYPE_MAPPING_COLUMNS) + ", position int")
 
 
 def map_types(

@@ -217,7 +217,8 @@ def merge_table(
     """Merge into a catalog table whose format supports row-level changes.
 
     Same rules as :func:`merge_delta`, left to the table's own ``MERGE``,
-    which need not rewrite rows that stay. Plain Parquet tables refuse it.
+    which need not rewrite rows that stay. Plain Parquet tables refuse it,
+    so the merge itself, and names of several parts, have not been tried here.
     """
     now = timestamp_literal(run_ts)
     target_columns = delta.sparkSession.table(table).columns

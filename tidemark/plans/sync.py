@@ -47,7 +47,7 @@ def sync_tables(
     def run(position: int, spec: TableSpec) -> RunResult:
         if not spec.keys:
             return RunResult(run_ts, load_type="", table=spec.name, error="no key columns given")
-        paths = TablePaths(base, spec.database, spec.schema, spec.table)
+        paths = TablePaths(base, spec.database, spec.schema, spec.table, spec.target)
         run_id = first_id + position
         started = False
         load_type = ""

@@ -14,6 +14,7 @@ class TablePaths:
     database: str
     schema: str
     table: str
+    target_table: str | None = None
 
     @property
     def root(self) -> str:
@@ -33,7 +34,9 @@ class TablePaths:
 
     @property
     def target(self) -> str:
-        return f"{self.root}/target"
+        """Under the target table's own name if it has one."""
+        name = self.target_table or self.table
+        return f"{self.base.rstrip('/')}/data/{self.database}/{self.schema}/{name}/target"
 
     def run_dir(self, run_ts: datetime | str) -> str:
         """Directory of one run's delta."""
