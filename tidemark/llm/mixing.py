@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.work import WORD, columns_of, text_of, written
 
 #: Documents of a source that are ordered together.
-PART_ROWS = 16_384
+PART_ROWS = 4_096
 #: Exponents tried at once in each of the rounds of the bisection.
 TRIED, ROUNDS = 16, 8
 
