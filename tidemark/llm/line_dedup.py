@@ -11,39 +11,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import BLANKS, text_of, written
+from tidemark.llm.work import text_of, written
 
-#: Up to this many documents, those with lines to be verified are named by broadcast (8 bytes each).
-NAMED_DOCUMENTS = 500_000
+#: Up to this many lines to be verified are named by broadcast (three numbers each); beyond, they are joined by shuffle.
+NAMED_LINES = 1_000_000
 #: Words are counted in so many classes by the upper bits of their hash; the order of rarity is that of the classes.
 CLASS_BITS = 16
 _CLASSES = 1 << CLASS_BITS
+_REST = 64 - CLASS_BITS
 
-_WORDS = f"filter(split(line, '[{BLANKS}]+'), w -> w <> '')".replace("\\", "\\\\")
-_HASHES = f"sort_array(array_distinct(transform({_WORDS}, w -> xxhash64(w))))"
-_CLASS = f"cast(shiftrightunsigned(w, {64 - CLASS_BITS}) as int)"
-#: Each word's hash with its class replaced by the class's rank, so that the order of numbers is that of rarity.
-_BY_RARITY = (
-    f"sort_array(transform(words, w -> shiftleft(cast(ranks[{_CLASS}] - {_CLASSES // 2} as bigint), {64 - CLASS_BITS})"
-    f" | (w & {(1 << (64 - CLASS_BITS)) - 1})))"
-)
+
+def _spaced(text: str) -> str:
+    """The text with a space for each blank but the line's end, so that it is split by a plain character."""
+    for blank in ("\\t", "\\u000b", "\\u000c", "\\r"):
+        text = f"replace({text}, '{blank}', ' ')"
+    return text
+
+
+#: Hashes of a line's words, repeats included; what is split off between two blanks is no word.
+_HASHES = f"array_remove(transform(split({_spaced('line')}, ' '), w -> xxhash64(w)), xxhash64(''))"
+#: A word's hash with its class replaced by the class's rank, so that the order of numbers is that of rarity.
+_BY_RARITY = f"sort_array(array_distinct(transform({_HASHES}, h -> h ^ ranks[cast(shiftrightunsigned(h, {_REST}) as int)])))"
+#: One bit for each of 64 classes of words by the lower bits of the hash: whether the set has an odd number of them.
+_PARITY = "aggregate({words}, 0L, (x, h) -> x ^ shiftleft(1L, cast(h & 63 as int)))"
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """``doc_id, line_no`` (from 0) ``, words`` (sorted hashes of its distinct words) of each line."""
-    lines = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text_of(), "\n", -1)).alias("line_no", "line"))
-    return lines.select("doc_id", "line_no", F.expr(_HASHES).alias("words"))
+    """``doc_id, line_no`` (from 0) ``, line``."""
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text_of(), "\n", -1)).alias("line_no", "line"))
 
 
 def word_ranks(documents: DataFrame) -> DataFrame:
-    """One row: for each class of words the rank of its count over all lines, rarest first."""
-    words = documents.select(F.explode(F.split(text_of(), f"[{BLANKS}]+")).alias("w")).where("w <> ''")
-    counts = words.groupBy(F.expr(f"cast(shiftrightunsigned(xxhash64(w), {64 - CLASS_BITS}) as int)").alias("class")).agg(F.count("*").alias("n"))
+    """One row ``ranks``: for each class of words, what turns its bits of a hash into the rank of its count, rarest first."""
+    text = documents.select(F.replace(text_of(), F.lit("\n"), F.lit(" ")).alias("line"))
+    words = text.select(F.expr(f"explode(split({_spaced('line')}, ' '))").alias("w")).where("w <> ''")
+    counts = words.groupBy(F.expr(f"cast(shiftrightunsigned(xxhash64(w), {_REST}) as int)").alias("class")).agg(F.count("*").alias("n"))
     listed = counts.agg(F.expr("transform(array_sort(collect_list(struct(n, class))), c -> c.class)").alias("classes"))
     # classes without words come behind; the place of each class in the list is its rank
-    full = F.expr(f"concat(classes, array_except(sequence(0, {_CLASSES - 1}), classes))")
-    placed = F.expr("transform(array_sort(transform(all_classes, (c, k) -> struct(c, k))), x -> x.k)")
-    return listed.select(full.alias("all_classes")).select(placed.alias("ranks"))
+    full = listed.select(F.expr(f"concat(classes, array_except(sequence(0, {_CLASSES - 1}), classes))").alias("classes"))
+    rank = f"shiftleft(cast(k - {_CLASSES // 2} as bigint), {_REST}) ^ shiftleft(cast(c as bigint), {_REST})"
+    placed = f"transform(array_sort(transform(classes, (c, k) -> struct(c, {rank} as turn))), x -> x.turn)"
+    return full.select(F.expr(placed).alias("ranks"))
 
 
 def _needed(percent: int, size: str) -> str:
@@ -57,16 +65,15 @@ def _overlap(percent: int, sizes: str) -> str:
 
 def line_sets(documents: DataFrame, percent: int) -> DataFrame:
     """``doc_id, line_no, size, print, parity, prefix`` of each line; ``print, parity, size`` name its set of words."""
-    ranks = word_ranks(documents).scalar()
-    ordered = _lines(documents).withColumn("ranks", ranks).withColumn("size", F.size("words")).withColumn("ordered", F.expr(_BY_RARITY))
-    longest = f"if(size >= {_least_size(percent)}, size - {_needed(percent, 'size')} + 1, 0)"
+    ordered = _lines(documents).withColumn("ranks", word_ranks(documents).scalar()).select("doc_id", "line_no", F.expr(_BY_RARITY).alias("words"))
+    longest = f"if(size(words) >= {_least_size(percent)}, size(words) - {_needed(percent, 'size(words)')} + 1, 0)"
     return ordered.select(
         "doc_id",
         "line_no",
-        "size",
+        F.size("words").alias("size"),
         F.xxhash64("words").alias("print"),
-        F.expr("aggregate(words, 0L, (x, w) -> x ^ shiftleft(1L, cast(w & 63 as int)))").alias("parity"),
-        F.expr(f"transform(slice(ordered, 1, {longest}), w -> cast(w & 2147483647 as int))").alias("prefix"),
+        F.expr(_PARITY.format(words="words")).alias("parity"),
+        F.expr(f"transform(slice(words, 1, {longest}), w -> cast(w & 2147483647 as int))").alias("prefix"),
     )
 
 
@@ -86,63 +93,59 @@ def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     other columns are unread.
     """
     lines = written(line_sets(documents, percent))
-    place = F.struct("doc_id", "line_no")
     sets = written(
         lines.where("size > 0")
         .groupBy("print", "parity", "size")
-        .agg(F.min(place).alias("first"), F.first("prefix").alias("prefix"))
-        .select("print", "parity", "size", "first", "prefix")
-    )
-    entries = sets.where("size(prefix) > 0").select(
-        "print", "parity", "size", F.posexplode("prefix").alias("pos", "word")
+        .agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("prefix").alias("prefix"))
+        .withColumn("id", F.monotonically_increasing_id())
     )
+    candidates = written(_meetings(sets, percent))
+    links = written(_verified(documents, sets, candidates, percent))
+    return _decided(lines, sets, links)
+
+
+def _meetings(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of ids of sets that meet on a word of their prefixes and pass the filters."""
+    entries = sets.where("size(prefix) > 0").select("id", "parity", "size", F.posexplode("prefix").alias("pos", "word"))
     a, b = entries.alias("a"), entries.alias("b")
-    sizes = "a.size + b.size"
+    needed = _overlap(percent, "a.size + b.size")
     meet = (
-        "a.word = b.word and (a.size < b.size or (a.size = b.size and (a.print < b.print or (a.print = b.print and a.parity < b.parity))))"
+        "a.word = b.word and (a.size < b.size or (a.size = b.size and a.id < b.id))"
         f" and {percent} * b.size <= 100 * a.size"
-        f" and least(a.size - a.pos, b.size - b.pos) >= {_overlap(percent, sizes)}"
-        f" and bit_count(a.parity ^ b.parity) <= {sizes} - 2 * {_overlap(percent, sizes)}"
+        f" and least(a.size - a.pos, b.size - b.pos) >= {needed}"
+        f" and bit_count(a.parity ^ b.parity) <= a.size + b.size - 2 * {needed}"
     )
-    names = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "ab" for c in ("print", "parity", "size")]
-    candidates = written(a.join(b, F.expr(meet)).select(*names).distinct())
-    links = written(_verified(documents, sets, candidates, percent))
-    return _decided(lines, sets, links)
+    return a.join(b, F.expr(meet)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
 def _verified(documents: DataFrame, sets: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of sets that are similar by their words, with the first places of both."""
-    ends = candidates.select(*[F.col(f"a_{c}").alias(c) for c in ("print", "parity", "size")])
-    ends = ends.union(candidates.select("b_print", "b_parity", "b_size")).distinct()
-    wanted = written(sets.join(ends, ["print", "parity", "size"]).select("print", "parity", "size", "first"))
-    own = wanted.select(F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line"), "print", "parity", "size", "first")
-    named = written(own.select("_doc").distinct())
-    if named.count() <= NAMED_DOCUMENTS:
-        named = F.broadcast(named)
-    ids = F.col("doc_id").cast("long")
-    some = documents.select(ids.alias("doc_id"), text_of().alias("text")).join(named, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    words = _lines(some).join(own, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_line")))
-    words = words.where((F.xxhash64("words") == F.col("print")) & (F.size("words") == F.col("size")))
-    words = written(words.select("print", "parity", "size", "first", "words").dropDuplicates(["print", "parity", "size"]))
+    """Candidate pairs that are similar by their words: ``a, b, a_first, b_first``."""
+    ends = candidates.select(F.col("a").alias("id")).union(candidates.select("b")).distinct()
+    wanted = written(
+        sets.join(ends, "id").select("id", "size", "parity", F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line"))
+    )
+    named = F.broadcast(wanted) if wanted.count() <= NAMED_LINES else wanted
+    here = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_line"))
+    found = _lines(documents).join(named, here).select("id", "size", "parity", "doc_id", "line_no", "line")
+    # of rows that share an id and a line number, those with other words are not meant
+    # (differences, since equalities would become keys of the join and be worked out for all lines)
+    found = found.withColumn("_hashes", F.expr(f"array_distinct({_HASHES})")).where(
+        ((F.size("_hashes") - F.col("size")) == 0) & (F.expr(_PARITY.format(words="_hashes")).bitwiseXOR(F.col("parity")) == 0)
+    )
+    texts = written(found.select("id", F.struct("doc_id", "line_no").alias("first"), "line"))
     pairs = candidates
     for side in "ab":
-        ends = words.select(
-            *[F.col(c).alias(f"{side}_{c}") for c in ("print", "parity", "size", "first", "words")],
-        )
-        pairs = pairs.join(ends, [f"{side}_{c}" for c in ("print", "parity", "size")])
-    common = F.size(F.array_intersect("a_words", "b_words"))
-    return pairs.where(common >= F.expr(_overlap(percent, "a_size + b_size"))).select(
-        *[f"{side}_{c}" for side in "ab" for c in ("print", "parity", "size", "first")]
-    )
+        pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("first").alias(f"{side}_first"), F.col("line").alias(f"{side}_line")), side)
+    words = [F.expr(f"array_remove(split({_spaced(f'{side}_line')}, ' '), '')") for side in "ab"]
+    common, every = F.size(F.array_intersect(*words)), F.size(F.array_union(*words))
+    return pairs.where(100 * common >= percent * every).select("a", "b", "a_first", "b_first").distinct()
 
 
 def _decided(lines: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    of = lambda x, y: links.select(F.col(x).alias("id"), (F.col(f"{y}_first") < F.col(f"{x}_first")).alias("later"))
+    linked = of("a", "b").union(of("b", "a")).groupBy("id").agg(F.count("*").alias("n_links"), F.max("later").alias("later"))
     key = ["print", "parity", "size"]
-    of = lambda x, y: links.select(
-        *[F.col(f"{x}_{c}").alias(c) for c in key], (F.col(f"{y}_first") < F.col(f"{x}_first")).alias("later")
-    )
-    linked = of("a", "b").union(of("b", "a")).groupBy(*key).agg(F.count("*").alias("n_links"), F.max("later").alias("later"))
-    known = sets.select(*key, "first").join(linked, key, "left").withColumn("_set", F.lit(True))
+    known = sets.select("id", *key, "first").join(linked, "id", "left").drop("id").withColumn("_set", F.lit(True))
     first = (F.col("first.line_no") == F.col("line_no")) & F.col("first.doc_id").eqNullSafe(F.col("doc_id"))
     joined = lines.select("doc_id", "line_no", *key).join(known, key, "left")
     has = F.coalesce("_set", F.lit(False))

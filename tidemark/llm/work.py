@@ -35,10 +35,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The same rows, from a table written to the shared folder: computed once, and safe from lost executors."""
+    """The same rows, from a table written to the shared folder: computed once, and safe from lost executors.
+
+    What was shuffled on the way is not needed any more. Spark removes such files when the driver collects its
+    garbage, which it is told to do here, since on large inputs they would pile up on the executors' disks.
+    """
     spark = df.sparkSession
     path = shared_folder(spark)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
