@@ -253,6 +253,61 @@ def test_simhash_groups_equal_all_pairs(spark, node_rows):
     assert len(set(zip(mine, label.tolist()))) == len(set(mine)) == len(set(label.tolist()))
 
 
+def _kept_by_all_pairs(rows):
+    """Ids that stay by the definition, over all pairs of (id, text)."""
+    prints = np.array([simhash.fingerprint(t.encode()) for _, t in rows], np.uint64)
+    words = [t.encode().lower().split() for _, t in rows]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in words]
+    apart = np.bitwise_count(prints[:, None] ^ prints[None, :])
+    pairs = [(a, b) for a, b in zip(*(x.tolist() for x in np.nonzero(apart <= 11))) if a < b]
+    same = [(a, b) for a, b in pairs if not apart[a, b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    label = simhash._joined(np.arange(len(rows)), *(np.array([p[k] for p in same], np.int64) for k in (0, 1)))
+    return {i for k, (i, _) in enumerate(rows) if label[k] == k}, apart, sets, same
+
+
+def _varied(draw, base, edits):
+    out = list(base)
+    for k in draw.integers(0, len(base), edits):
+        out[k] = f"x{draw.integers(10**9)}"
+    return out
+
+
+def test_simhash_dedup_misses_no_pair_up_to_its_distance(spark):
+    draw, rows = np.random.default_rng(3), []
+    for _ in range(1500):
+        base = [f"w{k}" for k in draw.integers(0, 10**6, 60)]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(_varied(draw, base, 1)))]
+    want, apart, _, same = _kept_by_all_pairs(rows)
+    assert sum(apart[a, b] >= 9 for a, b in same) > 100
+    got = simhash.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").collect()
+    assert {r["doc_id"] for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("node_rows, block", [(20_000, 1_000), (300, 40)])
+def test_simhash_dedup_checks_every_pair_of_a_family(spark, monkeypatch, node_rows, block):
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", block)
+    draw, rows = np.random.default_rng(4), []
+    for size, many in ((400, 1), (5, 40)):  # a dense family, and small ones with texts between two copies
+        for _ in range(many):
+            base = [f"w{k}" for k in draw.integers(0, 10**6, 60)]
+            rows += [(len(rows) + k, " ".join(_varied(draw, base, int(draw.integers(1, 4))))) for k in range(size)]
+    want, apart, _, same = _kept_by_all_pairs(rows)
+    linked = np.zeros(apart.shape, bool)
+    linked[tuple(zip(*same))] = True
+    linked |= linked.T
+    # a text nearer to both than they are to each other, and linked to neither
+    assert any(((np.maximum(apart[a], apart[b]) < apart[a, b]) & ~linked[a] & ~linked[b]).any() for a, b in same)
+    got = simhash.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string"), node_rows=node_rows).select("doc_id").collect()
+    assert {r["doc_id"] for r in got} == want and len(got) == len(want)
+
+
+def test_simhash_dedup_keeps_a_row_of_each_group(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, a), (7, c), (7, d), (7, c), (8, d)]
+    got = simhash.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([(None, a), (None, b), (7, c), (7, d)])
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(200).select((F.col("id") + 1).alias("high"), F.col("id").alias("low"))
     assert {r["root"] for r in simhash.components(links).collect()} == {0}

@@ -5,11 +5,13 @@ are. So the upper nodes of the index are masked bit patterns: a fingerprint belo
 blocks. Nodes with too many members are factored again by further bits. Below a node, its members are sorted by Gray
 rank, where neighbours share most bits; runs of them form a tree whose nodes hold the bits that all below them share.
 A search adds up differences from the root on and leaves whole groups as soon as they exceed the distance.
+
+Removing near-duplicates goes by shared words as well: texts whose sets of word shingles are similar share one of their
+rarest shingles, so each of these is a node of the index, and every candidate pair of a group is held to the shingles.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -19,7 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import columns_of, in_batches, text_slices, texts_by_id, written
+from tidemark.llm.decontamination import word_hashes
+from tidemark.llm.work import columns_of, in_batches, text_of, text_slices, texts_by_id, written
 
 BITS = 64
 #: Members of a node beyond which it is factored by more bits, and children of a node of the tree.
@@ -27,6 +30,11 @@ NODE_ROWS = 20_000
 FAN = 8
 #: Pairs of a query and a node that are looked at together.
 FRONTIER = 2_000_000
+#: Classes of shingles by whose frequency they are ordered.
+CLASSES = 1 << 16
+#: Texts and shingles of a block; blocks of a large group of candidates are compared two by two.
+BLOCK_TEXTS = 1_000
+BLOCK_SHINGLES = 2_000_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _PLACES = (np.arange(8) * 256)[None, :]
@@ -95,22 +103,10 @@ def gray_rank(value: Column) -> Column:
     return value.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-def sampled_masks(rows: int, differing: float = 0.13, recall: float = 0.95, seed: int = 42) -> list[int]:
-    """Masks of random bits for distances at which ``upper_masks`` would fix too few bits.
-
-    A mask has so many bits that a pattern has about one of ``rows`` fingerprints by chance; there are so many masks
-    that two fingerprints which differ in that share of bits share a pattern with probability ``recall``.
-    """
-    bits = min(BITS // 2, max(8, rows.bit_length()))
-    many = math.ceil(math.log(1 - recall) / math.log(1 - (1 - differing) ** bits))
-    draw = np.random.default_rng(seed)
-    return sorted({sum(1 << int(b) for b in draw.choice(BITS, bits, replace=False)) for _ in range(many)})
-
-
-def index_nodes(patterns: DataFrame, distance: int, node_rows: int = NODE_ROWS, masks: list[int] | None = None) -> DataFrame:
+def index_nodes(patterns: DataFrame, distance: int, node_rows: int = NODE_ROWS) -> DataFrame:
     """``mask, pattern, fingerprint``: each distinct fingerprint in its nodes, none of them over ``node_rows`` unless
-    its bits are used up. Nodes of one member are left out. Without ``masks`` no pair within the distance is missed."""
-    masks, done, at = masks or upper_masks(distance), [], patterns.select("fingerprint")
+    its bits are used up. Nodes of one member are left out. No pair within the distance is missed."""
+    masks, done, at = upper_masks(distance), [], patterns.select("fingerprint")
     rows = at.select(F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in masks])).alias("mask"), "fingerprint")
     while True:
         rows = rows.withColumn("pattern", F.col("fingerprint").bitwiseAND(F.col("mask")))
@@ -229,7 +225,9 @@ def _search(distance: int):
 
     def found(node: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         kept = np.zeros((3, 0), np.int64)
-        for a, b in GrayTree(prints, node).links(distance):
+        shared = np.bincount(node)[node] > 1
+        node, prints = node[shared], prints[shared]
+        for a, b in GrayTree(prints, node).links(distance) if len(node) else ():
             apart = np.bitwise_count(prints[a] ^ prints[b]).astype(np.int64)
             pairs = np.concatenate([kept, np.stack([a, b, apart])], axis=1)
             kept = pairs[:, _nearest_forest(len(prints), *pairs)]
@@ -254,15 +252,18 @@ def _search(distance: int):
     return search
 
 
-def near_links(patterns: DataFrame, distance: int = 2, node_rows: int = NODE_ROWS, masks: list[int] | None = None) -> DataFrame:
+def _links_of(nodes: DataFrame, distance: int) -> DataFrame:
+    ordered = nodes.repartition("mask", "pattern").sortWithinPartitions("mask", "pattern", gray_rank(F.col("fingerprint")))
+    return in_batches(ordered, _search(distance), "high long, low long, apart long").distinct()
+
+
+def near_links(patterns: DataFrame, distance: int = 2, node_rows: int = NODE_ROWS) -> DataFrame:
     """Links ``high, low, apart`` between distinct fingerprints (column ``fingerprint``), each ``apart`` bits apart.
 
-    They join, directly or by further links, exactly those within ``distance`` bits (with ``masks``, those of them
-    that share a pattern under a mask). In each node, the nearest links make up a spanning forest.
+    They join, directly or by further links, exactly those within ``distance`` bits. In each node, the nearest links
+    make up a spanning forest.
     """
-    nodes = index_nodes(patterns, distance, node_rows, masks).repartition("mask", "pattern")
-    ordered = nodes.sortWithinPartitions("mask", "pattern", gray_rank(F.col("fingerprint")))
-    return in_batches(ordered, _search(distance), "high long, low long, apart long").distinct()
+    return _links_of(index_nodes(patterns, distance, node_rows), distance)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -319,52 +320,222 @@ def simhash_groups(documents: DataFrame, width: int = 3, distance: int = 2, node
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _shingles(width: int):
-    """Hashes of the distinct word shingles of each text, sorted."""
+def shingle_hashes(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """Hashes of the distinct word shingles of each text, sorted; a shorter text with words is one shingle."""
+    words, bounds = word_hashes(texts)
+    lengths = np.diff(bounds)
+    counts = np.where(lengths > 0, np.maximum(lengths - width + 1, 1), 0)
+    edges = np.r_[0, np.cumsum(counts)]
+    start = np.repeat(bounds[:-1], counts) + np.arange(edges[-1]) - np.repeat(edges[:-1], counts)
+    end = np.repeat(bounds[1:], counts)
+    words = np.r_[words, np.zeros(width, np.uint64)]
+    mixers = np.random.default_rng(width).integers(1, 2**63, width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    sums = np.zeros(len(start), np.uint64)
+    for k in range(width):
+        word = np.where(start + k < end, words[start + k], np.uint64(0))
+        sums += (word ^ (word >> np.uint64(31))) * mixers[k]
+    sums = (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    sums ^= sums >> np.uint64(32)
+    return [np.unique(sums[a:z]) for a, z in zip(edges, edges[1:])]
+
+
+def _class_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(CLASSES)).astype(np.int64)
+
+
+def _class_counts(texts: DataFrame, width: int) -> np.ndarray:
+    """How many shingles of all texts are in each class."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            for part in text_slices(batch):
+                for own in shingle_hashes(part.column("text"), width):
+                    np.add.at(held, _class_of(own), 1)
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], ["class", "n"])
+
+    found = np.zeros(CLASSES, np.int64)
+    for r in in_batches(texts.select("text"), count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
+        found[r["class"]] = r["n"]
+    return found
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
+    offsets = np.r_[0, np.cumsum([len(x) for x in arrays])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+
+
+def shingle_prefix(shingles: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """Those of the rarest classes, so many that two sets of that Jaccard similarity have one of theirs in common."""
+    n = len(shingles)
+    order = np.lexsort((shingles, counts[_class_of(shingles)]))
+    return shingles[order[: n + n * round(-1000 * similarity) // 1000 + 1]] if n else shingles
+
+
+def _profiles(counts, width: int, similarity: float):
+    """The fingerprint of each text and its rarest shingles."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                found = []
-                for text in part.column("text").cast(pa.binary()).to_pylist():
-                    words = text.translate(_LOWER).split()
-                    runs = {b" ".join(words[k : k + width]) for k in range(max(1, len(words) - width + 1))}
-                    found.append(sorted(xxhash.xxh64_intdigest(r) >> 1 for r in runs))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("fingerprint"), pa.array(found, pa.list_(pa.int64()))], ["fingerprint", "shingles"]
-                )
+                prints = np.array([fingerprint(t) for t in part.column("text").cast(pa.binary()).to_pylist()], np.uint64)
+                rare = [shingle_prefix(x, counts.value, similarity) for x in shingle_hashes(part.column("text"), width)]
+                columns = [part.column("doc_id"), part.column("text_key"), pa.array(prints.view(np.int64)), _lists(rare)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "fingerprint", "prefix"])
 
     return make
 
 
-def similar_links(documents: DataFrame, patterns: DataFrame, links: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Those ``links`` whose texts (of the smallest id of each fingerprint) have that Jaccard similarity of shingles."""
-    ends = links.select(F.col("high").alias("fingerprint")).union(links.select("low")).distinct()
-    first = patterns.join(ends, "fingerprint").select("fingerprint", F.col("first_id").alias("doc_id"))
-    texts = texts_by_id(documents).join(first.where("doc_id is not null"), "doc_id")
-    sets = written(in_batches(texts.select("fingerprint", "text"), _shingles(width), "fingerprint long, shingles array<long>"))
-    sets = sets.dropDuplicates(["fingerprint"])
-    pairs = (
-        links.join(sets.select(F.col("fingerprint").alias("high"), F.col("shingles").alias("_a")), "high")
-        .join(sets.select(F.col("fingerprint").alias("low"), F.col("shingles").alias("_b")), "low")
-        .withColumn("_common", F.size(F.array_intersect("_a", "_b")))
-    )
-    return pairs.where(F.col("_common") >= similarity * (F.size("_a") + F.size("_b") - F.col("_common"))).select("high", "low", "apart")
+def shingle_links(nodes: DataFrame, distance: int, node_rows: int = NODE_ROWS) -> DataFrame:
+    """Links ``high, low, apart`` that join the fingerprints within ``distance`` bits that share a ``pattern``.
+
+    Patterns of more than about ``node_rows`` fingerprints, by a sample of these, are divided by blocks of bits, of
+    which two fingerprints within the distance share one; so large nodes become more of them and no pair is missed.
+    """
+    step = max(1, node_rows // 300)
+    sampled = nodes.where(F.pmod(F.xxhash64("fingerprint"), F.lit(step)) == 0)
+    hot = written(sampled.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") * step > node_rows).select("pattern"))
+    whole = nodes.select(F.lit(0).cast("long").alias("mask"), "pattern", "fingerprint")
+    if not hot.isEmpty():
+        masks = F.array(*[F.lit(_signed(m)).cast("long") for m in _parts(list(range(BITS)), distance + 1)])
+        inside = nodes.join(hot, "pattern", "left_semi").select(F.explode(masks).alias("mask"), "pattern", "fingerprint")
+        inside = inside.withColumn("pattern", F.xxhash64("pattern", F.col("fingerprint").bitwiseAND(F.col("mask"))))
+        whole = whole.join(hot, "pattern", "left_anti").select("mask", "pattern", "fingerprint").unionByName(inside)
+    return _links_of(whole, distance)
+
+
+def similar_pairs(
+    prints: np.ndarray, side: np.ndarray, flat: np.ndarray, bounds: np.ndarray, distance: int, similarity: float
+) -> list[tuple[int, int]]:
+    """Pairs that join the texts of equal fingerprints, or within the distance and of that Jaccard similarity.
+
+    If there are two sides, only pairs of both are looked at; pairs that are joined already are left out.
+    """
+    label = np.unique(prints, return_inverse=True)[1]
+    codes = np.unique(flat, return_inverse=True)[1]
+    sizes, least, both = np.diff(bounds), round(1000 * similarity), bool(side.any() and not side.all())
+    flags = np.zeros(len(flat), bool)
+    pairs = []
+    for i in range(len(prints) - 1):
+        others = slice(i + 1, len(prints))
+        near = (np.bitwise_count(prints[others] ^ prints[i]) <= distance) & (label[others] != label[i])
+        near &= 1000 * np.minimum(sizes[others], sizes[i]) >= least * np.maximum(sizes[others], sizes[i])
+        near &= sizes[others] > 0
+        if both:
+            near &= side[others] != side[i]
+        near = np.flatnonzero(near) + i + 1
+        if not len(near):
+            continue
+        own = codes[bounds[i] : bounds[i + 1]]
+        flags[own] = True
+        skipped = np.cumsum(sizes[near]) - sizes[near]
+        places = np.repeat(bounds[near] - skipped, sizes[near]) + np.arange(sizes[near].sum())
+        common = np.add.reduceat(flags[codes[places]].astype(np.int64), skipped)
+        flags[own] = False
+        for j in near[1000 * common >= least * (sizes[near] + sizes[i] - common)].tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                pairs.append((i, j))
+    return pairs
+
+
+def _compared(distance: int, similarity: float):
+    """Over rows sorted by group and blocks: links of the fingerprints of similar texts."""
+
+    def of(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        prints = table.column("fingerprint").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.values.to_numpy()[bounds[0] : bounds[-1]]
+        side = table.column("side").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+        found = similar_pairs(prints.view(np.uint64), side, flat, bounds - bounds[0], distance, similarity)
+        ends = np.sort(prints[np.array(found, np.int64).reshape(-1, 2)], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 1]), pa.array(ends[:, 0])], ["high", "low"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("root", "one", "other")])
+            cuts = np.r_[0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, batch.num_rows]
+            for a, z in zip(cuts.tolist(), cuts[1:].tolist()):
+                if a == z:
+                    continue
+                key = tuple(keys[:, a].tolist())
+                if held and key != last:
+                    yield of(held)
+                    held = []
+                last = key
+                held.append(batch.slice(a, z - a))
+        if held:
+            yield of(held)
+
+    return compare
+
+
+def _sets(width: int):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch):
+                columns = [part.column(c) for c in ("root", "fingerprint", "text_key")]
+                columns.append(_lists(shingle_hashes(part.column("text"), width)))
+                yield pa.RecordBatch.from_arrays(columns, ["root", "fingerprint", "text_key", "shingles"])
 
+    return make
 
-def simhash_dedup(documents: DataFrame, distance: int = 11, width: int = 5, similarity: float = 0.8) -> DataFrame:
+
+def similar_links(
+    texts: DataFrame, profiles: DataFrame, member: DataFrame, distance: int, width: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """Links ``high, low`` that join, in each group of candidates, the fingerprints of similar texts.
+
+    All texts of a group are compared in one place, each pair that is not joined yet; a group of many texts is dealt
+    into blocks, and each two blocks meet in a place of their own. Only links that join are written.
+    """
+    own = profiles.groupBy("fingerprint", "text_key").agg(F.min("doc_id").alias("_id"))
+    own = own.join(member.select(F.col("member").alias("fingerprint"), "root"), "fingerprint")
+    own = own.select("root", "fingerprint", F.col("text_key").alias("_key"), "_id")
+    found = texts.join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
+    found = found.select("root", "fingerprint", "text_key", "text").dropDuplicates(["text_key"])
+    sets = written(in_batches(found, _sets(width), "root long, fingerprint long, text_key long, shingles array<long>"))
+    sizes = sets.groupBy("root").agg((F.count("*") / BLOCK_TEXTS).alias("a"), (F.sum(F.size("shingles")) / BLOCK_SHINGLES).alias("b"))
+    large = sizes.select("root", F.ceil(F.greatest("a", "b")).alias("_blocks")).where("_blocks > 1")
+    dealt = sets.join(F.broadcast(large), "root", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1).cast("long")))
+    dealt = dealt.withColumn("_own", F.pmod("text_key", "_blocks"))
+    dealt = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    dealt = dealt.withColumns({"one": F.least("_own", "_with"), "other": F.greatest("_own", "_with")})
+    dealt = dealt.select("root", "one", "other", (F.col("_own") == F.col("one")).alias("side"), "fingerprint", "shingles")
+    placed = dealt.repartition("root", "one", "other").sortWithinPartitions("root", "one", "other")
+    return in_batches(placed, _compared(distance, similarity), "high long, low long").distinct()
+
+
+def simhash_dedup(
+    documents: DataFrame, distance: int = 11, width: int = 5, similarity: float = 0.8, node_rows: int = NODE_ROWS
+) -> DataFrame:
     """``documents`` with one row of each near-duplicate group: that of the smallest ``doc_id``.
 
-    Fingerprints within ``distance`` bits that share a pattern under ``sampled_masks`` are candidates; a link stands
-    if the texts' shingles of ``width`` words are at least that similar (Jaccard). Equal fingerprints are copies. All
-    columns are kept. Of rows with the same id and a group in common one stays; a group whose ids are all null
-    keeps one row. An empty table gives an empty result.
+    Two texts are linked if their fingerprints are within ``distance`` bits and their sets of shingles of ``width``
+    words at least that similar (Jaccard), or if their fingerprints are equal. No such pair is missed, whatever the
+    size of the table: similar sets share one of their rarest shingles. All columns are kept. A group keeps one row,
+    also if its ids are all null or repeated in another group; of equal ids, the one with the least hash of its text
+    stays. An empty table gives an empty result.
     """
     columns = columns_of(documents)
-    prints = written(fingerprints(documents))
-    patterns = _patterns(prints)
-    links = written(near_links(patterns, distance, masks=sampled_masks(patterns.count())))
-    groups = _grouped(prints, patterns, similar_links(documents, patterns, links, width, similarity))
-    keep = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    ids = F.col("doc_id").cast("long")
-    return documents.join(keep, ids.eqNullSafe(F.col("_kept"))).dropDuplicates(["_kept"]).select(*columns)
+    key = F.xxhash64(text_of())
+    texts = texts_by_id(documents, key.alias("text_key"))
+    counts = documents.sparkSession.sparkContext.broadcast(_class_counts(texts, width))
+    schema = "doc_id long, text_key long, fingerprint long, prefix array<long>"
+    profiles = written(in_batches(texts, _profiles(counts, width, similarity), schema))
+    nodes = profiles.dropDuplicates(["fingerprint", "text_key"]).select(F.explode("prefix").alias("pattern"), "fingerprint")
+    member = written(components(shingle_links(nodes, distance, node_rows)))
+    group = written(components(similar_links(texts, profiles, member, distance, width, similarity)))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    least = profiles.groupBy("fingerprint").agg(F.min(first).alias("first")).join(group, F.col("fingerprint") == F.col("member"), "left")
+    kept = least.groupBy(F.coalesce("root", "fingerprint").alias("_root")).agg(F.min("first").alias("first"))
+    kept = kept.select("_root", F.col("first.doc_id").alias("_kept"), F.col("first.text_key").alias("_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")) & (key == F.col("_key"))
+    return documents.join(kept, same).dropDuplicates(["_root"]).select(*columns)
