@@ -247,3 +247,21 @@ def test_text_slices_cover_a_batch():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, None, "b" * 50, "", "c"])], ["text"])
     parts = list(text_slices(batch, most=12))
     assert [p.num_rows for p in parts] == [2, 1, 2] and sum(p.num_rows for p in parts) == 5
+
+
+@pytest.mark.parametrize("length", range(1, 25))
+def test_leaks_are_found_at_every_length(length):
+    draw = np.random.default_rng(length)
+    edits, trials = int(0.2 * length), 120
+    items = [[f"w{x}".encode() for x in draw.integers(0, 10**6, length)] for _ in range(trials)]
+    index = leaks.ItemIndex([(k, b" ".join(w)) for k, w in enumerate(items)], leaks.LeakRules())
+    found = 0
+    for k, item in enumerate(items):
+        own = list(item)
+        for n in range(edits):
+            at, kind = int(draw.integers(len(own))), int(draw.integers(3))
+            own[at : at + (kind < 2)] = [f"n{n}".encode()] if kind else []
+        text = [f"t{x}".encode() for x in draw.integers(0, 10**6, 40)]
+        words, bounds = leaks.word_hashes(pa.array([b" ".join(text[:20] + own + text[20:])], pa.binary()))
+        found += (0, k) in index.verified(words, bounds)
+    assert found >= (trials if length < 16 else 0.9 * trials)

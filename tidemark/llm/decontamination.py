@@ -5,8 +5,9 @@ with the step, decides by a random function whether the walk moves on by a word
 out. Windows that differ by few edits fall into step again, so their embeddings differ in few places. A hash table
 of the search samples some places of an embedding; a window of a text meets an item where all of them agree in one
 of the tables. Windows begin at every word of every text; an item is indexed from each of its words, so a passage is
-found from any of its parts that is little edited. Each meeting is verified by the edit distance between the item
-and the text around it.
+found from any of its parts that is little edited. Items shorter than a walk are cut into one piece more than the
+edits allowed, so a piece is unedited in every leak, and their pieces are looked up at every word. Each meeting is
+verified by the edit distance between the item and the text around it.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ from tidemark.llm.work import in_batches, text_of, text_slices, texts_by_id
 
 SCHEMA = "doc_id long, item_id long, distance int, first_word long"
 _PAD = np.uint64(0x9E3779B97F4A7C15)
+#: Meetings of short items that are looked at together.
+MEETINGS = 200_000
 
 
 @dataclass(frozen=True)
 class LeakRules:
     """``most_edits``: word edits allowed, as a share of the item's words. Items of fewer than ``steps`` words are
-    searched in windows of their own length. ``block_bytes``: text of the items that are searched at one time."""
+    searched by their pieces, without a miss. ``block_bytes``: text of the items that are searched at one time."""
 
     most_edits: float = 0.2
     steps: int = 16
@@ -91,25 +94,30 @@ class Embedding:
         ]
         self.mixers = _random_words(rules.seed + 2, rules.steps)
 
-    def keys(self, words: np.ndarray, starts: np.ndarray, length: int | None = None) -> Iterator[np.ndarray]:
+    def keys(self, words: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
         """For each table, the keys of the windows of ``words`` that begin at ``starts`` (int32).
 
-        ``words`` goes on for ``steps`` entries behind the last window. With ``length``, a window ends there and
-        goes on with padding.
+        ``words`` goes on for ``steps`` entries behind the last window.
         """
         for turns, places in zip(self.turns, self.places):
             at = starts.copy()
             sums = [np.zeros(len(starts), np.uint64) for _ in places]
             for j in range(self.steps):
                 seen = words[at]
-                if length is not None:
-                    seen = np.where(at - starts < length, seen, _PAD)
                 for own, k in zip(sums, places):
                     if j in k:
                         own += (seen ^ (seen >> np.uint64(31))) * self.mixers[j]
                 at += ((seen * turns[j]) >> np.uint64(63)).astype(np.int32)
             yield from sums
 
+    def pieces(self, words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+        """The keys of the ``length`` words from each of ``starts`` on."""
+        sums = np.zeros(len(starts), np.uint64)
+        for j in range(length):
+            seen = words[starts + j]
+            sums += (seen ^ (seen >> np.uint64(31))) * self.mixers[j]
+        return sums
+
 
 class ItemIndex:
     """The items' windows in hash tables."""
@@ -120,21 +128,24 @@ class ItemIndex:
         self.ids = [i for i, _ in items]
         self.words = [hashes[a:b] for a, b in zip(bounds, bounds[1:])]
         self.sets = [set(w.tolist()) for w in self.words]
+        #: By the length of a piece, None for walks: what is looked up, a table for each key of a window.
         self.tables: dict[int | None, list[tuple]] = {}
-        for length in {len(w) if len(w) < rules.steps else None for w in self.words if len(w)}:
-            own = [k for k, w in enumerate(self.words) if len(w) and (len(w) == length or length is None and len(w) >= rules.steps)]
-            item, offset, start, flat, at = [], [], [], [], 0
-            for k in own:
-                n = len(self.words[k])
-                offsets = range(n - rules.steps // 2 + 1) if length is None else range(1)
-                item += [k] * len(offsets)
-                offset += offsets
-                start += [at + o for o in offsets]
-                flat += [self.words[k], np.full(rules.steps, _PAD)]
-                at += n + rules.steps
-            item, offset = np.array(item), np.array(offset)
+        placed: dict[int | None, list[tuple[int, int]]] = {}
+        for k, w in enumerate(self.words):
+            n = len(w)
+            if n >= rules.steps:
+                placed.setdefault(None, []).extend((k, o) for o in range(n - rules.steps // 2 + 1))
+            elif n:
+                many = min(n, int(rules.most_edits * n) + 1)
+                edges = [n * j // many for j in range(many + 1)]
+                for a, z in zip(edges, edges[1:]):
+                    placed.setdefault(z - a, []).append((k, a))
+        first = np.cumsum([0] + [len(w) + rules.steps for w in self.words])
+        flat = np.concatenate([x for w in self.words for x in (w, np.full(rules.steps, _PAD))]) if self.words else hashes
+        for length, own in placed.items():
+            item, offset = np.array(own).T
             tables = []
-            for keys in self.embedding.keys(np.concatenate(flat), np.array(start, np.int32), length):
+            for keys in self._keys(flat, (first[item] + offset).astype(np.int32), length):
                 order = np.argsort(keys, kind="stable")
                 bits = min(26, max(16, int(np.ceil(np.log2(len(keys)))) + 7))
                 seen = np.zeros(1 << bits, bool)
@@ -142,22 +153,51 @@ class ItemIndex:
                 tables.append((keys[order], item[order], offset[order], np.uint64(64 - bits), seen))
             self.tables[length] = tables
 
+    def _keys(self, words: np.ndarray, starts: np.ndarray, length: int | None) -> Iterator[np.ndarray]:
+        if length is None:
+            yield from self.embedding.keys(words, starts)
+        else:
+            # the top bits choose the place in a table
+            yield self.embedding.pieces(words, starts, length) * np.uint64(0xBF58476D1CE4E5B9)
+
     def meetings(self, words: np.ndarray) -> np.ndarray:
         """Rows (item, word at which the item would begin), each once; ``words`` ends with ``steps`` of padding."""
         starts = np.arange(len(words) - self.rules.steps, dtype=np.int32)
         found = []
         for length, tables in self.tables.items():
-            for keys, (own, item, offset, shift, seen) in zip(self.embedding.keys(words, starts, length), tables):
+            for keys, (own, item, offset, shift, seen) in zip(self._keys(words, starts, length), tables):
                 near = np.flatnonzero(seen[keys >> shift])
                 low = np.searchsorted(own, keys[near], "left")
                 count = np.searchsorted(own, keys[near], "right") - low
-                if total := int(count.sum()):
-                    skipped = np.repeat(np.cumsum(count) - count, count)
-                    entry = np.repeat(low, count) + np.arange(total) - skipped
-                    begin = np.repeat(near, count) - offset[entry]
-                    found.append(np.unique(np.stack([item[entry], begin], 1), axis=0))
+                # common pieces meet often: in parts, of which only what may be a leak stays
+                cuts = np.flatnonzero(np.diff(np.cumsum(count) // MEETINGS)) + 1
+                for near, low, count in zip(*(np.split(x, cuts) for x in (near, low, count))):
+                    if total := int(count.sum()):
+                        skipped = np.repeat(np.cumsum(count) - count, count)
+                        entry = np.repeat(low, count) + np.arange(total) - skipped
+                        begin = np.repeat(near, count) - offset[entry]
+                        rows = np.stack([item[entry], begin], 1)
+                        rows = rows if length is None else self._likely(rows, words)
+                        found.append(np.unique(rows, axis=0))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
+    def _likely(self, rows: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Those rows of short items around which enough of the item's words are found, in whatever order."""
+        item, begin = rows.T
+        lengths = np.array([len(w) for w in self.words])
+        most = (self.rules.most_edits * lengths).astype(np.int64)
+        short = np.full((len(lengths), self.rules.steps), _PAD)
+        for k in np.unique(item).tolist():
+            short[k, : lengths[k]] = self.words[k]
+        common = np.zeros(len(rows), np.int64)
+        around, own = begin - most[item], short[item]
+        for j in range(int((lengths + 2 * most)[item].max())):
+            at = around + j
+            inside = (j < (lengths + 2 * most)[item]) & (at >= 0) & (at < len(words) - self.rules.steps)
+            seen = words[np.clip(at, 0, len(words) - 1)]
+            common += inside & (own == seen[:, None]).any(1)
+        return rows[common >= (lengths - most)[item]]
+
     def verified(self, words: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
         """By text and item the least edit distance within bounds, and the word at which the search for it began."""
         padded = np.concatenate([words, np.full(self.rules.steps, _PAD)])
