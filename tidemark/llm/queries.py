@@ -12,6 +12,8 @@ from tidemark.llm.divergence import divergence_quality
 from tidemark.llm.line_dedup import similar_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.pii import personal_data
+from tidemark.llm.prefixes import conversation_trie
+from tidemark.llm.repair import damaged, repair_conversations, repair_digests
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash import simhash_groups
 from tidemark.llm.token_counts import token_counts
@@ -174,3 +176,103 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    shifted = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: ord(x)::bigint)), lambda c, b: {shifted}), 4294967295)"
+
+
+# States of the role grammar: e nothing yet, s after a system turn, u after a user turn, c after a pair.
+_REPAIRS = rf"""
+with recursive sent as (
+  select conv_id, turn, coalesce(role, ' ') r, coalesce(text, ' ') t,
+    {_crc32_sql("coalesce(conv_id::text, ' ') || ':' || coalesce(turn::text, ' ')")} % 20 kind from conversations),
+hurt as (
+  select conv_id, turn, case when kind = 4 then 'user' else r end r,
+    case kind when 1 then '' when 2 then regexp_replace(t, '[.!?]', '', 'g') else t end t
+  from sent, unnest(case when kind = 3 then [0, 1] else [0] end) u(copy) where kind <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id, r, t order by n) seen
+  from (select *, row_number() over (partition by conv_id order by turn nulls first, r, t) n from hurt)),
+faults as (
+  select *, case when not regexp_matches(t, '[^\x20\x09-\x0D]') then 'blank' when seen > 1 then 'duplicate'
+    when not regexp_matches(t, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end fault,
+    lag(left(r, 1)) over (partition by conv_id order by n) || left(r, 1) pair from placed),
+arcs(a, terminal, z) as (values ('e', 's', 's'), ('e', 'u', 'u'), ('s', 'u', 'u'), ('c', 'u', 'u'), ('u', 'a', 'c')),
+made(a, codes, z) as (
+  select unnest(['e', 's', 'u', 'c']), '', unnest(['e', 's', 'u', 'c'])
+  union all values ('e', 'u', 'u'), ('e', 'ua', 'c'), ('s', 'u', 'u'), ('s', 'ua', 'c'), ('u', 'a', 'c'), ('c', 'u', 'u')),
+edits as (
+  select made.a, codes || 'D' codes, '' terminal, 3 * len(codes) + 4 cost, made.z, true dropped from made
+  union all select made.a, codes || 'K', terminal, 3 * len(codes), arcs.z, false from made join arcs on made.z = arcs.a
+  union all select made.a, codes || upper(terminal), '', 3 * len(codes) + 3, arcs.z, false
+    from made join arcs on made.z = arcs.a where terminal in ('u', 'a')),
+parses as (
+  select distinct conv_id, 0::bigint n, 'e' state, 0::bigint cost, '' audit, '' codes from conversations
+  union all
+  select conv_id, n, state, best[1], best[2], best[3] from (
+    select p.conv_id, f.n, e.z state, min((p.cost + e.cost + case when fault = 'truncated' and not dropped then 3 else 0 end,
+      p.audit || translate(e.codes, 'UAua', 'RRII'), p.codes || e.codes)) best
+    from parses p join faults f on f.conv_id is not distinct from p.conv_id and f.n = p.n + 1 join edits e on e.a = p.state
+    where (dropped or fault in ('', 'truncated')) and (terminal = '' or terminal = left(r, 1))
+    group by p.conv_id, f.n, e.z)),
+sizes as (
+  select c.conv_id, count(n) rows, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps,
+    count(*) filter (fault = 'blank') blank, count(*) filter (fault = 'duplicate') duplicate,
+    count(*) filter (fault = 'truncated') truncated, count(*) filter (pair not in ('su', 'ua', 'au')) illegal
+  from (select distinct conv_id from conversations) c left join faults f on f.conv_id is not distinct from c.conv_id
+  group by c.conv_id),
+cheapest as (
+  select p.conv_id, min((cost + 3 * len(m.codes), audit || repeat('I', len(m.codes)), p.codes || m.codes)) best
+  from parses p join sizes s on s.conv_id is not distinct from p.conv_id and s.rows = p.n join made m on m.a = p.state
+  where m.z in ('e', 'c') group by p.conv_id),
+pieces as (
+  select conv_id, unnest(own) piece, unnest(range(1, len(own) + 1)) n
+  from (select conv_id, regexp_extract_all(best[3], '[ua]*[KDUA](?:[ua]+$)?') own from cheapest)),
+told as (
+  select p.conv_id, string_agg(array_to_string(list_transform(string_split(replace(piece, 'D', ''), ''), lambda c: case c
+    when 'u' then 'user:' when 'a' then 'assistant:' when 'K' then r || ':' || t when 'U' then 'user:' || t
+    else 'assistant:' || t end), chr(10)), chr(10) order by p.n) repaired
+  from pieces p join faults f on f.conv_id is not distinct from p.conv_id and f.n = p.n where piece <> 'D' group by p.conv_id)
+select s.conv_id, gaps::bigint gaps, blank, duplicate, truncated, illegal, best[1] cost, best[2] audit,
+  sha256(coalesce(repaired, '')) repaired_sha256
+from sizes s join cheapest c on c.conv_id is not distinct from s.conv_id
+  left join told o on o.conv_id is not distinct from s.conv_id
+"""
+
+
+@query("op11_repair", _REPAIRS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair_digests(repair_conversations(damaged(rows), all_ids=rows))
+
+
+_TRIE = rf"""
+with turns as (
+  select conv_id, coalesce(role, '') r, coalesce(text, '') t,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) n from conversations),
+told as (select conv_id, list((r, t) order by n) own from turns group by conv_id),
+built as (
+  select c.conv_id, coalesce(b.own[1:h], []) || c.own[h + 1:] path
+  from (select *, coalesce({_crc32_sql("conv_id::text")} % 4, 0) h from told) c left join told b on b.conv_id = c.conv_id - c.conv_id % 20),
+steps as (select conv_id, d, path[1:d] path, len(path) many from (select *, unnest(range(0, len(path) + 1)) d from built)),
+nodes as (
+  select path, d, min(conv_id) conv_id, count(*) n_convs,
+    sha256(coalesce(string_agg(conv_id::text, ',' order by conv_id) filter (many = d), '')) ends_sha256,
+    (count(*) - 1) * coalesce(len(regexp_extract_all(path[d][2], '[^\x20\x09-\x0D]+')), 0) saved
+  from steps group by path, d),
+children as (select path[1:d - 1] path, count(*) n_children from nodes where d > 0 group by 1),
+full_nodes as (select n.*, coalesce(n_children, 0) n_children from nodes n left join children using (path)),
+below as (
+  select path[1:k] path, count(*) filter (n_children = 0) n_leaves, sum(saved)::bigint saved_tokens
+  from (select *, unnest(range(0, d + 1)) k from full_nodes) group by 1)
+select n.conv_id, n.d depth, p.conv_id parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, n.ends_sha256
+from full_nodes n join below using (path) left join nodes p on n.d > 0 and p.path = n.path[1:n.d - 1]
+"""
+
+
+@query("op12_prefix_trie", _TRIE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
