@@ -31,4 +31,4 @@ def test_query_equals_sql(spark, duck, name):
 def test_all_are_registered():
     names = set(queries())
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLES) <= set(oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}

@@ -11,6 +11,7 @@ from tidemark.llm.decontamination import benchmark_leaks
 from tidemark.llm.divergence import divergence_quality
 from tidemark.llm.line_dedup import similar_lines
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.pii import personal_data
 from tidemark.llm.prefixes import conversation_trie
 from tidemark.llm.repair import damaged, repair_conversations, repair_digests
@@ -276,3 +277,10 @@ from full_nodes n join below using (path) left join nodes p on n.d > 0 and p.pat
 @query("op12_prefix_trie", _TRIE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
