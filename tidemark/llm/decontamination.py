@@ -24,6 +24,8 @@ from tidemark.llm.work import in_batches, text_of, text_slices, texts_by_id
 
 SCHEMA = "doc_id long, item_id long, distance int, first_word long"
 _PAD = np.uint64(0x9E3779B97F4A7C15)
+#: Text that is hashed at one time.
+HASHED_BYTES = 1 << 20
 #: Meetings of short items that are looked at together.
 MEETINGS = 200_000
 
@@ -56,30 +58,54 @@ _POWER = np.ones(_LONGEST, np.uint64)
 np.multiply.accumulate(np.full(_LONGEST - 1, np.uint64(0x5851F42D4C957F2D)), out=_POWER[1:])
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased words of all texts in order, and where each text's words begin and end."""
-    texts = texts.cast(pa.large_binary())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = texts.buffers()[2]
-    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    offsets = offsets - offsets[0]
-    if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+def _hashed(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of ``raw`` and where each begins; a word ends where a text begins."""
     word = ~_BLANK[raw]
     first = word.copy()
     first[1:] &= ~word[:-1]
-    begins = offsets[:-1][(offsets[:-1] < len(raw)) & (np.diff(offsets) > 0)]
     first[begins] |= word[begins]
     own = _LOWER[raw[word]]
     starts = np.flatnonzero(first[word])
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     lengths = np.diff(np.append(starts, len(own)))
     place = np.arange(len(own)) - np.repeat(starts, lengths)
     hashes = np.add.reduceat(_BYTE[own] * _POWER[place & (_LONGEST - 1)], starts) + lengths.astype(np.uint64)
     hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     hashes ^= hashes >> np.uint64(32)
-    return hashes, np.searchsorted(np.flatnonzero(first), offsets)
+    return hashes, np.flatnonzero(first)
+
+
+def _parts_of(raw: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Parts of about ``HASHED_BYTES`` that end in front of a blank; the hashes of a byte take 35 bytes on the way."""
+    start = 0
+    while start < len(raw):
+        end = start + HASHED_BYTES
+        while end < len(raw):
+            blank = np.flatnonzero(_BLANK[raw[end : end + 4096]])
+            if len(blank):
+                end += int(blank[0])
+                break
+            end += 4096
+        yield start, min(end, len(raw))
+        start = min(end, len(raw))
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of all texts in order, and where each text's words begin and end."""
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    begins = offsets[:-1][(offsets[:-1] < len(raw)) & (np.diff(offsets) > 0)]
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for a, z in _parts_of(raw):
+        own = begins[np.searchsorted(begins, a) : np.searchsorted(begins, z)] - a
+        found, at = _hashed(raw[a:z], own)
+        hashes.append(found)
+        places.append(at + a)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
 
 
 class Embedding:

@@ -32,6 +32,8 @@ FAN = 8
 FRONTIER = 2_000_000
 #: Classes of shingles by whose frequency they are ordered.
 CLASSES = 1 << 16
+#: Text whose shingles are worked out together: their hashes take some 35 bytes for each byte of it.
+SHINGLED_BYTES = 2_000_000
 #: Texts and shingles of a block; blocks of a large group of candidates are compared two by two.
 BLOCK_TEXTS = 1_000
 BLOCK_SHINGLES = 2_000_000
@@ -349,7 +351,7 @@ def _class_counts(texts: DataFrame, width: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(CLASSES, np.int64)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, most=SHINGLED_BYTES):
                 for own in shingle_hashes(part.column("text"), width):
                     np.add.at(held, _class_of(own), 1)
         some = np.flatnonzero(held)
@@ -379,7 +381,7 @@ def _profiles(counts, width: int, similarity: float):
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, most=SHINGLED_BYTES):
                 prints = np.array([fingerprint(t) for t in part.column("text").cast(pa.binary()).to_pylist()], np.uint64)
                 rare = [shingle_prefix(x, counts.value, similarity) for x in shingle_hashes(part.column("text"), width)]
                 columns = [part.column("doc_id"), part.column("text_key"), pa.array(prints.view(np.int64)), _lists(rare)]
@@ -480,7 +482,7 @@ def _compared(distance: int, similarity: float):
 def _sets(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, most=SHINGLED_BYTES):
                 columns = [part.column(c) for c in ("root", "fingerprint", "text_key")]
                 columns.append(_lists(shingle_hashes(part.column("text"), width)))
                 yield pa.RecordBatch.from_arrays(columns, ["root", "fingerprint", "text_key", "shingles"])
