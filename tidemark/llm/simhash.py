@@ -32,6 +32,8 @@ FAN = 8
 FRONTIER = 2_000_000
 #: Classes of shingles by whose frequency they are ordered.
 CLASSES = 1 << 16
+#: How often a pattern that many texts share is factored by blocks of bits.
+FACTORED = 2
 #: Text whose shingles are worked out together: their hashes take some 35 bytes for each byte of it.
 SHINGLED_BYTES = 2_000_000
 #: Texts and shingles of a block; blocks of a large group of candidates are compared two by two.
@@ -393,19 +395,33 @@ def _profiles(counts, width: int, similarity: float):
 def shingle_links(nodes: DataFrame, distance: int, node_rows: int = NODE_ROWS) -> DataFrame:
     """Links ``high, low, apart`` that join the fingerprints within ``distance`` bits that share a ``pattern``.
 
-    Patterns of more than about ``node_rows`` fingerprints, by a sample of these, are divided by blocks of bits, of
-    which two fingerprints within the distance share one; so large nodes become more of them and no pair is missed.
+    Patterns of more than about ``node_rows`` fingerprints, by a sample of these, are factored by blocks of bits, of
+    which two fingerprints within the distance share one, and what is still large once more (each time a fingerprint
+    enters as many nodes as there are blocks). No pair is missed; what a family of near copies leaves in one node is
+    searched by the tree.
     """
     step = max(1, node_rows // 300)
-    sampled = nodes.where(F.pmod(F.xxhash64("fingerprint"), F.lit(step)) == 0)
-    hot = written(sampled.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") * step > node_rows).select("pattern"))
-    whole = nodes.select(F.lit(0).cast("long").alias("mask"), "pattern", "fingerprint")
-    if not hot.isEmpty():
-        masks = F.array(*[F.lit(_signed(m)).cast("long") for m in _parts(list(range(BITS)), distance + 1)])
-        inside = nodes.join(hot, "pattern", "left_semi").select(F.explode(masks).alias("mask"), "pattern", "fingerprint")
-        inside = inside.withColumn("pattern", F.xxhash64("pattern", F.col("fingerprint").bitwiseAND(F.col("mask"))))
-        whole = whole.join(hot, "pattern", "left_anti").select("mask", "pattern", "fingerprint").unionByName(inside)
-    return _links_of(whole, distance)
+    masks, done = [0], []
+    rows = nodes.select(F.lit(0).cast("long").alias("mask"), "pattern", "fingerprint")
+    for left in reversed(range(FACTORED + 1)):
+        sampled = rows.where(F.pmod(F.xxhash64("fingerprint"), F.lit(step)) == 0)
+        children = {m: lower_masks(m, distance) for m in masks}
+        large = [m for m in masks if children[m]]
+        hot = sampled.groupBy("mask", "pattern").agg(F.count("*").alias("n")).where(F.col("n") * step > node_rows)
+        hot = written(hot.select("mask", "pattern")) if left else None
+        if hot is None or hot.isEmpty():
+            done.append(rows)
+            break
+        done.append(rows.join(hot, ["mask", "pattern"], "left_anti"))
+        of = F.create_map(*[x for m in large for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(c)) for c in children[m]]))])
+        inside = rows.join(hot, ["mask", "pattern"], "left_semi").withColumn("mask", F.explode(F.element_at(of, F.col("mask"))))
+        # a smaller node is named by the one it comes from and its bits
+        rows = written(inside.withColumn("pattern", F.xxhash64("pattern", F.col("fingerprint").bitwiseAND(F.col("mask")))).distinct())
+        masks = sorted({c for m in large for c in children[m]})
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    return _links_of(whole.select("mask", "pattern", "fingerprint"), distance)
 
 
 def similar_pairs(
@@ -506,7 +522,7 @@ def similar_links(
     sets = written(in_batches(found, _sets(width), "root long, fingerprint long, text_key long, shingles array<long>"))
     sizes = sets.groupBy("root").agg((F.count("*") / BLOCK_TEXTS).alias("a"), (F.sum(F.size("shingles")) / BLOCK_SHINGLES).alias("b"))
     large = sizes.select("root", F.ceil(F.greatest("a", "b")).alias("_blocks")).where("_blocks > 1")
-    dealt = sets.join(F.broadcast(large), "root", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1).cast("long")))
+    dealt = sets.join(large, "root", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1).cast("long")))
     dealt = dealt.withColumn("_own", F.pmod("text_key", "_blocks"))
     dealt = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
     dealt = dealt.withColumns({"one": F.least("_own", "_with"), "other": F.greatest("_own", "_with")})
