@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import in_batches, text_of, text_slices, texts_by_id
+from tidemark.llm.work import filtered, in_batches, text_of, text_slices, texts_by_id
 
 SCHEMA = "doc_id long, item_id long, distance int, first_word long"
 _PAD = np.uint64(0x9E3779B97F4A7C15)
@@ -308,3 +308,24 @@ def benchmark_leaks(documents: DataFrame, benchmark: DataFrame, rules: LeakRules
 
         found = found.unionByName(in_batches(rows, search, SCHEMA))
     return found
+
+
+def without_leaks(documents: DataFrame, benchmark: DataFrame, rules: LeakRules = LeakRules()) -> DataFrame:
+    """The rows of ``documents`` that contain no item of the benchmark, with all columns.
+
+    Each row is searched by its own text, whatever its id, so null and repeated ids are kept apart; null texts stay.
+    Empty tables: an empty result, or all documents.
+    """
+    spark = documents.sparkSession
+    for block in _blocks(benchmark, rules.block_bytes):
+        items, held = spark.sparkContext.broadcast(block), []
+
+        def keep(part: pa.RecordBatch, items=items, held=held) -> list[bool]:
+            if not held:
+                held.append(ItemIndex(items.value, rules))
+            words, bounds = word_hashes(part.column("text"))
+            leaked = {text for text, _ in held[0].verified(words, bounds)} if len(words) else set()
+            return [k not in leaked for k in range(part.num_rows)]
+
+        documents = filtered(documents, {"text": text_of()}, keep, most=2_000_000)
+    return documents

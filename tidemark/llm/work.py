@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The bytes that separate words: space and the controls from tab to carriage return.
 BLANKS = r"\x20\x09-\x0D"
@@ -76,7 +77,7 @@ def _package() -> str:
     return path
 
 
-def in_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def in_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package on the workers."""
     context = df.sparkSession.sparkContext
     if getattr(context, "_corpus_package", None) is None:
@@ -85,6 +86,27 @@ def in_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def filtered(df: DataFrame, seen: dict[str, Column], keep: Callable[[pa.RecordBatch], list[bool]], most: int = 1 << 24) -> DataFrame:
+    """The rows of ``df`` for which ``keep`` is true, each judged for itself, with all columns as they are.
+
+    ``keep`` gets batches of the columns ``seen``, of which one is called ``text``, with about ``most`` bytes of text each.
+    """
+    own, taken = df.columns, {c.lower() for c in df.columns}
+    names = {}
+    for c in seen:
+        names[c] = f"_{c}"
+        while names[c].lower() in taken:
+            names[c] = f"_{names[c]}"
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, names["text"], most):
+                shown = pa.RecordBatch.from_arrays([part.column(names[c]) for c in names], list(names))
+                yield part.filter(pa.array(keep(shown), pa.bool_())).select(own)
+
+    return in_batches(df.select(*columns_of(df), *[c.alias(names[k]) for k, c in seen.items()]), pick, df.schema)
+
+
 def text_slices(batch: pa.RecordBatch, name: str = "text", most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most ``most`` bytes of text each, or a single row."""
     sizes = pa.compute.binary_length(batch.column(name)).to_pylist()
