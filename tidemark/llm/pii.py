@@ -1,6 +1,6 @@
 """Personal data by anchor expansion.
 
-One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, schemes and identifier cues. At each
+One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, schemes and cues of identifiers and credentials. At each
 anchor a small deterministic parser expands to the left and right, and validates what it has found.
 """
 
@@ -19,12 +19,17 @@ from pyspark.sql import DataFrame
 from tidemark.llm.work import in_batches, text_slices, texts_by_id
 
 #: Kinds in the order of results; the first four are the base kinds.
-KINDS = ("email", "ip", "card", "phone", "account", "url")
+KINDS = ("email", "ip", "card", "phone", "account", "url", "secret")
 BASE_KINDS = KINDS[:4]
 SCHEMES = ("http://", "https://", "ftp://", "ftps://", "ssh://", "sftp://")
 #: Words that announce the number of an account or document; each also counts capitalised and in capitals.
 CUES = ("iban", "account", "acct", "routing", "passport", "ssn", "kontonummer", "cuenta", "compte")
 
+#: Words that announce a credential; each also counts capitalised and in capitals, alone or as the end of a name.
+SECRET_CUES = ("token", "key", "secret", "password", "passwd", "pwd", "passphrase", "credential", "credentials", "bearer")
+#: Least characters of a credential, and of one behind a word for passwords.
+LEAST_SECRET, LEAST_PASSWORD = 16, 8
+
 _LOCAL = frozenset(ascii_letters + digits + "._%+-")
 _WORD = frozenset(ascii_letters + digits + "_")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,7 +42,12 @@ _ACCOUNT = re.compile(r"(?:\x20?(?:no\.?|nr\.?|number|num\.?))?\x20?[:=#]?\x20?(
 _URL = re.compile(r"(?:[^\s/@<>\"]{1,200}@)?(?:[A-Za-z0-9-]+\.)+[A-Za-z0-9-]+(?::[0-9]{1,5})?(?:/[^\s<>\"]*)?")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}")
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_account long, n_url long"
+# an assignment with its value in quotes or bare, or the scheme word of an authorisation header
+_ASSIGNED = re.compile(r"[\"']?[\x20\t]{0,4}(?:[:=]|=>|:=)[\x20\t]{0,4}(?:([\"'`])([^\s\"'`]{8,4096})\1|([A-Za-z0-9+/_.~-]{8,4096}={0,2})(?![A-Za-z0-9+/_.~-]))")
+_BEARER = re.compile(r"\x20(([A-Za-z0-9+/_.~-]{8,4096}={0,2}))(?![A-Za-z0-9+/_.~-])")
+
+SCHEMA = """doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_account long,
+n_url long, n_secret long"""
 
 
 def luhn(number: str) -> bool:
@@ -57,6 +67,18 @@ def _iban_holds(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _secret_at(text: str, cue: str, end: int) -> tuple[int, int] | None:
+    """The span of a credential announced by a cue that ends at ``end``: long enough, of letters and digits mixed."""
+    found = (_BEARER if cue == "bearer" else _ASSIGNED).match(text, end) or (_ASSIGNED.match(text, end) if cue == "bearer" else None)
+    if found is None:
+        return None
+    group = 2 if found[2] is not None else 3
+    value = found[group]
+    least = LEAST_PASSWORD if cue.startswith(("pass", "pwd")) else LEAST_SECRET
+    mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and len(set(value)) >= min(6, least)
+    return found.span(group) if len(value) >= least and mixed else None
+
+
 @functools.lru_cache(maxsize=1)
 def _anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
@@ -68,6 +90,9 @@ def _anchors() -> ahocorasick.Automaton:
     for cue in CUES:
         for form in {cue, cue.capitalize(), cue.upper()}:
             found.add_word(form, ("cue", len(cue)))
+    for cue in SECRET_CUES:
+        for form in {cue, cue.capitalize(), cue.upper()}:
+            found.add_word(form, (f"secret {cue}", len(cue)))
     found.make_automaton()
     return found
 
@@ -112,6 +137,12 @@ def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
                 end = found.start() + len(found[0].rstrip(".,;:!?)'"))
                 free["url"] = end
                 spans["url"].append((start, end))
+        elif kind.startswith("secret"):
+            start = last + 1 - length
+            inside = start > 0 and text[start].islower() and text[start - 1].isalpha()  # as in monkey, not in apiKey
+            if start >= free["secret"] and not inside and (span := _secret_at(text, kind[7:], last + 1)):
+                free["secret"] = span[1]
+                spans["secret"].append(span)
         else:
             start = last + 1 - length
             if start >= free["account"] and not (start and text[start - 1] in _WORD) and (found := _ACCOUNT.match(text, last + 1)):
@@ -131,13 +162,13 @@ def personal_data(documents: DataFrame) -> DataFrame:
     """Spans of personal data in each whole text of ``documents`` (``doc_id``, ``text``).
 
     ``spans`` lists all as ``kind:start:end``, by kind and start; ``base_sha256`` is the digest of those of the base
-    kinds email, ip, card and phone, which the further kinds (account, url) never change. A null text counts as
+    kinds email, ip, card and phone, which the further kinds (account, url, secret) never change. A null text counts as
     empty and has none. Repeated rows are searched each for itself; an empty table gives an empty result; other
     columns are unread.
     """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_account", "n_url"]
+        names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_account", "n_url", "n_secret"]
         for batch in batches:
             for part in text_slices(batch):
                 rows = []
