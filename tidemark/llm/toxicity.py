@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import in_batches, text_slices, texts_by_id, written
+from tidemark.llm.work import in_batches, text_of, text_slices, texts_by_id, written
 
 PREFIXES = (4, 5)
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -167,11 +167,16 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, rules: ToxicityRules =
                 ids = part.column("doc_id").to_pylist()
                 found = [list(features_of(t)) for t in part.column("text").cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array([of[i] for i in ids], pa.int32()), pa.array(found, pa.list_(pa.binary()))],
-                    ["doc_id", "toxic", "features"],
+                    [pa.array(ids, pa.int64()), part.column("text_key"), pa.array([of[i] for i in ids], pa.int32()), pa.array(found, pa.list_(pa.binary()))],
+                    ["doc_id", "text_key", "toxic", "features"],
                 )
 
-    sampled = written(in_batches(texts_by_id(documents), extract, "doc_id long, toxic int, features array<binary>"))
+    rows = in_batches(
+        texts_by_id(documents, F.xxhash64(text_of()).alias("text_key")), extract, "doc_id long, text_key long, toxic int, features array<binary>"
+    )
+    # rows that repeat an id are one text of the sample, so it holds no more than ``rules.sample`` of them
+    one = rows.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "features"), "text_key").alias("row"))
+    sampled = written(one.select("doc_id", "row.toxic", "row.features"))
     totals = Counter({r["toxic"]: r["n"] for r in sampled.groupBy("toxic").agg(F.count("*").alias("n")).collect()})
     if not totals[0] or not totals[1]:
         return Classifier({}, -30.0)
