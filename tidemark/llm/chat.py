@@ -1,19 +1,22 @@
 """Chat formatting with Spark expressions only.
 
-The turns of a conversation are collected as structs and sorted; adjacent turns of one role are merged by an array
-aggregation; markers and escaped texts are concatenated. Control strings inside texts are escaped, so the output can
+The turns of a conversation are collected as structs and sorted; adjacent turns of one role are merged by slices of
+that array; markers and escaped texts are concatenated. Places in the output are running sums of a window on the same
+shuffle, so the work is in proportion to the turns. Control strings inside texts are escaped, so the output can
 be read back exactly. A merged turn keeps its parts apart by a marker.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Strings that steer a model or this template; none of them is left in an escaped text. None overlaps itself.
 CONTROL = ("<|", "<s>", "</s>", "[INST]", "[/INST]")
 LOSS_ROLE = "assistant"
+#: Code points of a page in which a formatted conversation is read back.
+PAGE = 4096
 
 
 def escaped(text: Column) -> Column:
@@ -28,47 +31,6 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def _merged(turns: Column) -> Column:
-    """Runs of turns of one role: ``role`` and the list of ``texts``."""
-    empty = F.expr("cast(array() as array<struct<role:string, texts:array<string>>>)")
-
-    def add(runs: Column, turn: Column) -> Column:
-        last = F.element_at(runs, -1)
-        longer = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        new = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        same = F.when(F.size(runs) > 0, last["role"] == turn["role"]).otherwise(F.lit(False))
-        return F.when(same, F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(longer))).otherwise(F.concat(runs, F.array(new)))
-
-    return F.aggregate(turns, empty, add)
-
-
-def _spans(runs: Column) -> Column:
-    """Spans of the loss role's texts in the output: ``start`` and ``end`` in code points, end exclusive."""
-
-    def parts(run: Column) -> Column:
-        role = escaped(run["role"])
-        last = F.size(run["texts"]) - 1
-        return F.transform(
-            run["texts"],
-            lambda text, k: F.struct(
-                (F.when(k == 0, F.length(role) + len(TURN)).otherwise(F.lit(0)) + len(TEXT)).alias("lead"),
-                F.length(escaped(text)).alias("n"),
-                F.when(k == last, F.lit(len(END))).otherwise(F.lit(0)).alias("tail"),
-                (run["role"] == LOSS_ROLE).alias("loss"),
-            ),
-        )
-
-    state = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int, end:int>>)").alias("spans"))
-
-    def add(held: Column, part: Column) -> Column:
-        start = held["at"] + part["lead"]
-        end = start + part["n"]
-        more = F.concat(held["spans"], F.array(F.struct(start.alias("start"), end.alias("end"))))
-        return F.struct((end + part["tail"]).alias("at"), F.when(part["loss"], more).otherwise(held["spans"]).alias("spans"))
-
-    return F.aggregate(F.flatten(F.transform(runs, parts)), state, add, lambda held: held["spans"])
-
-
 def format_chats(conversations: DataFrame) -> DataFrame:
     """One row for each conversation: ``conv_id, formatted, loss_spans``.
 
@@ -77,18 +39,36 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     empty table gives an empty result; other columns are unread. A conversation is one row of the result, so its
     turns meet in one task.
     """
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    turn = F.struct(F.col("turn").cast("long").alias("turn"), text("role").alias("role"), text("text").alias("text"))
-    runs = (
-        conversations.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("_turn"))
-        .groupBy("conv_id")
-        .agg(F.sort_array(F.collect_list("_turn")).alias("_turns"))
-        .select("conv_id", _merged(F.col("_turns")).alias("_runs"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    number = lambda c: F.col(c).cast("long").alias(c)
+    rows = conversations.select(number("conv_id"), number("turn"), text("role"), text("text"))
+    rows = rows.withColumns({"_role": escaped(F.col("role")), "_text": escaped(F.col("text"))})
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    before = F.lag("role").over(order)
+    rows = rows.withColumns({"_first": before.isNull(), "_new": before.isNull() | (before != F.col("role"))})
+    # what stands in front of a text: the end of the run before and the head of its own, if it begins one
+    head = F.when(F.col("_new"), F.length("_role") + len(TURN) + F.when(F.col("_first"), 0).otherwise(len(END))).otherwise(0)
+    rows = rows.withColumns({"_n": F.length("_text").cast("long"), "_lead": (head + len(TEXT)).cast("long")})
+    start = F.sum(F.col("_lead") + F.col("_n")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    turn = F.struct(
+        start.alias("start"), F.col("_n").alias("n"), F.col("_new").alias("new"), F.col("_role").alias("role"), F.col("_text").alias("text"),
+        (F.col("role") == LOSS_ROLE).alias("loss"),
+    )
+    turns = rows.select("conv_id", turn.alias("_turn")).groupBy("conv_id").agg(F.sort_array(F.collect_list("_turn")).alias("_turns"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("_turns") - 1), lambda k: F.get("_turns", k)["new"])
+    runs = turns.select("conv_id", "_turns", starts.alias("_starts"))
+
+    def run(first: Column, k: Column) -> Column:
+        """The turns from a run's first one up to the next run's, merged."""
+        behind = F.coalesce(F.get("_starts", k + 1), F.size("_turns"))
+        own = F.slice("_turns", first + 1, behind - first)
+        texts = F.array_join(F.transform(own, lambda t: F.concat(F.lit(TEXT), t["text"])), "")
+        return F.concat(F.lit(TURN), F.get("_turns", first)["role"], texts, F.lit(END))
+
+    spans = F.transform(
+        F.filter("_turns", lambda t: t["loss"]), lambda t: F.struct(t["start"].cast("int").alias("start"), (t["start"] + t["n"]).cast("int").alias("end"))
     )
-    piece = lambda run: F.concat(
-        F.lit(TURN), escaped(run["role"]), F.array_join(F.transform(run["texts"], lambda t: F.concat(F.lit(TEXT), escaped(t))), ""), F.lit(END)
-    )
-    return runs.select("conv_id", F.array_join(F.transform("_runs", piece), "").alias("formatted"), _spans(F.col("_runs")).alias("loss_spans"))
+    return runs.select("conv_id", F.array_join(F.transform("_starts", run), "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -108,8 +88,17 @@ def read_turns(formatted: Column) -> Column:
 
 def chat_digests(chats: DataFrame) -> DataFrame:
     """What is read back from ``format_chats``: ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``."""
-    under = F.transform("loss_spans", lambda s: unescaped(F.substr(F.col("formatted"), s["start"] + 1, s["end"] - s["start"])))
-    read = chats.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("_turns"), F.array_join(under, "").alias("_loss"))
+    # a place in a long string is found by counting from its beginning, so it is read in pages
+    pages = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+    paged = chats.select("conv_id", "formatted", "loss_spans", pages.alias("_pages"))
+
+    def under(span: Column) -> Column:
+        one, last = F.floor(span["start"] / PAGE).cast("int"), F.floor(F.greatest(span["end"] - 1, span["start"]) / PAGE).cast("int")
+        near = F.when(one == last, F.get("_pages", one)).otherwise(F.array_join(F.slice("_pages", one + 1, last - one + 1), ""))
+        return unescaped(F.substr(near, span["start"] % PAGE + 1, span["end"] - span["start"]))
+
+    loss = F.array_join(F.transform("loss_spans", under), "")
+    read = paged.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("_turns"), loss.alias("_loss"))
     line = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",
