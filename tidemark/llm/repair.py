@@ -246,10 +246,12 @@ def _faults(rows: DataFrame) -> DataFrame:
     text = F.col("text")
     seen = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.length("role"), F.concat("role", text))
     rows = rows.withColumns({"_blank": ~text.rlike(f"[^{BLANKS}]"), "_cut": ~text.rlike(rf"[.!?][{BLANKS}]*\z")})
-    marked = rows.withColumn("_seen", F.when(~F.col("_blank"), F.md5(seen)))
+    marked = rows.where("not _blank").withColumn("_seen", F.md5(seen))
     # a null turn comes first; partial minima go ahead of the shuffle, so a text repeated often is one row for each task
-    first = marked.where("_seen is not null").groupBy("_seen").agg(F.min(F.struct(F.col("turn").isNotNull().alias("has"), "turn")).alias("_first"))
-    return marked.join(first, "_seen", "left").drop("_seen")
+    first = marked.groupBy("_seen").agg(F.min(F.struct(F.col("turn").isNotNull().alias("has"), "turn")).alias("_first"))
+    # blank rows look nothing up and stay where they are
+    blank = rows.where("_blank").withColumn("_first", F.lit(None).cast(first.schema["_first"].dataType))
+    return marked.join(first, "_seen").drop("_seen").unionByName(blank)
 
 
 def _in_order(rows: DataFrame) -> DataFrame:
