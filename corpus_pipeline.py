@@ -9,50 +9,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.llm.decontamination import benchmark_leaks
-from tidemark.llm.divergence import divergence_quality
+from tidemark.llm.decontamination import without_leaks
+from tidemark.llm.divergence import kept_documents
 from tidemark.llm.mixing import MixRules, mix_documents
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash import simhash_dedup
-from tidemark.llm.work import columns_of, written
+from tidemark.llm.work import written
 
 SHARDS = 40
-#: The rejected documents or leaks named by broadcast at most (8 bytes each); beyond, Spark chooses the join.
-NAMED = 500_000
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose ``doc_id`` is among ``ids``, null included."""
-    ids = written(ids.select(F.col("doc_id").alias("_gone")).distinct())
-    if ids.count() <= NAMED:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti").select(*columns_of(docs))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go. Of rows with the same id, all go if one is rejected."""
-    return _without(docs, divergence_quality(docs).where("not kept"))
+    """Rejected documents go, each judged by its own text and language, whatever its id. Null and empty texts have no
+    words and go; repeated rows go or stay together; an empty table stays empty."""
+    return kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that of the smallest id."""
+    """One document of each group of near-duplicates stays, that of the smallest id; rows with null ids and rows that share
+    an id are told apart by their texts. Texts without words, null among them, are one group; an empty table stays
+    empty."""
     return simhash_dedup(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain an item of the benchmark go."""
-    return _without(docs, benchmark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    """Documents that contain an item of the benchmark go, each searched by its own text, whatever its id. Null texts
+    stay; without items all stay; an empty table stays empty."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Small sources are repeated up to the target weights; every document is taken at least once."""
+    """Small sources are repeated up to the target weights; every document with words is taken at least once. A null
+    source is one source; null texts have no tokens; an empty table stays empty."""
     return mix_documents(docs, MixRules(budget=None))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of each row."""
+    """The shard and slot of each row; equal texts share a shard, null and empty ones among them. An empty table gives
+    an empty result."""
     return shard_documents(docs, SHARDS)
 
 
