@@ -15,6 +15,8 @@ from tidemark.llm.work import text_of, written
 
 #: Up to this many lines to be verified are named by broadcast (three numbers each); beyond, they are joined by shuffle.
 NAMED_LINES = 1_000_000
+#: Lines that are checked against each other in one place.
+GROUP_LINES = 400
 #: Words are counted in so many classes by the upper bits of their hash; the order of rarity is that of the classes.
 CLASS_BITS = 16
 _CLASSES = 1 << CLASS_BITS
@@ -100,12 +102,12 @@ def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
         .withColumn("id", F.monotonically_increasing_id())
     )
     candidates = written(_meetings(sets, percent))
-    links = written(_verified(documents, sets, candidates, percent))
+    links = _verified(documents, sets, candidates, percent)
     return _decided(lines, sets, links)
 
 
 def _meetings(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of ids of sets that meet on a word of their prefixes and pass the filters."""
+    """Pairs ``a, b`` of ids of sets that meet on a word of their prefixes and pass the filters, and the least such ``word``."""
     entries = sets.where("size(prefix) > 0").select("id", "parity", "size", F.posexplode("prefix").alias("pos", "word"))
     a, b = entries.alias("a"), entries.alias("b")
     needed = _overlap(percent, "a.size + b.size")
@@ -115,14 +117,14 @@ def _meetings(sets: DataFrame, percent: int) -> DataFrame:
         f" and least(a.size - a.pos, b.size - b.pos) >= {needed}"
         f" and bit_count(a.parity ^ b.parity) <= a.size + b.size - 2 * {needed}"
     )
-    return a.join(b, F.expr(meet)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    met = a.join(b, F.expr(meet)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.word").alias("word"))
+    return met.groupBy("a", "b").agg(F.min("word").alias("word"))
 
 
-def _verified(documents: DataFrame, sets: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs that are similar by their words: ``a, b, a_first, b_first``."""
-    ends = candidates.select(F.col("a").alias("id")).union(candidates.select("b")).distinct()
+def _texts(documents: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, first, line`` of the sets whose ids are asked for."""
     wanted = written(
-        sets.join(ends, "id").select("id", "size", "parity", F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line"))
+        sets.join(ids, "id").select("id", "size", "parity", F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line"))
     )
     named = F.broadcast(wanted) if wanted.count() <= NAMED_LINES else wanted
     here = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_line"))
@@ -132,13 +134,48 @@ def _verified(documents: DataFrame, sets: DataFrame, candidates: DataFrame, perc
     found = found.withColumn("_hashes", F.expr(f"array_distinct({_HASHES})")).where(
         ((F.size("_hashes") - F.col("size")) == 0) & (F.expr(_PARITY.format(words="_hashes")).bitwiseXOR(F.col("parity")) == 0)
     )
-    texts = written(found.select("id", F.struct("doc_id", "line_no").alias("first"), "line"))
-    pairs = candidates
-    for side in "ab":
-        pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("first").alias(f"{side}_first"), F.col("line").alias(f"{side}_line")), side)
-    words = [F.expr(f"array_remove(split({_spaced(f'{side}_line')}, ' '), '')") for side in "ab"]
-    common, every = F.size(F.array_intersect(*words)), F.size(F.array_union(*words))
-    return pairs.where(100 * common >= percent * every).select("a", "b", "a_first", "b_first").distinct()
+    return written(found.select("id", F.struct("doc_id", "line_no").alias("first"), "line"))
+
+
+def _verified(documents: DataFrame, sets: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs that are similar by their words: ``a, b, a_first, b_first``.
+
+    Pairs are checked in groups by the word they met on, and a line is sent once to a group and not to each of its
+    pairs. The lines of a large group are dealt into blocks, of which each two are a group of their own.
+    """
+    homes = {x: written(candidates.select("word", F.col(x).alias("id")).distinct()) for x in "ab"}
+    every = homes["a"].union(homes["b"]).distinct()
+    texts = _texts(documents, sets, every.select("id").distinct())
+    many = every.groupBy("word").agg(F.ceil(F.count("*") / GROUP_LINES).cast("int").alias("blocks"))
+    many = written(many.where("blocks > 1").withColumnRenamed("word", "_word"))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        """``rows`` with the number of blocks of their word."""
+        joined = rows.join(many, F.col("word") == F.col("_word"), "left").drop("_word")
+        return joined.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+
+    block = lambda x: F.pmod(F.xxhash64(x), F.col("blocks")).cast("int")
+    key = ["word", "i", "j"]
+    pairs = dealt(candidates).select("word", block("a").alias("i"), block("b").alias("j"), "a", "b")
+    sides = {}
+    for x, own, other in (("a", "i", "j"), ("b", "j", "i")):
+        placed = dealt(homes[x]).withColumn(own, block("id"))
+        placed = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(texts, "id")
+        placed = placed.select(*key, F.col("id").alias(x), F.col("first").alias(f"{x}_first"), "line").repartition(*key)
+        words = F.expr(f"array_distinct(array_remove(split({_spaced('line')}, ' '), ''))")
+        sides[x] = placed.withColumn(f"{x}_words", words).drop("line")
+    spark = documents.sparkSession
+    # a group's rows are in one partition, by which both joins can go
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        met = pairs.repartition(*key).join(sides["a"], [*key, "a"]).join(sides["b"], [*key, "b"])
+        common = F.size(F.array_intersect("a_words", "b_words"))
+        similar = (100 + percent) * common >= percent * (F.size("a_words") + F.size("b_words"))
+        return written(met.where(similar).select("a", "b", "a_first", "b_first").distinct())
+    finally:
+        spark.conf.set(setting, before)
 
 
 def _decided(lines: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
