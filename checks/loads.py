@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ from tidemark.control.runlog import (
     run_summary,
     with_rollup,
 )
-from tidemark.control.watermarks import upsert_watermarks, watermark_or_default
+from tidemark.control.watermarks import WatermarkStore, upsert_watermarks, watermark_or_default
 from tidemark.functions.hashing import hash_bucket
 from tidemark.operators.delta import next_snapshot, snapshot_delta
 from tidemark.operators.merge import (
@@ -50,16 +51,17 @@ from tidemark.operators.merge import (
     new_target,
     upsert,
 )
-from tidemark.plans.load import load_delta, merge_into
+from tidemark.plans.load import load_delta, merge_into, read_target
 from tidemark.plans.snapshot_cdc import run_snapshot_cdc
 from tidemark.plans.sync import sync_tables
 from tidemark.plans.timestamp_cdc import run_timestamp_cdc
 from tidemark.sinks.datasets import append_raw, consume_raw, read_raw, write_delta
 from tidemark.sinks.generations import GenerationStore
 from tidemark.sources.files import file_counts, ingest_files, load_differences, validate_load
-from tidemark.sources.paths import TablePaths
+from tidemark.sources.ledger import FileLedger
+from tidemark.sources.paths import TablePaths, run_name
 from tidemark.sources.tables import read_snapshot
-from tidemark.specs import TableSpec
+from tidemark.specs import TableSpec, read_specs
 from tidemark.streaming.files import ingest_stream, land_stream, stream_merge
 
 MERGE_TS = "2024-01-05 00:00:00"
@@ -356,6 +358,50 @@ def _(spark, sf):
 # -- streams --------------------------------------------------------------
 
 
+@query(
+    "ingest_ledger_second_load",
+    f"select o_orderkey, 1 as load from ({ORD_PREV}) a union all select o_orderkey, 2 from ({ORD_CURR}) b",
+)
+def _(spark, sf):
+    # the first file is still there at the second load, which takes the other one alone
+    base = scratch(spark)
+    store, ledger = GenerationStore(spark, f"{base}/target"), FileLedger(spark, f"{base}/ledger")
+    landed = []
+    for load, (rows, run_ts) in enumerate(((ORD_PREV, FIRST_TS), (ORD_CURR, RUN_TS)), 1):
+        part = state(spark, sf, rows).withColumn("soft_delete", F.lit(0))
+        part.write.parquet(f"{base}/in/load-{load}")
+        load_delta(spark, f"{base}/in", store, f"{base}/raw", ["o_orderkey"], run_ts=run_ts, empty_raw=False, buckets=4, ledger=ledger)
+        landed.append(read_raw(spark, f"{base}/raw", [run_name(run_ts)]).select("o_orderkey", F.lit(load).alias("load")))
+    return landed[0].unionByName(landed[1])
+
+
+@query(
+    "load_names_damaged_files",
+    f"""select o_orderkey, cast(null as string) as file, cast(null as string) as reason from ({ORD_CURR}) c
+        union all select null, 'broken.parquet', 'no whole Parquet file' union all select null, 'nothing.parquet', 'no bytes'""",
+)
+def _(spark, sf):
+    # one file holds words of the table instead of Parquet, one nothing; a third one is whole and has no rows
+    base = scratch(spark)
+    store = GenerationStore(spark, f"{base}/target")
+    part = state(spark, sf, ORD_CURR).withColumn("soft_delete", F.lit(0))
+    part.write.parquet(f"{base}/in/a")
+    part.limit(0).coalesce(1).write.parquet(f"{base}/in/b")
+    words = " ".join(r[0] for r in part.select("o_orderpriority").distinct().orderBy("o_orderpriority").collect())
+    for name, content in (("broken", words), ("nothing", "")):
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/in/{name}.parquet")
+        out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+        out.write(bytearray(content.encode()))
+        out.close()
+    load_delta(
+        spark, f"{base}/in", store, f"{base}/raw", ["o_orderkey"], run_ts=RUN_TS, buckets=4, schema=part.schema, skipped=f"{base}/skipped"
+    )
+    skipped = spark.read.parquet(f"{base}/skipped")
+    none = F.lit(None).cast("string")
+    names = skipped.select(F.lit(None).cast("long").alias("o_orderkey"), F.substring_index("file", "/", -1).alias("file"), "reason")
+    return store.read().select("o_orderkey", none.alias("file"), none.alias("reason")).unionByName(names)
+
+
 @query("ingest_stream_load_once", f"select o_orderkey, o_totalprice, 1 as times from ({ORD_CURR}) t")
 def _(spark, sf):
     base = scratch(spark)
@@ -388,6 +434,35 @@ def _(spark, sf):
     return store.read()
 
 
+def _merged_in_order(loads):
+    """The target after merging the loads of ``ORD_RAW`` one after another, each reduced to its latest rows."""
+    target = _EMPTY
+    for load in loads:
+        own = LATEST_SQL.replace(f"({ORD_RAW}) r", f"({ORD_RAW}) r where load_ts = cast('{load}' as #ts)")
+        target = merge_sql(POLICIES["resurrect"], target, own)
+    return target
+
+
+_LOADS = [f"2024-01-0{day} 00:00:00" for day in (1, 2, 3, 4)]
+
+
+@query("stream_merge_out_of_order_orders", _merged_in_order(_LOADS))
+def _(spark, sf):
+    # the last load arrives first: revivals before the deletions, these before what they delete
+    base = scratch(spark)
+    raw = state(spark, sf, ORD_RAW)
+    store = GenerationStore(spark, f"{base}/target")
+    ordered = replace(POLICIES["resurrect"], order="load_ts")
+    for load in reversed(_LOADS):
+        part = raw.where(F.col("load_ts") == F.lit(load).cast("timestamp_ntz"))
+        part.write.parquet(f"{base}/in/load-{load[:10]}")
+        stream = ingest_stream(spark, f"{base}/in", part.schema)
+        stream_merge(
+            stream, store, ["o_orderkey"], f"{base}/checkpoint", ordered, run_ts=MERGE_TS, buckets=8
+        ).awaitTermination()
+    return read_target(store)
+
+
 # -- whole runs -----------------------------------------------------------
 
 
@@ -513,6 +588,101 @@ def _(spark, sf):
     return delta.withColumn("watermark", F.lit(result.watermark).cast("timestamp_ntz"))
 
 
+# -- columns that change their type ----------------------------------------
+
+_RANK = "substr(o_orderpriority, 1, 1)"
+# A rank that was a number becomes a text, first for one status and then for some finished orders as well.
+RETYPED = (
+    f"select o_orderkey, cast({_RANK} as int) as o_rank from {{orders}}",
+    f"select o_orderkey, case when o_orderstatus = 'P' then 'unknown' else {_RANK} end as o_rank from {{orders}}",
+    f"""select o_orderkey, case when o_orderstatus = 'P' then 'unknown'
+        when o_orderstatus = 'F' and o_orderpriority = '5-LOW' then 'low' else {_RANK} end as o_rank from {{orders}}""",
+)
+
+
+@query(
+    "snapshot_cdc_retyped_orders",
+    f"""select 'snapshot' as place, o_orderkey, o_rank, 0 as deleted from ({RETYPED[2]}) c
+        union all select 'snapshot', o_orderkey, {_RANK}, 1 from {{orders}}
+          where o_orderstatus = 'P' or (o_orderstatus = 'F' and o_orderpriority = '5-LOW')
+        union all select 'target', o_orderkey, o_rank, 0 from ({RETYPED[2]}) c""",
+)
+def _(spark, sf):
+    paths = TablePaths(scratch(spark), "shop", "main", "orders")
+    for day, text in enumerate(RETYPED, 1):
+        run_snapshot_cdc(spark, state(spark, sf, text), ["o_orderkey"], paths, f"2024-01-0{day}", buckets=8)
+    snapshot = GenerationStore(spark, paths.snapshot).read_snapshot()
+    target = GenerationStore(spark, paths.target).read()
+    named = lambda rows, place, flag: rows.select(F.lit(place).alias("place"), "o_orderkey", "o_rank", F.col(flag).alias("deleted"))
+    return named(snapshot, "snapshot", "soft_delete").unionByName(named(target, "target", "is_deleted"))
+
+
+# An integer becomes a double whose values are mostly the same: only the real changes are delivered.
+WIDENED = (
+    "select o_orderkey, cast(floor(o_totalprice / 1000) as int) as o_units from {orders}",
+    """select o_orderkey, case when o_orderstatus = 'P' then floor(o_totalprice / 1000) + 0.25e0
+       else cast(floor(o_totalprice / 1000) as double) end as o_units from {orders}""",
+)
+
+
+@query(
+    "snapshot_cdc_widened_number_orders",
+    f"select o_orderkey, o_units, soft_delete from (select *, 0 as soft_delete from ({WIDENED[1]}) c) d where o_units <> floor(o_units)",
+)
+def _(spark, sf):
+    paths = TablePaths(scratch(spark), "shop", "main", "orders")
+    for day, text in enumerate(WIDENED, 1):
+        result = run_snapshot_cdc(spark, state(spark, sf, text), ["o_orderkey"], paths, f"2024-01-0{day}", buckets=8, policy=None)
+    return spark.read.parquet(result.delta_path).select("o_orderkey", "o_units", "soft_delete")
+
+
+@query(
+    "timestamp_cdc_retyped_orders",
+    f"""select o_orderkey, case when o_orderstatus = 'P' then 'unknown' else {_RANK} end as o_rank, 0 as is_deleted
+        from {{orders}} where not (o_orderstatus = 'F' and o_orderpriority = '5-LOW')
+        union all select o_orderkey, {_RANK}, 1 from {{orders}} where o_orderstatus = 'F' and o_orderpriority = '5-LOW'""",
+)
+def _(spark, sf):
+    # every order is delivered first; then one status with a new type and time, while others are gone
+    paths = TablePaths(scratch(spark), "shop", "main", "orders")
+    first = state(spark, sf, f"select o_orderkey, cast({_RANK} as int) as o_rank, o_orderdate as at from {{orders}}")
+    second = state(
+        spark, sf,
+        f"""select o_orderkey, case when o_orderstatus = 'P' then 'unknown' else {_RANK} end as o_rank,
+            case when o_orderstatus = 'P' then cast('2030-01-01' as #ts) else o_orderdate end as at
+            from {{orders}} where not (o_orderstatus = 'F' and o_orderpriority = '5-LOW')""",
+    )
+    for rows, since, run_ts in ((first, "1900-01-01", FIRST_TS), (second, "2029-01-01", RUN_TS)):
+        run_timestamp_cdc(spark, rows, ["o_orderkey"], ["at"], datetime.fromisoformat(since), paths, run_ts, buckets=8, trust_timestamps=True)
+    return GenerationStore(spark, paths.target).read().select("o_orderkey", "o_rank", "is_deleted")
+
+
+_UNITS = "cast(floor(o_totalprice / 1000) as int)"
+_PRICE = "cast(o_totalprice as decimal(12,2))"
+
+
+@query(
+    "merge_widened_value_orders",
+    f"""select o_orderkey,
+        case when o_orderpriority = '1-URGENT' then 0 when o_orderstatus = 'P' then {_UNITS} + 0.75e0 else {_UNITS} end as o_units,
+        case when o_orderpriority = '1-URGENT' then {_PRICE} when o_orderstatus = 'P' then {_PRICE} + 0.0125 else {_PRICE} end as o_price,
+        0 as is_deleted from {{orders}}""",
+)
+def _(spark, sf):
+    # an integer and a decimal meet a double and more decimals, and are delivered once more as they were
+    store = GenerationStore(spark, scratch(spark))
+    loads = (
+        f"select o_orderkey, {_UNITS} as o_units, {_PRICE} as o_price from {{orders}}",
+        f"select o_orderkey, {_UNITS} + 0.75e0 as o_units, cast({_PRICE} + 0.0125 as decimal(14,4)) as o_price from {{orders}} where o_orderstatus = 'P'",
+        f"select o_orderkey, 0 as o_units, {_PRICE} as o_price from {{orders}} where o_orderpriority = '1-URGENT'",
+    )
+    for day, text in enumerate(loads, 1):
+        stamp = F.lit(f"2024-01-0{day}").cast("timestamp_ntz")
+        delta = state(spark, sf, text).withColumns({"soft_delete": F.lit(0), "load_ts": stamp})
+        merge_into(store, delta, ["o_orderkey"], run_ts=f"2024-01-0{day}", buckets=8)
+    return store.read().select("o_orderkey", "o_units", "o_price", "is_deleted")
+
+
 @query("merge_widened_key_orders", f"""
 select cast(c_custkey as int) as c_custkey, c_name, case when c_nationkey = 7 then 0.0 else c_acctbal end as c_acctbal, 0 as is_deleted
 from {{customer}}""")
@@ -670,6 +840,54 @@ def _(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+_LISTED = (
+    "ID,DATABASE_NAME,SCHEMA_NAME,SRC_TBL_NAME,PRIMARY_KEY_COL,INCR_LOGIC_COL_NAME,TRG_TBL_NAME,TRUST_TIMESTAMPS,STABLE_SOURCE,BUCKETS,MERGE_POLICY",
+    "1,shop,main,orders,o_orderkey,none,orders_clean,,yes,8,insert_ts_only",
+    "2,shop,main,events,event_id,ts,,Y,,4,",
+)
+
+
+@query("sync_from_list_orders_events", f"""
+select 'orders' as source_table, count(*) as rows, sum(is_deleted) as deleted, count(delete_ts) as delete_times
+  from ({merge_sql(POLICIES["insert_ts_only"], _CDC_TARGET, f"select {', '.join(ORD_COLUMNS)}, soft_delete from ({delta_sql('orders')}) d", RUN_TS)}) t
+union all select 'events', count(*), count(case when event_type = 'error' and ts <= cast('2024-01-10 00:00:00' as #ts) then 1 end),
+  count(case when event_type = 'error' and ts <= cast('2024-01-10 00:00:00' as #ts) then 1 end) from {{events}}""")
+def _(spark, sf):
+    # the list is a file with options: one table from files that stay, under a policy of its own, one with times to be trusted
+    base = scratch(spark)
+    spark.createDataFrame([(line,) for line in _LISTED], "line string").coalesce(1).write.text(f"{base}/list")
+    specs = read_specs(spark, f"{base}/list")
+    for number, run_ts in enumerate((FIRST_TS, RUN_TS)):
+        read = lambda spec, at=number: state(spark, sf, _SYNC_STATES[spec.table][at])
+        for result in sync_tables(spark, specs, read, base, datetime.fromisoformat(run_ts)):
+            if result.error:
+                raise RuntimeError(result.error)
+    parts = []
+    for spec in specs:
+        target = GenerationStore(spark, TablePaths(base, "shop", "main", spec.table, spec.target).target).read()
+        counts = target.agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.coalesce("is_deleted", F.lit(0))).alias("deleted"), F.count("delete_ts").alias("delete_times")
+        )
+        parts.append(counts.select(F.lit(spec.table).alias("source_table"), "rows", "deleted", "delete_times"))
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "watermark_store_runs",
+    f"""select o_orderpriority as "TableName", max(o_orderdate) as watermark from {{orders}}
+        where o_orderstatus <> 'P' group by o_orderpriority""".replace('"', ""),
+)
+def _(spark, sf):
+    # put for each table in turn, twice for some, and read back one by one
+    store = WatermarkStore(spark, scratch(spark))
+    orders = table(spark, sf, "orders").where("o_orderstatus <> 'P'")
+    ends = orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.max("o_orderdate").alias("at")).collect()
+    for r in sorted(ends, key=lambda r: (r["at"], r["o_orderpriority"], r["o_orderstatus"])):
+        store.put(r["o_orderpriority"], r["at"], "SUCCESS")
+    rows = [(t, store.get(t)) for t in sorted({r["o_orderpriority"] for r in ends})]
+    return spark.createDataFrame(rows, "TableName string, watermark timestamp_ntz")
+
+
 @query("merge_touched_buckets_customers", f"""
 select c_custkey, c_name, case when c_nationkey = 7 then 0.0 else c_acctbal end as c_acctbal, c_mktsegment, 0 as is_deleted,
   cast('{FIRST_TS}' as #ts) as insert_ts,

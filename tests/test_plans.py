@@ -104,7 +104,8 @@ def test_other_bucket_count_finds_the_same_changes(spark, paths):
 
 
 def test_bucket_count_stays_with_the_snapshot(spark, paths, monkeypatch):
-    monkeypatch.setattr(snapshot_cdc, "bucket_count", lambda rows, most: max(1, rows // 10))
+    counts = iter((4, 9))
+    monkeypatch.setattr(snapshot_cdc, "bucket_count_of", lambda stored: next(counts))
     run_snapshot_cdc(spark, frame(spark, {k: "a" for k in range(40)}), ["k"], paths, DAY[0])
     result = run_snapshot_cdc(spark, frame(spark, {k: "a" for k in range(90)}), ["k"], paths, DAY[1])
     assert result.inserted == 50 and result.updated == result.deleted == 0

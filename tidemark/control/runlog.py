@@ -8,7 +8,9 @@ is looked up from its last successful run.
 from __future__ import annotations
 
 import threading
+from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from tidemark.functions.scalars import (
     timestamp_literal,
 )
 from tidemark.operators.merge import latest_per_key
+from tidemark.sources.storage import children, create_new, delete
 from tidemark.sources.tables import read_if_exists
 
 # The columns of the run log and the status words.
@@ -259,7 +262,12 @@ def lookback_watermarks(control: DataFrame, minutes: int = LOOKBACK_MINUTES) ->
 
 
 class RunLog:
-    """The run log at a path, one sub-directory per pipeline run."""
+    """The run log at a path.
+
+    ``started/run=R`` holds the start events of a pipeline run, ``ended/pipeline=P/day=D`` the end events of a pipeline by
+    the day they ended on, so looking up a run or a pipeline's last watermarks reads the files concerned and not
+    the whole log. ``ids/upto=N`` tells the highest id given out.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -267,8 +275,7 @@ class RunLog:
 
     def read(self) -> DataFrame | None:
         """All events, or None before the first."""
-        exists = read_if_exists(self.spark, self.path, recursiveFileLookup=True, pathGlobFilter="*.parquet")
-        if exists is None:
+        if not set(children(self.spark, self.path)) - {"ids"}:
             return None
         return (
             self.spark.read.schema(RUN_LOG_SCHEMA)
@@ -279,7 +286,7 @@ class RunLog:
 
     def ensure(self) -> None:
         """Create the empty log if there is none."""
-        if read_if_exists(self.spark, self.path, recursiveFileLookup=True) is None:
+        if self.read() is None:
             self._append(self.spark.createDataFrame([], RUN_LOG_SCHEMA), "empty")
 
     def state(self) -> DataFrame:
@@ -287,14 +294,48 @@ class RunLog:
         self.ensure()
         return with_rollup(run_state(self.read()))
 
-    def next_id(self) -> int:
-        log = self.read()
-        return 1 if log is None else next_run_id(log).first()["next_id"]
+    def next_id(self, many: int = 1) -> int:
+        """The first of ``many`` ids that no other run has. One listing; a log without a mark is read once."""
+        place = f"{self.path}/ids"
+        marks = [int(n.split("=", 1)[1]) for n in children(self.spark, place) if n.startswith("upto=")]
+        if marks:
+            last = max(marks)
+        else:
+            log = self.read()
+            last = 0 if log is None else next_run_id(log).first()["next_id"] - 1
+        while not create_new(self.spark, f"{place}/upto={last + many}"):
+            last += many  # another writer has taken these
+        for n in marks:
+            if n < last:  # the newest but one stays, for writers that have listed it
+                delete(self.spark, f"{place}/upto={n}")
+        return last + 1
+
+    def watermarks(self, pipeline_id: str, tables: Sequence[tuple[str, str, str, str]]) -> dict[tuple[str, str, str, str], datetime]:
+        """The watermark of the last successful timestamp run of each of a pipeline's ``tables`` (type, database, schema,
+        name); those without one are missing.
+
+        Days are read from the newest backwards, twice as many each time, until all tables are found.
+        """
+        place = f"{self.path}/ended/pipeline={_name(pipeline_id)}"
+        days = [n for n in reversed(children(self.spark, place)) if n.startswith("day=")]
+        wanted, found = set(tables), {}
+        start, many = 0, 1
+        while wanted and start < len(days):
+            paths = [f"{place}/{d}" for d in days[start : start + many]]
+            runs = self.spark.read.schema(RUN_LOG_SCHEMA).parquet(*paths).where(_usable())
+            rows = runs.groupBy(*TABLE_COLUMNS[1:]).agg(F.max_by("LastRunTimestamp", F.struct("EndTime", "RunId")).alias("at")).collect()
+            for r in rows:
+                name = tuple(r)[:4]
+                if name in wanted:
+                    found[name] = r["at"]
+                    wanted.remove(name)
+            start, many = start + many, 2 * many
+        return found
 
     def start(self, started: datetime | str, **columns: object) -> None:
         """Log the start of one table run."""
         events = log_start(self._row(columns), timestamp_literal(started))
-        self._append(events, str(columns["PipelineRunId"]))
+        self._append(events, f"started/run={_name(columns['PipelineRunId'])}")
 
     def end(self, run_id: int, ended: datetime | str, status: str, **columns: object) -> None:
         """Log the end of a table run started before.
@@ -311,10 +352,10 @@ class RunLog:
         row = events.first()
         if row is None:
             raise ValueError(f"run {run_id} was never started")
-        self._append(events, row["PipelineRunId"])
+        self._append(events, f"ended/pipeline={_name(row['PipelineId'])}/day={row['EndTime']:%Y-%m-%d}")
 
     def _events(self, pipeline_run: str) -> DataFrame:
-        path = f"{self.path}/run={pipeline_run}"
+        path = f"{self.path}/started/run={_name(pipeline_run)}"
         found = read_if_exists(self.spark, path)
         return self.spark.createDataFrame([], RUN_LOG_SCHEMA) if found is None else self.spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
 
@@ -325,7 +366,12 @@ class RunLog:
             raise ValueError(f"not run log columns: {sorted(unknown)}")
         return self.spark.createDataFrame([tuple(columns[f.name] for f in fields)], T.StructType(fields))
 
-    def _append(self, events: DataFrame, run: str) -> None:
+    def _append(self, events: DataFrame, place: str) -> None:
         # Two appends into one directory at a time would disturb each other's commit.
         with _append_lock:
-            events.coalesce(1).write.mode("append").parquet(f"{self.path}/run={run}")
+            events.coalesce(1).write.mode("append").parquet(f"{self.path}/{place}")
+
+
+def _name(text: object) -> str:
+    """A value as a part of a path."""
+    return quote(str(text), safe="")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scalars import FIRST_WATERMARK, timestamp_literal
 from tidemark.operators.merge import upsert
-from tidemark.sinks.generations import GenerationStore
+from tidemark.sinks.generations import CommitConflict, GenerationStore
 
 # The columns of the watermark table.
 WATERMARK_SCHEMA = T.StructType(
@@ -43,7 +43,10 @@ KEPT = 3
 
 
 class WatermarkStore:
-    """The watermark table at a path, replaced as a whole on every update (one row per table)."""
+    """The watermark table at a path, replaced as a whole on every update (one row per table).
+
+    Of two updates at once the later one begins again from the first, so neither is lost.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -68,8 +71,16 @@ class WatermarkStore:
         update = self.spark.createDataFrame(
             [(table, watermark, status, last_run_lsn, full_load_done)], WATERMARK_SCHEMA
         )
-        rows = upsert_watermarks(self.read(), update)
-        generation = self.store.next_generation()
-        self.store.write_live(rows, generation, ["TableName"], 1)
-        self.store.commit(generation, WATERMARK_SCHEMA, 1, [{"bucket": 0, "rows": None, "fingerprint": None}])
-        self.store.expire(KEPT)
+        while True:
+            base = self.store.current()
+            rows = self.store.read(base)
+            rows = self.spark.createDataFrame([], WATERMARK_SCHEMA) if rows is None else rows
+            generation = self.store.next_generation(base or 0)
+            self.store.write_live(upsert_watermarks(rows, update), generation, ["TableName"], 1)
+            try:
+                self.store.commit(generation, WATERMARK_SCHEMA, 1, [{"bucket": 0, "rows": None, "fingerprint": None}])
+            except CommitConflict:  # another update came first: begin again from it, so that both are kept
+                self.store.discard(generation)
+                continue
+            self.store.expire(KEPT)
+            return

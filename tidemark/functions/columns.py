@@ -30,7 +30,7 @@ FRAMEWORK_COLUMNS = (
     "__soft_delete",
 )
 #: Names that the runs add to what they store; a source's columns of these names are renamed.
-RESERVED = frozenset({*FRAMEWORK_COLUMNS, BUCKET, CHANGE_KIND, "generation"})
+RESERVED = frozenset({*FRAMEWORK_COLUMNS, BUCKET, CHANGE_KIND, "generation", "__applied_ts", "__data_ts"})
 CONTROL_COLUMNS = ("EDW_INSERTED_TIMESTAMP", "EDW_UPDATED_TIMESTAMP")
 
 

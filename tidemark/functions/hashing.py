@@ -14,6 +14,8 @@ from tidemark.functions.columns import BUCKET, HASH, content_columns, key_column
 SEPARATOR = "||"
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 64
+#: Stored bytes of a bucket where a run chooses their number: few directories, each of many row groups.
+BYTES_PER_BUCKET = 2 << 30
 
 
 def _as_text(name: str, dtype: T.DataType) -> Column:
@@ -46,6 +48,16 @@ def _canonical(df: DataFrame, key: str) -> Column:
     return column
 
 
+def same_bucket(old: T.DataType, new: T.DataType) -> bool:
+    """Whether a key column keeps its hash bucket when its type is widened."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if old == new or isinstance(old, whole) and isinstance(new, whole):
+        return True
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return old.scale == new.scale
+    return isinstance(old, T.FloatType) and isinstance(new, T.DoubleType)
+
+
 def encoded(df: DataFrame, columns: Sequence[str]) -> Column:
     """One string that is equal for two rows only if all ``columns`` are equal.
 
@@ -115,8 +127,8 @@ def bucket_count(
     """Number of buckets for a table of ``rows``; a column in gives a column out.
 
     ``most`` bounds directories, not rows: a bucket may hold any number of
-    rows and is written as many files. The runs set no bound (None), so that
-    a bucket keeps its size however the table grows.
+    rows and is written as many files. Runs that are given no number go by stored
+    bytes instead (see ``bucket_count_of``).
     """
     if isinstance(rows, Column):
         wanted = F.ceil(rows / F.lit(rows_per_bucket)).cast("int")
@@ -125,6 +137,11 @@ def bucket_count(
     return max(1, wanted if most is None else min(most, wanted))
 
 
+def bucket_count_of(stored: int, bytes_per_bucket: int = BYTES_PER_BUCKET) -> int:
+    """Number of buckets for a table of so many stored bytes, so that wide rows and narrow ones give buckets alike."""
+    return max(1, -(-stored // bytes_per_bucket))
+
+
 def bucket_fingerprint(
     df: DataFrame,
     keys: Sequence[str],
@@ -163,13 +180,13 @@ def changed_buckets(prev: DataFrame, curr: DataFrame) -> DataFrame:
     return p.join(c, BUCKET, "full_outer").where(~same).select(BUCKET)
 
 
-def differing_buckets(index: Sequence[Row], stats: Sequence[Row], buckets: int) -> set[int]:
+def differing_buckets(index: Sequence[Row], stats: Sequence[Row], buckets: int, anew: bool = False) -> set[int]:
     """Buckets that differ between a stored index and new statistics, one row per bucket each.
 
-    With another bucket count nothing lines up, so all count as differing.
+    With another bucket count, or other hashes (``anew``), nothing lines up, so all count as differing.
     """
     now = {r["bucket"]: (r["rows"], r["fingerprint"]) for r in stats}
     before = {r["bucket"]: (r["rows"], r["fingerprint"]) for r in index if r["bucket"] is not None}
-    if index[0]["buckets"] != buckets:
+    if anew or index[0]["buckets"] != buckets:
         return set(now) | set(before)
     return {b for b in set(now) | set(before) if now.get(b) != before.get(b)}

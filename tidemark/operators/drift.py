@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,15 @@ TYPE_MAPPING = (
 TYPE_MAPPING_COLUMNS = ("SNOWFLAKE", "DATABRICKS", "SQLSERVER", "TERADATA", "SPARK")
 
 
+#: Decimal digits that hold every value of an integral type.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_INTEGRAL = tuple(_DIGITS)
+
+
+class TypeChangeError(ValueError):
+    """Two states of a column have types without a common type that holds both without loss."""
+
+
 class UnmappedTypeError(ValueError):
     """A source type has no counterpart in the mapping."""
 
@@ -59,6 +68,142 @@ def schema_drift(source: DataFrame, target: DataFrame, ignore: Iterable[str] = F
     )
 
 
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The narrowest type that holds every value of both without loss, or None.
+
+    Integers widen among themselves, into decimals with room for them and, up to 32 bits, into doubles; decimals
+    into one with the digits of both sides of the point; float into double; dates into zone-free times. Whatever
+    has one text in every session (numbers, booleans, dates, zone-free times) widens into string. Arrays, maps of
+    one key type and structs (by field name, in any case) widen part by part. A zoned time, binary data and a mix of
+    long or decimal with floating point have nothing but themselves.
+    """
+    if a == b:
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(b, T.NullType):
+        return a
+    kinds = (a, b)
+    if all(isinstance(x, _INTEGRAL) for x in kinds):
+        return max(kinds, key=lambda x: _DIGITS[type(x)])
+    if all(isinstance(x, (*_INTEGRAL, T.DecimalType)) for x in kinds):
+        whole = max(_DIGITS[type(x)] if isinstance(x, _INTEGRAL) else x.precision - x.scale for x in kinds)
+        scale = max(0 if isinstance(x, _INTEGRAL) else x.scale for x in kinds)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    if all(isinstance(x, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)) for x in kinds):
+        exact = all(isinstance(x, (T.ByteType, T.ShortType, T.FloatType)) for x in kinds)
+        return T.FloatType() if exact else T.DoubleType()
+    if {type(x) for x in kinds} == {T.DateType, T.TimestampNTZType}:
+        return T.TimestampNTZType()
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        element = wider_type(a.elementType, b.elementType)
+        return None if element is None else T.ArrayType(element, a.containsNull or b.containsNull)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        value = wider_type(a.valueType, b.valueType) if a.keyType == b.keyType else None
+        return None if value is None else T.MapType(a.keyType, value, a.valueContainsNull or b.valueContainsNull)
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = _wider_fields(a, b, lambda name, x, y: None)
+        return None if fields is None else T.StructType(fields)
+    plain = (*_INTEGRAL, T.DecimalType, T.FloatType, T.DoubleType, T.BooleanType, T.DateType, T.TimestampNTZType, T.StringType)
+    if any(isinstance(x, T.StringType) for x in kinds) and all(isinstance(x, plain) for x in kinds):
+        return T.StringType()
+    return None
+
+
+def _wider_fields(a: T.StructType, b: T.StructType, fail) -> list[T.StructField] | None:
+    """Fields of ``a``, each as wide as its namesake in ``b`` needs, and then those of ``b`` alone."""
+    other, fields = {f.name.lower(): f for f in b.fields}, []
+    for f in a.fields:
+        mate = other.pop(f.name.lower(), None)
+        kind = f.dataType if mate is None else wider_type(f.dataType, mate.dataType)
+        if kind is None:
+            fail(f.name, f.dataType, mate.dataType)
+            return None
+        fields.append(T.StructField(f.name, kind, True))
+    return [*fields, *other.values()]
+
+
+def common_schema(first: T.StructType, second: T.StructType) -> T.StructType:
+    """Columns of ``first`` and then those of ``second`` alone, each in a type that holds both without loss.
+
+    A column that has none is an error that names it, so that nothing is written of values that could be cut.
+    """
+
+    def fail(name: str, a: T.DataType, b: T.DataType) -> None:
+        raise TypeChangeError(f"column {name!r}: no type holds both {a.simpleString()} and {b.simpleString()} without loss")
+
+    return T.StructType(_wider_fields(first, second, fail))
+
+
+def cast_up(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with its columns in the types that ``schema`` has for their names; the others stay as they are."""
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    wanted = {f.name: types[f.name.lower()] for f in df.schema.fields if types.get(f.name.lower(), f.dataType) != f.dataType}
+    return df.withColumns({c: _cast(quoted(c), df.schema[c].dataType, t) for c, t in wanted.items()}) if wanted else df
+
+
+def _cast(column: Column, old: T.DataType, new: T.DataType) -> Column:
+    """A cast that takes the fields of structs by name."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        have = {f.name.lower(): f for f in old.fields}
+        parts = [
+            (_cast(column[have[f.name.lower()].name], have[f.name.lower()].dataType, f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in new.fields
+        ]
+        return F.when(column.isNotNull(), F.struct(*parts))
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return F.transform(column, lambda x: _cast(x, old.elementType, new.elementType))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return F.transform_values(column, lambda _, x: _cast(x, old.valueType, new.valueType))
+    return column.cast(new)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the columns and wider types of ``schema``: those it lacks are NULL, others are left out."""
+    have = {f.name.lower(): f for f in df.schema.fields}
+    return df.select(
+        *[
+            (_cast(quoted(have[f.name.lower()].name), have[f.name.lower()].dataType, f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+@dataclass(frozen=True)
+class Widening:
+    """What a source's schema does to a stored one: ``schema`` holds both, ``rehashed`` tells whether values that did
+    not change get another row hash, ``rebucketed`` whether keys get another bucket."""
+
+    schema: T.StructType
+    rehashed: bool = False
+    rebucketed: bool = False
+
+
+def widening(stored: T.StructType, source: T.StructType, keys: Iterable[str], buckets_kept) -> Widening:
+    """How ``stored`` widens to take ``source``; an error if it cannot without loss.
+
+    ``buckets_kept`` tells of an old and a new type whether a key keeps its bucket.
+    """
+    both = common_schema(stored, source)
+    new = {f.name.lower(): f.dataType for f in both.fields}
+    key = {k.lower() for k in keys}
+    changed = [(f.name.lower(), f.dataType, new[f.name.lower()]) for f in stored.fields if new[f.name.lower()] != f.dataType]
+    return Widening(
+        T.StructType([T.StructField(f.name, new[f.name.lower()], True) for f in source.fields]),
+        any(not same_text(old, now) for _, old, now in changed),
+        any(n in key and not buckets_kept(old, now) for n, old, now in changed),
+    )
+
+
+def same_text(old: T.DataType, new: T.DataType) -> bool:
+    """Whether a value keeps its text, and so its hash, when its type is widened from ``old`` to ``new``."""
+    if old == new or isinstance(old, T.NullType):
+        return True
+    if isinstance(new, T.StringType):
+        return not isinstance(old, (T.FloatType, T.DoubleType))  # -0.0 is hashed as 0.0 but told as it is
+    return isinstance(old, _INTEGRAL) and isinstance(new, (*_INTEGRAL, T.DecimalType)) and getattr(new, "scale", 0) == 0
+
+
 def add_columns(target: DataFrame, columns: Mapping[str, T.DataType | str]) -> DataFrame:
     """Add missing columns as typed NULLs; existing ones (any case) stay."""
     have = {c.lower() for c in target.columns}
@@ -74,8 +219,9 @@ def drop_column(target: DataFrame, name: str) -> DataFrame:
 
 
 def union_drift(first: DataFrame, second: DataFrame) -> DataFrame:
-    """UNION ALL by name, columns missing on either side become NULL."""
-    return first.unionByName(second, allowMissingColumns=True)
+    """UNION ALL by name: columns missing on either side become NULL, differing types become their wider one."""
+    types = common_schema(first.schema, second.schema)
+    return cast_up(first, types).unionByName(cast_up(second, types), allowMissingColumns=True)
 
 
 def append_like(first: DataFrame, second: DataFrame) -> DataFrame:

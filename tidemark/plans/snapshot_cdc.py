@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import BUCKET, CHANGE_KIND, HASH, clear_of_framework
-from tidemark.functions.hashing import bucket_count, bucket_fingerprint, differing_buckets, hash_bucket, row_hash
+from tidemark.functions.columns import BUCKET, CHANGE_KIND, HASH, clear_of_framework, content_columns
+from tidemark.functions.hashing import bucket_count_of, bucket_fingerprint, differing_buckets, hash_bucket, row_hash, same_bucket
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.delta import replaced_rows
 from tidemark.operators.diff import (
@@ -22,12 +22,12 @@ from tidemark.operators.diff import (
     raise_if_any,
     rows_of_kind,
 )
-from tidemark.operators.drift import append_like
+from tidemark.operators.drift import append_like, cast_up, widening
 from tidemark.operators.merge import RESURRECT, MergePolicy
-from tidemark.plans.load import merge_into
+from tidemark.plans.load import assert_target_takes, merge_into
 from tidemark.plans.result import RunResult
-from tidemark.sinks.datasets import fits_broadcast, write_and_read, write_delta
-from tidemark.sinks.generations import GenerationStore
+from tidemark.sinks.datasets import fits_broadcast, stored_bytes, write_and_read, write_delta
+from tidemark.sinks.generations import GenerationStore, without_hash
 from tidemark.sources.paths import TablePaths
 
 
@@ -58,6 +58,10 @@ def run_snapshot_cdc(
     A source column named like one of the framework's own is kept under a
     name with ``source_`` before it. ``policy`` None leaves the target alone. Without ``check_keys`` duplicate
     keys are let through, and the target gets the greatest row of each.
+    A column whose type has changed is kept in a type that holds old and new values without loss (see
+    ``wider_type``); if there is none, the run is refused before anything is written. Buckets that did not change stay as
+    they were written. Only if the same value has another text in the new type (an integer that becomes a double), or
+    a key another bucket, is the snapshot compared and written as a whole, once.
     ``stable_source`` says that reading the source again gives the same rows
     (files that do not change, not a live database): fingerprints are then
     taken from the source, and only the buckets that differ are shuffled and
@@ -66,19 +70,32 @@ def run_snapshot_cdc(
     source, renamed = clear_of_framework(source)
     keys = [renamed.get(k.lower(), k) for k in keys]
     store = GenerationStore(spark, paths.snapshot)
-    index = store.index()
-    if buckets is None:
-        buckets = index[0].buckets if index else bucket_count(source.count(), most=None)
-    generation = store.next_generation()
+    base = store.current()
+    index = store.index(base)
+    anew = False
+    if index:
+        # refused here, before anything is written, if values could be cut
+        wider = widening(without_hash(store.schema(base)), source.schema, keys, same_bucket)
+        source = cast_up(source, wider.schema)
+        anew = wider.rehashed or wider.rebucketed
+    if policy is not None:
+        assert_target_takes(GenerationStore(spark, paths.target), source)
+    generation = store.next_generation(base or 0)
+    hashed = row_hash(source, keys)
+    if buckets is None and index:
+        buckets = index[0].buckets
+    elif buckets is None:  # a first run is sized by what it has landed
+        hashed = write_and_read(hashed, store.work(generation, "landed"))
+        buckets = bucket_count_of(stored_bytes(spark, store.work(generation, "landed")))
 
-    staged = hash_bucket(row_hash(source, keys), keys, buckets)
+    staged = hash_bucket(hashed, keys, buckets)
     schema = staged.drop(BUCKET).schema
     # Statistics are one row per bucket.
     if index:
         if not stable_source:
             staged = write_and_read(staged, store.work(generation, "landed"))
         stats = bucket_fingerprint(staged, keys).collect()
-        differing = sorted(differing_buckets(index, stats, buckets))
+        differing = sorted(differing_buckets(index, stats, buckets, anew))
         if differing:
             store.write_live(staged.where(F.col(BUCKET).isin(differing)), generation, keys, buckets)
     else:
@@ -95,15 +112,18 @@ def run_snapshot_cdc(
         result.inserted = result.extracted
         delta = flag(current, deleted=False)
     else:
-        changed = differing_buckets(index, stats, buckets)
+        changed = differing_buckets(index, stats, buckets, anew)
         result.changed_buckets = len(changed)
         if not changed:
             store.discard(generation)
             return result
         now = [r["bucket"] for r in stats if r["bucket"] in changed]
         curr = store.read_staged(generation, schema, now)
-        regrouped = index[0].buckets != buckets
-        prev = store.read(buckets=None if regrouped else changed)
+        regrouped = anew or index[0].buckets != buckets
+        prev = cast_up(store.read(base, None if regrouped else changed), schema)
+        if anew:
+            # rows are compared by the hash that they have in the new types, so that only real changes are delivered
+            prev = row_hash(prev.drop(HASH), keys, columns=content_columns(curr, keys))
         compared = classified_keys(prev, curr, keys, unique_keys=check_keys)
         notable = (F.col(CHANGE_KIND) != SAME) | (F.col("curr_rows") > 1)
         changes = write_and_read(compared.where(notable), store.work(generation, "changes"))

@@ -8,8 +8,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.control.runlog import FAILED, SUCCESS, RunLog, last_watermark
+from tidemark.control.runlog import FAILED, SUCCESS, RunLog
 from tidemark.functions.columns import project
+from tidemark.functions.scalars import FIRST_WATERMARK
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.result import RunResult
 from tidemark.plans.snapshot_cdc import run_snapshot_cdc
@@ -41,8 +42,10 @@ def sync_tables(
     log = RunLog(spark, f"{base.rstrip('/')}/control/runs")
     clock = clock or (lambda: run_ts)
     pipeline_run = f"{pipeline_id}_{run_ts:%Y%m%d%H%M%S}" + (f"{run_ts:%f}" if run_ts.microsecond else "")
-    first_id = log.next_id()
-    history = log.read()
+    specs = list(specs)
+    first_id = log.next_id(max(1, len(specs)))
+    timed = [(s.source_type, s.database, s.schema, s.table) for s in specs if s.ts_cols]
+    watermarks = log.watermarks(pipeline_id, timed) if timed else {}
 
     def run(position: int, spec: TableSpec) -> RunResult:
         if not spec.keys:
@@ -69,9 +72,7 @@ def sync_tables(
             )
             started = True
             if load_type == TIMESTAMP:
-                since = last_watermark(
-                    history, pipeline_id, spec.source_type, spec.database, spec.schema, spec.table
-                )
+                since = watermarks.get((spec.source_type, spec.database, spec.schema, spec.table), FIRST_WATERMARK)
                 result = run_timestamp_cdc(
                     spark,
                     source,

@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import BUCKET, SOFT_DELETE, clear_of_framework, join_on_keys, key_columns
-from tidemark.functions.hashing import bucket_count, bucket_fingerprint, differing_buckets, hash_bucket
+from tidemark.functions.hashing import bucket_count_of, bucket_fingerprint, differing_buckets, hash_bucket, same_bucket
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.diff import deleted_keys
-from tidemark.operators.drift import add_columns, append_like, schema_drift
+from tidemark.operators.drift import add_columns, append_like, cast_up, schema_drift, widening
 from tidemark.operators.incremental import changed_since, extract_summary
 from tidemark.operators.merge import RESURRECT, MergePolicy
-from tidemark.plans.load import bucket_rows, merge_into
+from tidemark.plans.load import assert_target_takes, bucket_rows, merge_into
 from tidemark.plans.result import RunResult
-from tidemark.sinks.datasets import BROADCAST_BYTES, fits_broadcast, write_and_read, write_delta
+from tidemark.sinks.datasets import BROADCAST_BYTES, fits_broadcast, stored_bytes, write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore
 from tidemark.sources.paths import TablePaths
 
@@ -47,6 +47,9 @@ def run_timestamp_cdc(
     the snapshot is brought up to date from them in the buckets concerned,
     instead of being written anew.
 
+    A column whose type has changed is widened as in ``run_snapshot_cdc``, or
+    the run is refused before anything is written.
+
     A source column named like one of the framework's own (its timestamps
     among them) is kept under a name with ``source_`` before it, so the next
     watermark never comes from the times that this run stamps.
@@ -55,27 +58,38 @@ def run_timestamp_cdc(
     keys = [renamed.get(k.lower(), k) for k in keys]
     ts_cols = [renamed.get(c.lower(), c) for c in ts_cols]
     store = GenerationStore(spark, paths.snapshot)
-    index = store.index()
-    if buckets is None:
-        buckets = index[0].buckets if index else bucket_count(source.count(), most=None)
-    generation = store.next_generation()
+    base = store.current()
+    index = store.index(base)
+    anew = False
+    if index:
+        # refused here, before anything is written, if values could be cut
+        wider = widening(store.schema(base), source.schema, keys, same_bucket)
+        source, anew = cast_up(source, wider.schema), wider.rebucketed
+    if policy is not None:
+        assert_target_takes(GenerationStore(spark, paths.target), source)
+    if buckets is None and index:
+        buckets = index[0].buckets
+    generation = store.next_generation(base or 0)
     over = changed_since(source, ts_cols, watermark, nulls)
 
-    if index and trust_timestamps:
+    if index and trust_timestamps and not anew:
         buckets = index[0].buckets
-        delta, commit = _from_increment(store, generation, source, over, keys, buckets)
+        delta, commit = _from_increment(store, base, generation, source, over, keys, buckets)
     else:
-        staged = hash_bucket(source, keys, buckets)
-        schema = staged.drop(BUCKET).schema
+        schema = source.schema
         # Landed as it comes; only the buckets that differ are shuffled. Statistics are one row per bucket.
-        current = write_and_read(staged, store.work(generation, "landed"))
+        landed = write_and_read(source, store.work(generation, "landed"))
+        if buckets is None:  # a first run is sized by what it has landed
+            buckets = bucket_count_of(stored_bytes(spark, store.work(generation, "landed")))
+        current = hash_bucket(landed, keys, buckets)
         stats = bucket_fingerprint(current, keys).collect()
-        changed = differing_buckets(index, stats, buckets) if index else {r["bucket"] for r in stats}
-        regrouped = bool(index) and index[0].buckets != buckets
+        changed = differing_buckets(index, stats, buckets, anew) if index else {r["bucket"] for r in stats}
+        regrouped = anew or bool(index) and index[0].buckets != buckets
         delta = flag(changed_since(current, ts_cols, watermark, nulls), deleted=False)
         here = current.where(F.col(BUCKET).isin(sorted(changed)))
-        prev = store.read(buckets=None if regrouped else changed)
+        prev = store.read(base, None if regrouped else changed) if index else None
         if prev is not None and changed:
+            prev = cast_up(prev, schema)
             gone_keys = write_and_read(deleted_keys(prev, here.drop(BUCKET), keys), store.work(generation, "gone"))
             gone = store.write_history(join_on_keys(prev, gone_keys, keys, "left_semi"), generation)
             delta = append_like(delta, flag(hash_bucket(gone, keys, buckets), deleted=True))
@@ -114,6 +128,7 @@ def run_timestamp_cdc(
 
 def _from_increment(
     store: GenerationStore,
+    base: int,
     generation: int,
     source: DataFrame,
     over: DataFrame,
@@ -125,17 +140,16 @@ def _from_increment(
     The increment is landed before the keys are read: a row deleted in
     between is delivered as live and as deleted, of which deleted wins.
     """
-    spark = store.spark
     increment_path, gone_path = store.work(generation, "increment"), store.work(generation, "gone")
     increment = write_and_read(hash_bucket(over, keys, buckets), increment_path)
     here = source.select(*key_columns(keys))
     gone_keys = write_and_read(
-        hash_bucket(deleted_keys(store.read(), here, keys), keys, buckets), gone_path
+        hash_bucket(deleted_keys(cast_up(store.read(base), source.schema), here, keys), keys, buckets), gone_path
     )
     # At most one row per bucket comes back.
     moved = increment.select(BUCKET).union(gone_keys.select(BUCKET)).distinct()
     touched = {r[BUCKET] for r in moved.collect()}
-    before = store.read(buckets=touched, keep_bucket=True)
+    before = cast_up(store.read(base, touched, keep_bucket=True), source.schema)
     narrow = increment.select(*key_columns(keys)).unionByName(gone_keys.select(*key_columns(keys)))
     small = fits_broadcast(narrow, [increment_path, gone_path], BROADCAST_BYTES)
     gone = store.write_history(
@@ -157,7 +171,7 @@ def _from_increment(
             store.write_live(merged, generation, keys, buckets, gather=True)
         schema = widened.drop(BUCKET).schema
         written = bucket_rows(store.read_staged(generation, schema)).collect()
-        others = [r for r in store.index() if r.bucket not in touched]
+        others = [r for r in store.index(base) if r.bucket not in touched]
         store.commit(generation, schema, buckets, written, others)
 
     return delta, commit

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,12 +71,18 @@ def write_and_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append_raw(df: DataFrame, path: str, run: str | None = None) -> None:
-    """Append rows to a landing table; ``run`` gives them a directory of their own."""
+def append_raw(df: DataFrame, path: str, run: str | None = None) -> int:
+    """Append rows to a landing table; ``run`` gives them a directory of their own.
+
+    Returns the rows written, which the write itself counts.
+    """
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if run is None:
-        df.write.mode("append").parquet(path)
+        counted.write.mode("append").parquet(path)
     else:
-        df.write.mode("overwrite").parquet(f"{path}/run={run}")
+        counted.write.mode("overwrite").parquet(f"{path}/run={run}")
+    return written.get["rows"]
 
 
 def read_raw(spark: SparkSession, path: str, runs: Sequence[str] | None = None) -> DataFrame:

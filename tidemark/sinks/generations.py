@@ -6,14 +6,22 @@ Layout under the base path::
     history/generation=N/*.parquet           rows replaced or deleted in N
     index/generation=N/*.parquet             which live directories make up N
     work/generation=N/...                    intermediate tables until N is committed
-    commits/generation=N                     empty file: N has been committed
+    claims/generation=N                      the number N is taken by a writer
+    commits/after=P                          names the one generation that follows P
+    commits/generation=N                     N has been committed; holds the schema of its history
 
 A generation is committed once its marker in ``commits`` is there; it is the
 last thing written, after the index, and stays when the generation expires.
 Readers of an older generation are never disturbed, nothing is
 overwritten in place, and a run that fails midway leaves no trace in what is
 read. A bucket left alone by a run costs nothing: the new index points at the
-old directory. One writer per table is assumed.
+old directory, and tells the types its files were written with, so that they are
+read as such and widened to those of the generation.
+
+Writers may meet: each takes a number of its own, and of two that began from the
+same generation the first to name its successor wins, while the other gets a
+:class:`CommitConflict` and can begin again. This is as safe as the file
+system's refusal to create a file twice.
 """
 
 from __future__ import annotations
@@ -26,10 +34,11 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import BUCKET, SOFT_DELETE
+from tidemark.functions.columns import BUCKET, HASH, SOFT_DELETE
 from tidemark.functions.hashing import hash_bucket
-from tidemark.operators.drift import union_drift
+from tidemark.operators.drift import conform, union_drift, wider_type
 from tidemark.sinks.datasets import stored_bytes, write_partitioned
+from tidemark.sources.storage import children, create_new, delete
 
 GENERATION = "generation"
 INDEX_SCHEMA = T.StructType(
@@ -41,16 +50,23 @@ INDEX_SCHEMA = T.StructType(
         T.StructField("fingerprint", T.DecimalType(38, 0)),
         T.StructField("batches", T.StringType()),
         T.StructField("live_schema", T.StringType()),
+        T.StructField("file_schema", T.StringType()),
     ]
 )
 
 
+class CommitConflict(RuntimeError):
+    """Another writer has committed a generation since this one began."""
+
+
 class GenerationStore:
     """Reads and writes the generations of one table."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        self._parents: dict[int, int] = {}
+        self._histories: dict[int, str] = {}
 
     # -- generations -----------------------------------------------------
 
@@ -62,10 +78,14 @@ class GenerationStore:
         committed = self.generations()
         return committed[-1] if committed else None
 
-    def next_generation(self) -> int:
-        """A number no earlier attempt has used."""
-        used = [n for kind in ("live", "history", "index", "work", "commits") for n in self._numbers(kind)]
-        return max(used, default=0) + 1
+    def next_generation(self, parent: int | None = None) -> int:
+        """A number that no other attempt has, for a generation that follows ``parent`` (0: none; default: the current one)."""
+        used = [n for kind in ("live", "history", "index", "work", "commits", "claims") for n in self._numbers(kind)]
+        number = max(used, default=0) + 1
+        while not self._create(self._dir("claims", number)):
+            number += 1
+        self._parents[number] = (self.current() or 0) if parent is None else parent
+        return number
 
     def index(self, generation: int | None = None) -> list[Row]:
         """Index rows, one per non-empty bucket; a single row with bucket NULL if the table is empty."""
@@ -84,19 +104,31 @@ class GenerationStore:
     ) -> DataFrame | None:
         """Live rows of a committed generation (default: the current one), or None if there is none.
 
-        ``buckets`` restricts the read to their directories.
+        ``buckets`` restricts the read to their directories. Buckets written with other types than the generation's
+        are read by their own and widened.
         """
         index = self.index(generation)
         if not index:
             return None
         wanted = None if buckets is None else set(buckets)
-        paths = [
-            f"{self._dir('live', r.data_generation)}/{BUCKET}={r.bucket}"
-            for r in index
-            if r.bucket is not None and (wanted is None or r.bucket in wanted)
-        ]
-        schema = _schema(index[0].live_schema)
-        return self._read_live(paths, schema, keep_bucket)
+        live = index[0].live_schema
+        paths: dict[str, list[str]] = {}
+        for r in index:
+            if r.bucket is not None and (wanted is None or r.bucket in wanted):
+                place = f"{self._dir('live', r.data_generation)}/{BUCKET}={r.bucket}"
+                paths.setdefault(r.file_schema or live, []).append(place)
+        schema = _schema(live)
+        rows = self._read_live(paths.pop(live, []), schema, keep_bucket) if live in paths or not paths else None
+        shape = _with_bucket(schema) if keep_bucket else schema
+        for told, own in paths.items():
+            part = conform(self._read_live(own, _schema(told), keep_bucket), shape)
+            rows = part if rows is None else rows.unionByName(part)
+        return rows
+
+    def schema(self, generation: int | None = None) -> T.StructType | None:
+        """Columns and types of a committed generation, or None if there is none."""
+        index = self.index(generation)
+        return _schema(index[0].live_schema) if index else None
 
     def read_staged(self, generation: int, schema: T.StructType, buckets: Iterable[int] | None = None) -> DataFrame:
         """Live rows written for ``generation``, committed or not, with their ``bucket``."""
@@ -119,11 +151,23 @@ class GenerationStore:
         ]
         if not numbers:
             return None
-        return (
-            self.spark.read.option("basePath", f"{self.base}/history")
-            .option("mergeSchema", True)
-            .parquet(*[self._dir("history", n) for n in numbers])
-        )
+        told = self._history_schemas(numbers)
+        by_schema: dict[str | None, list[str]] = {}
+        for n in numbers:
+            by_schema.setdefault(told.get(n), []).append(self._dir("history", n))
+        found: DataFrame | None = None
+        for text, paths in sorted(by_schema.items(), key=lambda x: max(x[1])):
+            reader = self.spark.read.option("basePath", f"{self.base}/history")
+            reader = reader.option("mergeSchema", True) if text is None else reader.schema(_with_generation(_schema(text)))
+            part = reader.parquet(*paths)
+            found = part if found is None else union_drift(found, part)
+        return found
+
+    def _history_schemas(self, numbers: Sequence[int]) -> dict[int, str]:
+        """What the commit markers tell of their history, read by one job; older markers are empty."""
+        paths = [self._dir("commits", n) for n in numbers]
+        rows = self.spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+        return {int(r["file"].rsplit("=", 1)[1]): r["value"] for r in rows.collect() if r["value"]}
 
     def read_snapshot(self, generation: int | None = None, only_last_deletes: bool = False) -> DataFrame | None:
         """Live rows with ``soft_delete`` 0 and history rows with 1.
@@ -182,6 +226,7 @@ class GenerationStore:
         """Write replaced rows and return them as written."""
         path = self._dir("history", generation)
         df.write.mode("overwrite").parquet(path)
+        self._histories[generation] = T.StructType([f for f in df.schema.fields if f.name != GENERATION]).json()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def commit(
@@ -201,29 +246,50 @@ class GenerationStore:
         """
         if generation in self.generations():
             raise ValueError(f"generation {generation} is already committed")
-        entries = [(r["bucket"], generation, r["rows"], r["fingerprint"]) for r in written]
+        parent = self._parents.get(generation, self.current() or 0)
+        live = _schema_json(schema)
+        entries = [(r["bucket"], generation, r["rows"], r["fingerprint"], live) for r in written]
         entries += [
-            (r.bucket, r.data_generation, r["rows"], r.fingerprint) for r in kept if r.bucket is not None
+            (r.bucket, r.data_generation, r["rows"], r.fingerprint, r.file_schema or r.live_schema)
+            for r in kept
+            if r.bucket is not None
         ]
-        index = self.spark.createDataFrame(_index_table(entries or [(None, generation, 0, None)]))
+        for text in {e[-1] for e in entries} - {live}:
+            _assert_holds(schema, _schema(text))
+        index = self.spark.createDataFrame(_index_table(entries or [(None, generation, 0, None, live)]))
         index = index.withColumns(
             {
                 "buckets": F.lit(buckets),
                 "batches": F.lit(json.dumps(batches or {})),
-                "live_schema": F.lit(_schema_json(schema)),
+                "live_schema": F.lit(live),
             }
         )
         index.select(*INDEX_SCHEMA.fieldNames()).coalesce(1).write.mode("overwrite").parquet(self._dir("index", generation))
-        self._fs().create(self._path(self._dir("commits", generation)), True).close()
+        self._succeed(parent, generation)
         if generation not in self.generations():
             raise OSError(f"generation {generation} of {self.base} was written but not committed")
         self._delete(self._dir("work", generation))
 
+    def _succeed(self, parent: int, generation: int) -> None:
+        """Commit ``generation`` as the one that follows ``parent``, or raise if there is another.
+
+        The successor's name is written first and settles the matter; its history schema goes with it, so that a
+        writer that finds a successor without a marker (its writer died in between) completes it.
+        """
+        link = f"{self.base}/commits/after={parent}"
+        content = json.dumps({"generation": generation, "history": self._histories.get(generation, "")})
+        if not self._create(link, content):
+            told = json.loads(self._content(link))
+            if told["generation"] != generation:
+                self._create(self._dir("commits", told["generation"]), told["history"])
+                raise CommitConflict(f"generation {told['generation']} of {self.base} was committed after {parent}")
+        self._create(self._dir("commits", generation), self._histories.get(generation, ""))
+
     def discard(self, generation: int) -> None:
         """Remove what was written for a generation that will not be committed."""
         if generation in self.generations():
             raise ValueError(f"generation {generation} is committed")
-        for kind in ("live", "history", "work"):
+        for kind in ("live", "history", "work", "index"):
             self._delete(self._dir(kind, generation))
 
     def work(self, generation: int, name: str) -> str:
@@ -277,20 +343,14 @@ class GenerationStore:
             )
         return df if keep_bucket else df.drop(BUCKET)
 
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+    def _create(self, path: str, content: str = "") -> bool:
+        return create_new(self.spark, path, content)
 
-    def _fs(self):
-        return self._path(self.base).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _exists(self, path: str) -> bool:
-        return self._fs().exists(self._path(path))
+    def _content(self, path: str) -> str:
+        return "".join(r[0] for r in self.spark.read.option("wholetext", True).text(path).collect())
 
     def _children(self, path: str) -> list[str]:
-        fs = self._fs()
-        if not fs.exists(self._path(path)):
-            return []
-        return [s.getPath().getName() for s in fs.listStatus(self._path(path))]
+        return children(self.spark, path)
 
     def _numbers(self, kind: str) -> list[int]:
         prefix = f"{GENERATION}="
@@ -299,21 +359,35 @@ class GenerationStore:
         )
 
     def _delete(self, path: str) -> None:
-        self._fs().delete(self._path(path), True)
+        delete(self.spark, path)
 
 
 def _index_table(entries: Sequence[tuple]) -> pa.Table:
     """Index entries as an Arrow table, one row per bucket, which Spark takes without Python workers."""
-    types = (pa.int32(), pa.int64(), pa.int64(), pa.decimal128(38, 0))
-    names = ("bucket", "data_generation", "rows", "fingerprint")
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.decimal128(38, 0), pa.string())
+    names = ("bucket", "data_generation", "rows", "fingerprint", "file_schema")
     return pa.table({n: pa.array(v, t) for n, t, v in zip(names, types, zip(*entries))})
 
 
+def without_hash(schema: T.StructType) -> T.StructType:
+    """A snapshot's schema without the row hash that runs add."""
+    return T.StructType([f for f in schema.fields if f.name != HASH])
+
+
 def last_batches(index: Sequence[Row]) -> dict[str, int]:
     """The last batch merged from each stream, as recorded with a generation."""
     return json.loads(index[0].batches or "{}") if index else {}
 
 
+def _assert_holds(schema: T.StructType, files: T.StructType) -> None:
+    """Every column of the files that ``schema`` has can be read in its type there."""
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    for f in files.fields:
+        live = types.get(f.name.lower(), f.dataType)
+        if wider_type(f.dataType, live) is None or wider_type(f.dataType, live).simpleString() != live.simpleString():
+            raise ValueError(f"files hold {f.name} as {f.dataType.simpleString()}, which {live.simpleString()} cannot take without loss")
+
+
 def _schema_json(schema: T.StructType) -> str:
     return T.StructType([f for f in schema.fields if f.name not in (BUCKET, GENERATION)]).json()
 
@@ -322,6 +396,10 @@ def _schema(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
 
+def _with_generation(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(GENERATION, T.IntegerType())])
+
+
 def _with_bucket(schema: T.StructType) -> T.StructType:
     fields = [f for f in schema.fields if f.name not in (BUCKET, GENERATION)]
     return T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import MergePolicy
+from tidemark.operators.merge import POLICIES, MergePolicy
 from tidemark.functions.columns import require_columns
 from tidemark.functions.scalars import EMPTY_WORDS, none_if_empty, parse_list
 
@@ -33,6 +33,9 @@ REQUIRED_SPEC_COLUMNS = (
     "PRIMARY_KEY_COL",
     "INCR_LOGIC_COL_NAME",
 )
+#: Columns of options that the list may have besides, each empty where the whole list's option holds.
+OPTION_COLUMNS = ("TRUST_TIMESTAMPS", "NULL_TIMESTAMPS", "STABLE_SOURCE", "CHECK_KEYS", "BUCKETS", "MERGE_POLICY")
+_YES, _NO = frozenset({"y", "yes", "true", "1"}), frozenset({"n", "no", "false", "0"})
 SNAPSHOT = "SNAPSHOT"
 TIMESTAMP = "TIMESTAMP"
 
@@ -88,7 +91,11 @@ def parsed_specs(specs: DataFrame) -> DataFrame:
 
 
 def read_specs(spark: SparkSession, path: str) -> list[TableSpec]:
-    """Table list as specs; a table without keys gets an empty key tuple."""
+    """Table list as specs; a table without keys gets an empty key tuple.
+
+    Options come from the columns of ``OPTION_COLUMNS`` that the list has; one that cannot be read is an error that
+    names its table, before any table is touched.
+    """
     rows = parsed_specs(read_spec_table(spark, path)).collect()
     return [
         TableSpec(
@@ -100,11 +107,35 @@ def read_specs(spark: SparkSession, path: str) -> list[TableSpec]:
             source_type=_field(r, "SRC_DB_TYPE") or "sqlserver",
             columns=_field(r, "COL_NAMES") or "*",
             target=_field(r, "TRG_TBL_NAME"),
+            **_options(r),
         )
         for r in rows
     ]
 
 
+class SpecError(ValueError):
+    """An entry of the table list has an option that cannot be read."""
+
+
+def _options(row) -> dict[str, object]:
+    """Options of one entry by field of ``TableSpec``; those left empty are not in it."""
+    given = {c: v.strip() for c in OPTION_COLUMNS if (v := _field(row, c)) is not None and v.strip().lower() not in EMPTY_WORDS}
+    found: dict[str, object] = {}
+    for column, value in given.items():
+        word = value.lower()
+        if column == "BUCKETS" and word.isdecimal() and int(word) > 0:
+            found["buckets"] = int(word)
+        elif column == "NULL_TIMESTAMPS" and word in ("exclude", "include"):
+            found["nulls"] = word
+        elif column == "MERGE_POLICY" and word in POLICIES:
+            found["policy"] = POLICIES[word]
+        elif column in ("TRUST_TIMESTAMPS", "STABLE_SOURCE", "CHECK_KEYS") and word in _YES | _NO:
+            found[column.lower()] = word in _YES
+        else:
+            raise SpecError(f"{row['SRC_TBL_NAME']}: {column} cannot be {value!r}")
+    return found
+
+
 def _field(row, name: str) -> str | None:
     return row[name] if name in row else None
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -64,17 +63,14 @@ def stream_merge(
     the query's id, so a batch redelivered after a failure is not merged
     twice, while a query with a new checkpoint starts afresh. Without ``interval`` the
     query takes what is there and stops. Without ``run_ts`` rows are stamped
-    with the latest load time of their batch.
+    with the latest load time of their batch. A batch is read once, to write the
+    latest row of each key. With a policy that has an ``order``, files may arrive in
+    any order; ``read_target`` gives the target.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        now = run_ts
-        if now is None:
-            now = batch.agg(F.max("load_ts").alias("t")).first()["t"]
         stream_id = store.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        merge_into(store, batch, keys, policy, now, buckets, (stream_id or checkpoint, batch_id))
+        merge_into(store, batch, keys, policy, run_ts, buckets, (stream_id or checkpoint, batch_id))
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if interval is None:
