@@ -699,22 +699,26 @@ def _(spark, sf):
 
 @query(
     "sync_two_pipelines_runs",
-    "select pipeline, source_table, 'SUCCESS' as status from (select unnest(['one', 'two']) as pipeline) p, "
-    "(select distinct case when event_id >= 0 then unnest(['orders', 'events']) end as source_table from {events}) t",
+    """select concat('job-', o_orderstatus) as pipeline, 'orders' as source_table, count(*) as rows, 'SUCCESS' as status
+       from {orders} group by o_orderstatus
+       union all select concat('job-', o_orderstatus), 'events', (select count(*) from {events}), 'SUCCESS'
+       from (select distinct o_orderstatus from {orders}) t""",
 )
 def _(spark, sf):
-    # two pipelines that number their runs alike, in one log
-    base = scratch(spark)
-    specs = [TableSpec("shop", "main", "orders", ("o_orderkey",)), TableSpec("shop", "main", "events", ("event_id",), ("ts",))]
-    log = RunLog(spark, f"{base}/control/runs")
-    for name in ("one", "two"):
-        for number, spec in enumerate(specs, 1):
-            log.start(FIRST_TS, RunId=number, PipelineRunId=name, PipelineId=name, SourceTable=spec.table, LoadType="SNAPSHOT")
-    for name in ("one", "two"):
-        for number, spec in enumerate(specs, 1):
-            rows = table(spark, sf, spec.table).count()
-            log.end(number, RUN_TS, "SUCCESS", PipelineRunId=name, RowsProcessed=rows)
-    return log.state().select(F.col("PipelineId").alias("pipeline"), F.col("SourceTable").alias("source_table"), F.col("Status").alias("status"))
+    # a pipeline for each status, all of which number their runs alike, in one log
+    log = RunLog(spark, f"{scratch(spark)}/control/runs")
+    counts = {r["o_orderstatus"]: r["count"] for r in table(spark, sf, "orders").groupBy("o_orderstatus").count().collect()}
+    events = table(spark, sf, "events").count()
+    for status in counts:
+        for number, name in enumerate(("orders", "events"), 1):
+            log.start(FIRST_TS, RunId=number, PipelineRunId=f"run-{status}", PipelineId=f"job-{status}", SourceTable=name, LoadType="SNAPSHOT")
+    for status, rows in counts.items():
+        for number, processed in enumerate((rows, events), 1):
+            log.end(number, RUN_TS, "SUCCESS", PipelineRunId=f"run-{status}", RowsProcessed=processed)
+    state = log.state()
+    return state.select(
+        F.col("PipelineId").alias("pipeline"), F.col("SourceTable").alias("source_table"), F.col("RowsProcessed").alias("rows"), F.col("Status").alias("status")
+    )
 
 
 _TIMES = "o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, ins_ts, upd_ts"
