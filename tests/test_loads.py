@@ -65,10 +65,12 @@ def test_a_load_that_dies_takes_its_files_again(spark, tmp_path, monkeypatch):
 
 def test_damaged_files_are_named_and_the_others_loaded(spark, tmp_path):
     base = str(tmp_path)
-    for name in ("good", "cut", "none"):
+    for name in ("good", "cut", "torn", "none"):
         put(spark, f"{base}/in/{name}", 0, 0 if name == "none" else 1000)
-    cut = next((tmp_path / "in" / "cut").glob("*.parquet"))
-    cut.write_bytes(cut.read_bytes()[:-20])
+    cut, torn = (next((tmp_path / "in" / name).glob("*.parquet")) for name in ("cut", "torn"))
+    for file in (cut, torn):
+        file.write_bytes(file.read_bytes()[:-20])
+    cut.with_name(f".{cut.name}.crc").unlink()  # the other one fails its check sum as well
     (tmp_path / "in" / "hollow.parquet").write_bytes(b"")
     (tmp_path / "in" / "words.parquet").write_bytes(b"not what its name says")
     store, ledger = GenerationStore(spark, f"{base}/target"), FileLedger(spark, f"{base}/ledger")
@@ -78,7 +80,7 @@ def test_damaged_files_are_named_and_the_others_loaded(spark, tmp_path):
     )
     assert again(0) == 1000 and store.read().count() == 1000
     told = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in spark.read.parquet(f"{base}/skipped").collect()}
-    assert told == {cut.name: "no whole Parquet file", "words.parquet": "no whole Parquet file", "hollow.parquet": "no bytes"}
+    assert told == {cut.name: "no whole Parquet file", torn.name: "could not be read", "words.parquet": "no whole Parquet file", "hollow.parquet": "no bytes"}
     # what was damaged is new once it is mended
     put(spark, f"{base}/in/cut", 1000, 1500)
     assert again(1) == 500
@@ -148,7 +150,7 @@ def test_watermarks_are_looked_up_in_the_newest_days(spark, tmp_path):
 
 def test_run_ids_are_given_out_once(spark, tmp_path):
     log, other = RunLog(spark, str(tmp_path)), RunLog(spark, str(tmp_path))
-    assert [log.next_id(3), other.next_id(), log.next_id(2), other.next_id()] == [1, 4, 5, 7]
+    assert [log.claim_ids(3), other.claim_ids(1), other.next_id(), log.claim_ids(2), other.claim_ids(1)] == [1, 4, 5, 5, 7]
     assert create_new(spark, f"{tmp_path}/ids/upto=8") and log.next_id() == 9
 
 

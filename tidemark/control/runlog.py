@@ -294,22 +294,27 @@ class RunLog:
         self.ensure()
         return with_rollup(run_state(self.read()))
 
-    def next_id(self, many: int = 1) -> int:
-        """The first of ``many`` ids that no other run has. One listing; a log without a mark is read once."""
-        place = f"{self.path}/ids"
-        marks = [int(n.split("=", 1)[1]) for n in children(self.spark, place) if n.startswith("upto=")]
-        if marks:
-            last = max(marks)
-        else:
-            log = self.read()
-            last = 0 if log is None else next_run_id(log).first()["next_id"] - 1
-        while not create_new(self.spark, f"{place}/upto={last + many}"):
+    def next_id(self) -> int:
+        """The id after the last one given out. One listing; a log without a mark is read."""
+        return self._last_id()[0] + 1
+
+    def claim_ids(self, many: int) -> int:
+        """The first of ``many`` ids that no other run gets."""
+        last, marks = self._last_id()
+        while not create_new(self.spark, f"{self.path}/ids/upto={last + many}"):
             last += many  # another writer has taken these
         for n in marks:
             if n < last:  # the newest but one stays, for writers that have listed it
-                delete(self.spark, f"{place}/upto={n}")
+                delete(self.spark, f"{self.path}/ids/upto={n}")
         return last + 1
 
+    def _last_id(self) -> tuple[int, list[int]]:
+        marks = [int(n.split("=", 1)[1]) for n in children(self.spark, f"{self.path}/ids") if n.startswith("upto=")]
+        if marks:
+            return max(marks), marks
+        log = self.read()
+        return (0 if log is None else next_run_id(log).first()["next_id"] - 1), marks
+
     def watermarks(self, pipeline_id: str, tables: Sequence[tuple[str, str, str, str]]) -> dict[tuple[str, str, str, str], datetime]:
         """The watermark of the last successful timestamp run of each of a pipeline's ``tables`` (type, database, schema,
         name); those without one are missing.

@@ -195,7 +195,7 @@ def load_delta(
     The rows landed are counted as they are written. Only if that is not what the files' footers tell is the landing
     table read for the files at fault.
     """
-    listed = None
+    listed, place = None, directory
     if ledger is not None:
         listed = write_and_read(ledger.new_files(list_files(spark, directory)), f"{ledger.path}.listed/run={run_name(run_ts)}")
         directory = [r["file"] for r in listed.select("file").collect()]  # names alone, as for any read
@@ -221,7 +221,7 @@ def load_delta(
     rows = append_raw(arrived, raw_path, run)
     landed = read_raw(spark, raw_path, [run])
     if skipped is not None:
-        write_and_read(skipped_files(spark, directory, landed), f"{skipped}/run={run}")
+        write_and_read(skipped_files(spark, place, landed, listed=listed), f"{skipped}/run={run}")
     elif rows != files.count():
         validate_load(landed, file_counts(files), on_empty, file_column="file_name")
     if rows == 0:

@@ -43,7 +43,7 @@ def sync_tables(
     clock = clock or (lambda: run_ts)
     pipeline_run = f"{pipeline_id}_{run_ts:%Y%m%d%H%M%S}" + (f"{run_ts:%f}" if run_ts.microsecond else "")
     specs = list(specs)
-    first_id = log.next_id(max(1, len(specs)))
+    first_id = log.claim_ids(max(1, len(specs)))
     timed = [(s.source_type, s.database, s.schema, s.table) for s in specs if s.ts_cols]
     watermarks = log.watermarks(pipeline_id, timed) if timed else {}
 

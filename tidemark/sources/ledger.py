@@ -81,15 +81,17 @@ def skipped_files(
     loaded: DataFrame,
     pattern: str = "*.parquet",
     file_column: str = "file_name",
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """Files that a load with ``skip_corrupt`` left out or read in part: ``file, size, rows, want, reason``.
 
     Listed files are held against the rows of ``loaded`` by an anti-join. What gave no row is damaged, unless it is a
     whole Parquet file that holds nothing but its footer. A file with fewer rows than its footer tells of is read in
-    part. Only files without rows are opened, and none of them beyond the size of an empty one.
+    part. Only files without rows are opened, and none of them beyond the size of an empty one. ``listed`` narrows the
+    report to files that the load was to take; files without a byte, which no listing of rows shows, are always in it.
     """
-    listed = list_files(spark, directory, pattern)
-    rows = _with_rows(listed, loaded, file_column)
+    every = list_files(spark, directory, pattern)
+    rows = _with_rows(every if listed is None else listed, loaded, file_column)
     unknown = F.lit(None).cast("long").alias("want")
     columns = ["file", "size", F.coalesce("rows", F.lit(0)).alias("rows")]
     silent = rows.where("rows is null")
@@ -97,20 +99,21 @@ def skipped_files(
     small = silent.where(F.col("size") <= MOST_EMPTY_BYTES)
     paths = [r["file"] for r in small.select("file").collect()]  # names alone, as for any read
     if paths:
-        content = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("__path"), "content")
+        content = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).load(paths).select(F.col("path").alias("__path"), "content")
         mark = F.lit(bytearray(MARK.encode()))
         whole = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)
         # the footer's length is the last number in front of the end mark
         empty = whole & (_little_endian(F.substring("content", -8, 4)) == F.length("content") - FRAME_BYTES)
         reason = F.when(~whole, "no whole Parquet file").otherwise("no rows could be read")
-        looked = content.where(~F.coalesce(empty, F.lit(False))).select("__path", reason.alias("reason"))
-        damaged = small.join(looked, _plain("file") == _plain("__path"))
+        looked = content.select("__path", F.coalesce(empty, F.lit(False)).alias("__empty"), reason.alias("__reason"))
+        damaged = small.join(looked, _plain("file") == _plain("__path"), "left").where("not coalesce(__empty, false)")
+        damaged = damaged.withColumn("reason", F.coalesce("__reason", F.lit("could not be read")))
         found = found.unionByName(damaged.select(*columns, unknown, "reason"))
     # a file without a byte is in the listing, but no task gets it
-    every = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-    names = every.load([directory] if isinstance(directory, str) else list(directory)).inputFiles()
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    names = reader.load([directory] if isinstance(directory, str) else list(directory)).inputFiles()
     named = spark.createDataFrame([(n,) for n in names], "file string")
-    there = listed.select(F.col("file").alias("__path"))
+    there = every.select(F.col("file").alias("__path"))
     hollow = named.join(there, _plain("file") == _plain("__path"), "left_anti")
     zero = F.lit(0).cast("long")
     found = found.unionByName(hollow.select("file", zero.alias("size"), zero.alias("rows"), unknown, F.lit("no bytes").alias("reason")))
