@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import text_of, written
+from tidemark.llm.work import discard, text_of, written
 
 #: Up to this many lines to be verified are named by broadcast (three numbers each); beyond, they are joined by shuffle.
 NAMED_LINES = 1_000_000
@@ -94,13 +94,15 @@ def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     lines equal in document and place, as in repeated rows, stay or go together. An empty table gives an empty result;
     other columns are unread.
     """
-    lines = written(line_sets(documents, percent))
+    ordered = written(line_sets(documents, percent))
     sets = written(
-        lines.where("size > 0")
+        ordered.where("size > 0")
         .groupBy("print", "parity", "size")
         .agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("prefix").alias("prefix"))
         .withColumn("id", F.monotonically_increasing_id())
     )
+    lines = written(ordered.drop("prefix"))
+    discard(ordered)
     candidates = written(_meetings(sets, percent))
     links = _verified(documents, sets, candidates, percent)
     return _decided(lines, sets, links)
@@ -143,10 +145,10 @@ def _verified(documents: DataFrame, sets: DataFrame, candidates: DataFrame, perc
     Pairs are checked in groups by the word they met on, and a line is sent once to a group and not to each of its
     pairs. The lines of a large group are dealt into blocks, of which each two are a group of their own.
     """
-    homes = {x: written(candidates.select("word", F.col(x).alias("id")).distinct()) for x in "ab"}
-    every = homes["a"].union(homes["b"]).distinct()
-    texts = _texts(documents, sets, every.select("id").distinct())
-    many = every.groupBy("word").agg(F.ceil(F.count("*") / GROUP_LINES).cast("int").alias("blocks"))
+    homes = candidates.select("word", F.explode(F.array("a", "b")).alias("id")).distinct()
+    homes = written(homes)
+    texts = _texts(documents, sets, homes.select("id").distinct())
+    many = homes.groupBy("word").agg(F.ceil(F.count("*") / GROUP_LINES).cast("int").alias("blocks"))
     many = written(many.where("blocks > 1").withColumnRenamed("word", "_word"))
 
     def dealt(rows: DataFrame) -> DataFrame:
@@ -157,20 +159,23 @@ def _verified(documents: DataFrame, sets: DataFrame, candidates: DataFrame, perc
     block = lambda x: F.pmod(F.xxhash64(x), F.col("blocks")).cast("int")
     key = ["word", "i", "j"]
     pairs = dealt(candidates).select("word", block("a").alias("i"), block("b").alias("j"), "a", "b")
-    sides = {}
-    for x, own, other in (("a", "i", "j"), ("b", "j", "i")):
-        placed = dealt(homes[x]).withColumn(own, block("id"))
-        placed = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(texts, "id")
-        placed = placed.select(*key, F.col("id").alias(x), F.col("first").alias(f"{x}_first"), "line").repartition(*key)
-        words = F.expr(f"array_distinct(array_remove(split({_spaced('line')}, ' '), ''))")
-        sides[x] = placed.withColumn(f"{x}_words", words).drop("line")
+    # a line goes to its own block with each other one, on either side
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    places = F.array_union(
+        F.transform(others, lambda k: F.struct(F.col("_own").alias("i"), k.alias("j"))),
+        F.transform(others, lambda k: F.struct(k.alias("i"), F.col("_own").alias("j"))),
+    )
+    placed = dealt(homes).withColumn("_own", block("id")).select("word", F.explode(places).alias("_place"), "id")
+    placed = placed.join(texts, "id").select("word", "_place.i", "_place.j", "id", "first", "line").repartition(*key)
+    words = F.expr(f"array_distinct(array_remove(split({_spaced('line')}, ' '), ''))")
+    side = lambda x: placed.select(*key, F.col("id").alias(x), F.col("first").alias(f"{x}_first"), words.alias(f"{x}_words"))
     spark = documents.sparkSession
     # a group's rows are in one partition, by which both joins can go
     setting = "spark.sql.requireAllClusterKeysForCoPartition"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        met = pairs.repartition(*key).join(sides["a"], [*key, "a"]).join(sides["b"], [*key, "b"])
+        met = pairs.repartition(*key).join(side("a"), [*key, "a"]).join(side("b"), [*key, "b"])
         common = F.size(F.array_intersect("a_words", "b_words"))
         similar = (100 + percent) * common >= percent * (F.size("a_words") + F.size("b_words"))
         return written(met.where(similar).select("a", "b", "a_first", "b_first").distinct())

@@ -48,6 +48,13 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table of ``written`` that is not read any more."""
+    for path in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        place = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def text_of(column: str = "text") -> Column:
     """A text as string, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
