@@ -98,20 +98,19 @@ def filtered(df: DataFrame, seen: dict[str, Column], keep: Callable[[pa.RecordBa
 
     ``keep`` gets batches of the columns ``seen``, of which one is called ``text``, with about ``most`` bytes of text each.
     """
-    own, taken = df.columns, {c.lower() for c in df.columns}
-    names = {}
-    for c in seen:
-        names[c] = f"_{c}"
-        while names[c].lower() in taken:
-            names[c] = f"_{names[c]}"
+    # by numbers, since Spark's batches do not take every name
+    own, shown = [f"c{k}" for k in range(len(df.columns))], [f"s{k}" for k in range(len(seen))]
+    numbered = df.select(*[c.alias(n) for c, n in zip(columns_of(df), own)], *[c.alias(n) for c, n in zip(seen.values(), shown)])
+    names = list(seen)
+    text = shown[names.index("text")]
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, names["text"], most):
-                shown = pa.RecordBatch.from_arrays([part.column(names[c]) for c in names], list(names))
-                yield part.filter(pa.array(keep(shown), pa.bool_())).select(own)
+            for part in text_slices(batch, text, most):
+                view = pa.RecordBatch.from_arrays([part.column(n) for n in shown], names)
+                yield part.filter(pa.array(keep(view), pa.bool_())).select(own)
 
-    return in_batches(df.select(*columns_of(df), *[c.alias(names[k]) for k, c in seen.items()]), pick, df.schema)
+    return in_batches(numbered, pick, numbered.select(*own).schema).toDF(*df.columns)
 
 
 def text_slices(batch: pa.RecordBatch, name: str = "text", most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
