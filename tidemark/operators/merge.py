@@ -163,7 +163,7 @@ def merge_delta(
 def _broadcastable(df: DataFrame) -> bool:
     """Whether Spark estimates the rows to be under its limit for broadcasts."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) <= limit
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= int(limit)
 
 
 def merge_parts(
