@@ -435,3 +435,56 @@ def test_small_files_are_gathered_again(spark, tmp_path):
         most = max(most, len(store.read().inputFiles()))
     assert store.read().count() == 12
     assert most <= 6
+
+
+def test_large_source_is_landed_by_bucket_without_a_shuffle(spark, paths, monkeypatch):
+    """Rows of a large source are written once a run, and the outcome is that of the shuffled write."""
+    states = [{k: str(k) for k in range(60)}, {**{k: str(k) for k in range(5, 60)}, 7: "new", 99: "n"}, {k: str(k) for k in range(60)}]
+    seen = []
+    for place, large in ((paths, True), (TablePaths(f"{paths.root}-plain", "d", "s", "t"), False)):
+        landed, kinds = [], []
+        real = snapshot_cdc.write_and_read
+        monkeypatch.setattr(snapshot_cdc, "scatters", lambda *a, large=large: large)
+        monkeypatch.setattr(snapshot_cdc, "write_and_read", lambda df, path: landed.append(path.rsplit("/", 1)[1]) or real(df, path))
+        for day, data in enumerate(states):
+            run = run_snapshot_cdc(spark, frame(spark, data), ["k"], place, DAY[day], buckets=3)
+            kinds.append((run.extracted, run.inserted, run.updated, run.deleted, run.changed_buckets))
+        monkeypatch.undo()
+        store = GenerationStore(spark, place.snapshot)
+        rows = sorted(map(tuple, store.read_snapshot().select("k", "v", "hash_val", "soft_delete").collect()))
+        seen.append((kinds, rows, target_state(spark, place), [sorted(map(tuple, store.read(g).collect())) for g in store.generations()]))
+        assert ("landed" in landed) is not large
+    assert seen[0] == seen[1]
+
+
+def test_large_source_leaves_unchanged_buckets_where_they_are(spark, paths, monkeypatch):
+    monkeypatch.setattr(snapshot_cdc, "scatters", lambda *a: True)
+    data = {k: str(k) for k in range(200)}
+    run_snapshot_cdc(spark, frame(spark, data), ["k"], paths, DAY[0], buckets=16)
+    data[7] = "new"
+    assert run_snapshot_cdc(spark, frame(spark, data), ["k"], paths, DAY[1], buckets=16).changed_buckets == 1
+    store = GenerationStore(spark, paths.snapshot)
+    assert sum(r.data_generation == 2 for r in store.index()) == 1
+    assert len([n for n in os.listdir(f"{paths.snapshot}/live/generation=2") if n.startswith("bucket=")]) == 1
+    assert {r.k: r.v for r in store.read().collect()} == data
+    run_snapshot_cdc(spark, frame(spark, data), ["k"], paths, DAY[2], buckets=16)
+    assert store.generations() == [1, 2] and sorted(os.listdir(f"{paths.snapshot}/live")) == ["generation=1", "generation=2"]
+
+
+def test_replaced_rows_are_joined_with_short_hashes(spark, paths, monkeypatch):
+    """Where the changed keys are too many to be broadcast, the hash crosses the shuffle as bytes and comes out as it was."""
+    monkeypatch.setattr(snapshot_cdc, "fits_broadcast", lambda *a: False)
+    run_snapshot_cdc(spark, frame(spark, {1: "a", 2: "b", 3: "c"}), ["k"], paths, DAY[0], buckets=2)
+    store = GenerationStore(spark, paths.snapshot)
+    before = {r.k: r.hash_val for r in store.read().collect()}
+    run_snapshot_cdc(spark, frame(spark, {1: "A", 3: "c"}), ["k"], paths, DAY[1], buckets=2)
+    assert {r.k: r.hash_val for r in store.read_history().collect()} == {1: before[1], 2: before[2]}
+
+
+def test_which_tables_are_large_for_their_buckets(spark):
+    from tidemark.sinks.datasets import scatters
+
+    assert scatters(spark.range(10**9), 8) and not scatters(spark.range(10**9), 2000)
+    assert not scatters(spark.range(10**5), 8)
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "k int")
+    assert not scatters(unknown, 1)

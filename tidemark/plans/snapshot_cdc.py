@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import BUCKET, CHANGE_KIND, HASH, clear_of_framework, content_columns
-from tidemark.functions.hashing import bucket_count_of, bucket_fingerprint, differing_buckets, hash_bucket, row_hash, same_bucket
+from tidemark.functions.hashing import bucket_count_of, bucket_fingerprint, differing_buckets, hash_bucket, packed_hash, row_hash, same_bucket, unpacked_hash
 from tidemark.operators.audit import flag, stamp_audit
 from tidemark.operators.delta import replaced_rows
 from tidemark.operators.diff import (
@@ -26,7 +26,7 @@ from tidemark.operators.drift import append_like, cast_up, widening
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import assert_target_takes, merge_into
 from tidemark.plans.result import RunResult
-from tidemark.sinks.datasets import fits_broadcast, stored_bytes, write_and_read, write_delta
+from tidemark.sinks.datasets import fits_broadcast, scatters, stored_bytes, write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore, without_hash
 from tidemark.sources.paths import TablePaths
 
@@ -47,7 +47,9 @@ def run_snapshot_cdc(
     1. The source is read once and landed as it comes, hashed, without a shuffle.
     2. Bucket fingerprints against those kept with the last generation tell
        which buckets differ; only these are shuffled into the next generation,
-       and everything below touches only these.
+       and everything below touches only these. A source that is large for
+       its buckets (see ``scatters``) is landed by bucket instead, and its
+       buckets that differ become the next generation as they lie.
     3. Keys and hashes of both sides are compared; the changed keys are
        written, so that later joins know their size. The same pass finds
        duplicate keys.
@@ -90,16 +92,22 @@ def run_snapshot_cdc(
 
     staged = hash_bucket(hashed, keys, buckets)
     schema = staged.drop(BUCKET).schema
+    scattered = scatters(source, buckets)
     # Statistics are one row per bucket.
-    if index:
+    if index and scattered and not stable_source:
+        store.write_live(staged, generation, keys, buckets, scattered=True)
+        stats = bucket_fingerprint(store.read_staged(generation, schema), keys).collect()
+        differing = differing_buckets(index, stats, buckets, anew)
+        store.drop_staged(generation, {r["bucket"] for r in stats} - differing)
+    elif index:
         if not stable_source:
             staged = write_and_read(staged, store.work(generation, "landed"))
         stats = bucket_fingerprint(staged, keys).collect()
         differing = sorted(differing_buckets(index, stats, buckets, anew))
         if differing:
-            store.write_live(staged.where(F.col(BUCKET).isin(differing)), generation, keys, buckets)
+            store.write_live(staged.where(F.col(BUCKET).isin(differing)), generation, keys, buckets, scattered=scattered)
     else:
-        store.write_live(staged, generation, keys, buckets)
+        store.write_live(staged, generation, keys, buckets, scattered=scattered)
         stats = bucket_fingerprint(store.read_staged(generation, schema), keys).collect()
     result = RunResult(
         generation=generation, extracted=sum(r["rows"] for r in stats), run_ts=run_ts, load_type="SNAPSHOT"
@@ -136,14 +144,18 @@ def run_snapshot_cdc(
         result.deleted = counts.get(DELETED, 0)
 
         small = fits_broadcast(changes, [store.work(generation, "changes")])
-        replaced = store.write_history(replaced_rows(prev, changes, keys, small), generation)
+        if small:
+            replaced = replaced_rows(prev, changes, keys, small)
+        else:
+            replaced = unpacked_hash(replaced_rows(packed_hash(prev), changes, keys))
+        replaced = store.write_history(replaced, generation)
         gone = replaced.where(F.col(CHANGE_KIND) == DELETED).drop(CHANGE_KIND)
         new = rows_of_kind(curr, changes, keys, INSERTED, UPDATED, small=small)
         delta = append_like(flag(new, deleted=False), flag(hash_bucket(gone, keys, buckets), deleted=True))
 
     if result.written:
         result.delta_path = paths.run_dir(run_ts)
-        write_delta(stamp_audit(delta, run_ts), result.delta_path)
+        write_delta(stamp_audit(delta, run_ts), result.delta_path, scattered=scattered and not index)
         if policy is not None:
             arrived = spark.read.parquet(result.delta_path).drop(HASH, BUCKET)
             target = GenerationStore(spark, paths.target)

@@ -14,6 +14,11 @@ from tidemark.functions.columns import BUCKET, quoted
 
 # A written table up to this size in memory is broadcast; beyond it, joins shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# What a task scans at most, and at least where there are cores to spare (Spark's defaults), and what has to be in each
+# file of a table whose rows are not shuffled for the write.
+SCAN_BYTES = 128 * 1024 * 1024
+LEAST_SCAN_BYTES = 4 * 1024 * 1024
+SCATTERED_BYTES = 1024 * 1024
 
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -23,6 +28,20 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def scatters(df: DataFrame, buckets: int, least: int = SCATTERED_BYTES) -> bool:
+    """Whether a table is so large for its buckets that each task can write files of its own for all of them.
+
+    That spares the shuffle of the full rows. By Spark's estimate of the rows' bytes and of the tasks that read them a
+    file has to get ``least`` bytes; where the estimate is unknown, as with a database, the rows are shuffled.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= int(spark._jsparkSession.sessionState().conf().defaultSizeInBytes()):
+        return False
+    tasks = max(size // SCAN_BYTES, min(spark.sparkContext.defaultParallelism, size // LEAST_SCAN_BYTES), 1)
+    return size >= least * tasks * buckets
+
+
 def write_partitioned(df: DataFrame, path: str, column: str, mode: str = "overwrite") -> None:
     """Parquet partitioned by ``column``, without a file per task and value."""
     rebalanced(df, column).write.mode(mode).partitionBy(column).parquet(path)
@@ -57,9 +76,11 @@ def fits_broadcast(df: DataFrame, paths: Sequence[str], most: int = BROADCAST_BY
     return sum(stored_bytes(spark, p) for p in paths) <= most and row_bytes(df) <= most
 
 
-def write_delta(df: DataFrame, run_dir: str) -> None:
-    """The delta of one run; a repeated run replaces its own directory."""
-    if BUCKET in df.columns:
+def write_delta(df: DataFrame, run_dir: str, scattered: bool = False) -> None:
+    """The delta of one run; a repeated run replaces its own directory. ``scattered`` writes it where its rows are."""
+    if scattered:
+        df.write.mode("overwrite").partitionBy(BUCKET).parquet(run_dir)
+    elif BUCKET in df.columns:
         write_partitioned(df, run_dir, BUCKET)
     else:
         df.write.mode("overwrite").parquet(run_dir)

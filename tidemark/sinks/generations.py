@@ -187,17 +187,18 @@ class GenerationStore:
     # -- writing ---------------------------------------------------------
 
     def write_live(
-        self, df: DataFrame, generation: int, keys: Sequence[str], buckets: int, gather: bool = False
+        self, df: DataFrame, generation: int, keys: Sequence[str], buckets: int, gather: bool = False, scattered: bool = False
     ) -> None:
         """Write live rows by hash bucket of the key; invisible until committed.
 
         A table of one bucket is written as it comes, without a shuffle,
-        unless its rows are to be gathered into files of even size.
+        unless its rows are to be gathered into files of even size. So is a
+        ``scattered`` one (see ``scatters``), a file for each task and bucket.
         """
         if BUCKET not in df.columns:
             df = hash_bucket(df, keys, buckets)
         path = self._dir("live", generation)
-        if buckets == 1 and not gather:
+        if scattered or buckets == 1 and not gather:
             df.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         else:
             write_partitioned(df, path, BUCKET)
@@ -285,6 +286,13 @@ class GenerationStore:
                 raise CommitConflict(f"generation {told['generation']} of {self.base} was committed after {parent}")
         self._create(self._dir("commits", generation), self._histories.get(generation, ""))
 
+    def drop_staged(self, generation: int, buckets: Iterable[int]) -> None:
+        """Remove buckets written for a generation that is going to refer to older ones instead."""
+        if generation in self.generations():
+            raise ValueError(f"generation {generation} is committed")
+        for b in buckets:
+            self._delete(f"{self._dir('live', generation)}/{BUCKET}={b}")
+
     def discard(self, generation: int) -> None:
         """Remove what was written for a generation that will not be committed."""
         if generation in self.generations():
