@@ -488,3 +488,22 @@ def test_which_tables_are_large_for_their_buckets(spark):
     assert not scatters(spark.range(10**5), 8)
     unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "k int")
     assert not scatters(unknown, 1)
+
+
+def test_large_timestamp_source_is_landed_by_bucket_without_a_shuffle(spark, paths, monkeypatch):
+    second = [(1, "A", DAY[0], DAY[4]), (3, "null", None, None), (4, "d", DAY[3], None)]
+    seen = []
+    for place, large in ((paths, True), (TablePaths(f"{paths.root}-plain", "d", "s", "t"), False)):
+        landed = []
+        real = timestamp_cdc.write_and_read
+        monkeypatch.setattr(timestamp_cdc, "scatters", lambda *a, large=large: large, raising=False)
+        monkeypatch.setattr(timestamp_cdc, "write_and_read", lambda df, path: landed.append(path.rsplit("/", 1)[1]) or real(df, path))
+        first = [(1, "a", DAY[0], None), (2, "b", DAY[1], None), (3, "null", None, None)]
+        run = run_timestamp_cdc(spark, spark.createDataFrame(first, TS), ["k"], ["ins", "upd"], datetime(1900, 1, 1), place, DAY[9], buckets=7)
+        run = run_timestamp_cdc(spark, spark.createDataFrame(second, TS), ["k"], ["ins", "upd"], run.watermark, place, DAY[10], buckets=7)
+        monkeypatch.undo()
+        store = GenerationStore(spark, place.snapshot)
+        rows = sorted(map(str, store.read_snapshot(only_last_deletes=True).select("k", "v", "ins", "upd", "soft_delete").collect()))
+        seen.append((run.extracted, run.deleted, run.watermark, rows, target_state(spark, place), sorted((r.bucket, r.data_generation, r["rows"]) for r in store.index())))
+        assert ("landed" in landed) is not large
+    assert seen[0] == seen[1]

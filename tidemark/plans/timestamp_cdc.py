@@ -17,7 +17,7 @@ from tidemark.operators.incremental import changed_since, extract_summary
 from tidemark.operators.merge import RESURRECT, MergePolicy
 from tidemark.plans.load import assert_target_takes, bucket_rows, merge_into
 from tidemark.plans.result import RunResult
-from tidemark.sinks.datasets import BROADCAST_BYTES, fits_broadcast, stored_bytes, write_and_read, write_delta
+from tidemark.sinks.datasets import BROADCAST_BYTES, fits_broadcast, scatters, stored_bytes, write_and_read, write_delta
 from tidemark.sinks.generations import GenerationStore
 from tidemark.sources.paths import TablePaths
 
@@ -77,11 +77,18 @@ def run_timestamp_cdc(
         delta, commit = _from_increment(store, base, generation, source, over, keys, buckets)
     else:
         schema = source.schema
-        # Landed as it comes; only the buckets that differ are shuffled. Statistics are one row per bucket.
-        landed = write_and_read(source, store.work(generation, "landed"))
-        if buckets is None:  # a first run is sized by what it has landed
-            buckets = bucket_count_of(stored_bytes(spark, store.work(generation, "landed")))
-        current = hash_bucket(landed, keys, buckets)
+        # a snapshot that increments are going to update in place is kept in whole files
+        scattered = buckets is not None and not trust_timestamps and scatters(source, buckets)
+        if scattered:
+            # Landed by bucket, as the next generation if the bucket differs. Statistics are one row per bucket.
+            store.write_live(source, generation, keys, buckets, scattered=True)
+            current = store.read_staged(generation, schema)
+        else:
+            # Landed as it comes; only the buckets that differ are shuffled.
+            landed = write_and_read(source, store.work(generation, "landed"))
+            if buckets is None:  # a first run is sized by what it has landed
+                buckets = bucket_count_of(stored_bytes(spark, store.work(generation, "landed")))
+            current = hash_bucket(landed, keys, buckets)
         stats = bucket_fingerprint(current, keys).collect()
         changed = differing_buckets(index, stats, buckets, anew) if index else {r["bucket"] for r in stats}
         regrouped = anew or bool(index) and index[0].buckets != buckets
@@ -96,7 +103,9 @@ def run_timestamp_cdc(
 
         def commit() -> None:
             fresh = [r for r in stats if r["bucket"] in changed]
-            if fresh:
+            if scattered:
+                store.drop_staged(generation, {r["bucket"] for r in stats} - changed)
+            elif fresh:
                 store.write_live(here, generation, keys, buckets)
             store.commit(generation, schema, buckets, fresh, [r for r in index if r.bucket is not None and r.bucket not in changed])
 
