@@ -2,6 +2,7 @@
 
 import hashlib
 import importlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -141,6 +142,28 @@ def test_line_dedup_of_odd_rows(odd, none):
     assert texts[7]["text"] == "" and texts[1]["n_removed"] == 1
 
 
+def test_unlike_long_lines_are_no_candidates(spark):
+    """Lines of 150 words out of 600 meet on their rarest words; only those that are similar are sent on to be verified."""
+    rng = random.Random(5)
+    lines = [rng.sample(range(600), 150) for _ in range(40)]
+    lines += [x[:-3] + [600 + k, 700 + k, 800 + k] for k, x in enumerate(lines[:8])]
+    docs = [(k, " ".join(f"w{w}" for w in x)) for k, x in enumerate(lines)]
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = line_dedup.line_sets(documents, 80).withColumn("id", F.col("doc_id"))
+    pairs = {tuple(sorted(r)) for r in line_dedup._meetings(sets, 80).collect()}
+    assert pairs == {(k, 40 + k) for k in range(8)}
+    found = {r["doc_id"]: (r["n_links"], r["removed"]) for r in line_dedup.similar_lines(documents).collect()}
+    assert found == {k: (int(k < 8 or k >= 40), k >= 40) for k in range(48)}
+
+
+def test_lines_of_a_large_group_are_verified_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "GROUP_LINES", 4)
+    common = " ".join(f"w{k}" for k in range(20))
+    documents = spark.createDataFrame([(k, f"{common} own{k}") for k in range(30)], "doc_id long, text string")
+    rows = line_dedup.similar_lines(documents).collect()
+    assert {(r["doc_id"], r["n_links"], r["removed"]) for r in rows} == {(k, 29, k > 0) for k in range(30)}
+
+
 def test_line_dedup_links(spark):
     base = [f"w{k}" for k in range(10)]
     docs = [(1, " ".join(base)), (2, " ".join([*base[:9], "new"])), (3, " ".join([*base, "x", "y"])), (4, " ".join(base[:7])), (5, "w1 w0"), (6, "w0  w1 w1")]

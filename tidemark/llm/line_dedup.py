@@ -3,7 +3,7 @@
 A line is the set of its words. Words are put in order of rarity; of two sets of the asked-for Jaccard similarity the
 first words in that order, the prefixes, have one in common. Sets meet on a word of their prefixes if their lengths and
 its places allow the similarity (length and positional filters), and if a parity bitmap of their words does not rule
-it out. What is left is verified on the words themselves.
+it out. What is left is verified on all words of both, as 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.work import discard, text_of, written
 
-#: Up to this many lines to be verified are named by broadcast (three numbers each); beyond, they are joined by shuffle.
+#: Up to this many lines to be verified are named by broadcast (a few numbers each); beyond, they are joined by shuffle.
 NAMED_LINES = 1_000_000
 #: Lines that are checked against each other in one place.
-GROUP_LINES = 400
+GROUP_LINES = 2_000
 #: Words are counted in so many classes by the upper bits of their hash; the order of rarity is that of the classes.
 CLASS_BITS = 16
 _CLASSES = 1 << CLASS_BITS
@@ -33,9 +33,12 @@ def _spaced(text: str) -> str:
 #: Hashes of a line's words, repeats included; what is split off between two blanks is no word.
 _HASHES = f"array_remove(transform(split({_spaced('line')}, ' '), w -> xxhash64(w)), xxhash64(''))"
 #: A word's hash with its class replaced by the class's rank, so that the order of numbers is that of rarity.
-_BY_RARITY = f"sort_array(array_distinct(transform({_HASHES}, h -> h ^ ranks[cast(shiftrightunsigned(h, {_REST}) as int)])))"
+#: (``coalesce`` only says that none is null, so that the numbers are sorted as such)
+_BY_RARITY = f"sort_array(array_distinct(transform({_HASHES}, h -> h ^ coalesce(ranks[cast(shiftrightunsigned(h, {_REST}) as int)], 0L))))"
 #: One bit for each of 64 classes of words by the lower bits of the hash: whether the set has an odd number of them.
 _PARITY = "aggregate({words}, 0L, (x, h) -> x ^ shiftleft(1L, cast(h & 63 as int)))"
+#: The same of the words whose next bit is set, so that both tell of 128 classes: 64 say nothing of sets of 100 words.
+_UPPER = "aggregate({words}, 0L, (x, h) -> if(h & 64 = 0, x, x ^ shiftleft(1L, cast(h & 63 as int))))"
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -66,7 +69,7 @@ def _overlap(percent: int, sizes: str) -> str:
 
 
 def line_sets(documents: DataFrame, percent: int) -> DataFrame:
-    """``doc_id, line_no, size, print, parity, prefix`` of each line; ``print, parity, size`` name its set of words."""
+    """``doc_id, line_no, size, print, parity, upper, prefix`` of each line; ``print, parity, size`` name its set of words."""
     ordered = _lines(documents).withColumn("ranks", word_ranks(documents).scalar()).select("doc_id", "line_no", F.expr(_BY_RARITY).alias("words"))
     longest = f"if(size(words) >= {_least_size(percent)}, size(words) - {_needed(percent, 'size(words)')} + 1, 0)"
     return ordered.select(
@@ -75,6 +78,7 @@ def line_sets(documents: DataFrame, percent: int) -> DataFrame:
         F.size("words").alias("size"),
         F.xxhash64("words").alias("print"),
         F.expr(_PARITY.format(words="words")).alias("parity"),
+        F.expr(_UPPER.format(words="words")).alias("upper"),
         F.expr(f"transform(slice(words, 1, {longest}), w -> cast(w & 2147483647 as int))").alias("prefix"),
     )
 
@@ -98,10 +102,10 @@ def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     sets = written(
         ordered.where("size > 0")
         .groupBy("print", "parity", "size")
-        .agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("prefix").alias("prefix"))
+        .agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("upper").alias("upper"), F.first("prefix").alias("prefix"))
         .withColumn("id", F.monotonically_increasing_id())
     )
-    lines = written(ordered.drop("prefix"))
+    lines = written(ordered.drop("upper", "prefix"))
     discard(ordered)
     candidates = written(_meetings(sets, percent))
     links = _verified(documents, sets, candidates, percent)
@@ -109,73 +113,73 @@ def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def _meetings(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of ids of sets that meet on a word of their prefixes and pass the filters, and the least such ``word``."""
-    entries = sets.where("size(prefix) > 0").select("id", "parity", "size", F.posexplode("prefix").alias("pos", "word"))
+    """Pairs ``a, b`` of ids of sets that meet on a word of their prefixes and pass the filters."""
+    entries = sets.where("size(prefix) > 0").select("id", "parity", "upper", "size", F.posexplode("prefix").alias("pos", "word"))
     a, b = entries.alias("a"), entries.alias("b")
     needed = _overlap(percent, "a.size + b.size")
     meet = (
         "a.word = b.word and (a.size < b.size or (a.size = b.size and a.id < b.id))"
         f" and {percent} * b.size <= 100 * a.size"
         f" and least(a.size - a.pos, b.size - b.pos) >= {needed}"
-        f" and bit_count(a.parity ^ b.parity) <= a.size + b.size - 2 * {needed}"
+        f" and bit_count(a.upper ^ b.upper) + bit_count(a.parity ^ a.upper ^ b.parity ^ b.upper) <= a.size + b.size - 2 * {needed}"
     )
-    met = a.join(b, F.expr(meet)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.word").alias("word"))
-    return met.groupBy("a", "b").agg(F.min("word").alias("word"))
+    return a.join(b, F.expr(meet)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
-def _texts(documents: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, first, line`` of the sets whose ids are asked for."""
-    wanted = written(
-        sets.join(ids, "id").select("id", "size", "parity", F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line"))
-    )
-    named = F.broadcast(wanted) if wanted.count() <= NAMED_LINES else wanted
+def _hashed(documents: DataFrame, named: DataFrame) -> DataFrame:
+    """``id, places, first, words`` of the lines named by ``id, size, parity, _doc, _line, places``; ``words`` are hashes."""
     here = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_line"))
-    found = _lines(documents).join(named, here).select("id", "size", "parity", "doc_id", "line_no", "line")
-    # of rows that share an id and a line number, those with other words are not meant
-    # (differences, since equalities would become keys of the join and be worked out for all lines)
-    found = found.withColumn("_hashes", F.expr(f"array_distinct({_HASHES})")).where(
-        ((F.size("_hashes") - F.col("size")) == 0) & (F.expr(_PARITY.format(words="_hashes")).bitwiseXOR(F.col("parity")) == 0)
-    )
-    return written(found.select("id", F.struct("doc_id", "line_no").alias("first"), "line"))
+    found = _lines(documents).join(named, here)
+    # of rows that share an id and a line number, those with other words are not meant; filtered as a list of one, since
+    # the optimizer would put a plain filter before the join's output and hash the words for it and for the output again
+    own = f"size(w) = size and {_PARITY.format(words='w')} = parity"
+    words = F.explode(F.expr(f"filter(array(array_distinct({_HASHES})), w -> {own})"))
+    return found.select("id", "places", F.struct("doc_id", "line_no").alias("first"), words.alias("words"))
+
+
+def _hubs(candidates: DataFrame) -> DataFrame:
+    """``_id, hub``: the least id that an id is a candidate with directly or through one other, itself included."""
+    ends = candidates.select(F.col("a").alias("id"), F.col("b").alias("other")).union(candidates.select("b", "a"))
+    near = written(ends.groupBy(F.col("id").alias("_id")).agg(F.least("_id", F.min("other")).alias("_hub")))
+    return ends.join(near, F.col("other") == F.col("_id")).groupBy(F.col("id").alias("_id")).agg(F.least("id", F.min("_hub")).alias("hub"))
 
 
 def _verified(documents: DataFrame, sets: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs that are similar by their words: ``a, b, a_first, b_first``.
 
-    Pairs are checked in groups by the word they met on, and a line is sent once to a group and not to each of its
-    pairs. The lines of a large group are dealt into blocks, of which each two are a group of their own.
+    Pairs are checked in groups by the hub of ``a`` (see ``_hubs``), so that most lines of a family go to one group, and
+    a line is sent once to a group and not to each of its pairs. The lines of a large group are dealt into blocks, of
+    which each two are a group of their own, to which the lines go that are in a pair there.
     """
-    homes = candidates.select("word", F.explode(F.array("a", "b")).alias("id")).distinct()
-    homes = written(homes)
-    texts = _texts(documents, sets, homes.select("id").distinct())
-    many = homes.groupBy("word").agg(F.ceil(F.count("*") / GROUP_LINES).cast("int").alias("blocks"))
-    many = written(many.where("blocks > 1").withColumnRenamed("word", "_word"))
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        """``rows`` with the number of blocks of their word."""
-        joined = rows.join(many, F.col("word") == F.col("_word"), "left").drop("_word")
-        return joined.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-
-    block = lambda x: F.pmod(F.xxhash64(x), F.col("blocks")).cast("int")
-    key = ["word", "i", "j"]
-    pairs = dealt(candidates).select("word", block("a").alias("i"), block("b").alias("j"), "a", "b")
-    # a line goes to its own block with each other one, on either side
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    places = F.array_union(
-        F.transform(others, lambda k: F.struct(F.col("_own").alias("i"), k.alias("j"))),
-        F.transform(others, lambda k: F.struct(k.alias("i"), F.col("_own").alias("j"))),
+    grouped = written(candidates.join(_hubs(candidates), F.col("a") == F.col("_id")).select("hub", "a", "b"))
+    members = grouped.select("hub", F.explode(F.array("a", "b")).alias("id")).distinct()
+    many = members.groupBy(F.col("hub").alias("_hub")).agg(F.ceil(F.count("*") / GROUP_LINES).cast("int").alias("blocks"))
+    many = written(many.where("blocks > 1"))
+    block = lambda x: F.pmod(F.xxhash64(x), F.coalesce("blocks", F.lit(1))).cast("int")
+    key = ["hub", "i", "j"]
+    pairs = grouped.join(many, F.col("hub") == F.col("_hub"), "left").select("hub", block("a").alias("i"), block("b").alias("j"), "a", "b")
+    placed = pairs.select(*key, F.explode(F.array("a", "b")).alias("id")).distinct()
+    placed = placed.groupBy("id").agg(F.collect_list(F.struct(*key)).alias("places"))
+    named = written(
+        sets.join(placed, "id").select("id", "size", "parity", F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line"), "places")
     )
-    placed = dealt(homes).withColumn("_own", block("id")).select("word", F.explode(places).alias("_place"), "id")
-    placed = placed.join(texts, "id").select("word", "_place.i", "_place.j", "id", "first", "line").repartition(*key)
-    words = F.expr(f"array_distinct(array_remove(split({_spaced('line')}, ' '), ''))")
-    side = lambda x: placed.select(*key, F.col("id").alias(x), F.col("first").alias(f"{x}_first"), words.alias(f"{x}_words"))
+    rows = documents.select("doc_id", "text")
+    if named.count() <= NAMED_LINES:
+        # other documents need not be split into lines
+        own = F.broadcast(named.select(F.col("_doc").alias("_own")).distinct())
+        rows = rows.join(own, F.col("doc_id").cast("long").eqNullSafe(F.col("_own")), "left_semi")
+        named = F.broadcast(named)
+    lines = _hashed(rows, named).select("id", "first", "words", F.explode("places").alias("_place"))
+    lines = lines.select("_place.*", "id", "first", "words").repartition(*key)
+    side = lambda x: lines.select(*key, F.col("id").alias(x), F.col("first").alias(f"{x}_first"), F.col("words").alias(f"{x}_words"))
     spark = documents.sparkSession
-    # a group's rows are in one partition, by which both joins can go
+    # a group's rows are in one partition, by which both joins can go; the second takes its lines into memory, so that
+    # the words that the first has put to each pair need no sorting
     setting = "spark.sql.requireAllClusterKeysForCoPartition"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        met = pairs.repartition(*key).join(side("a"), [*key, "a"]).join(side("b"), [*key, "b"])
+        met = pairs.repartition(*key).join(side("a"), [*key, "a"]).join(side("b").hint("shuffle_hash"), [*key, "b"])
         common = F.size(F.array_intersect("a_words", "b_words"))
         similar = (100 + percent) * common >= percent * (F.size("a_words") + F.size("b_words"))
         return written(met.where(similar).select("a", "b", "a_first", "b_first").distinct())
